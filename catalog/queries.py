@@ -25,7 +25,7 @@ from starwise.operators import (
 )
 from starwise.plans import predict
 from starwise.runtime import materialize
-from starwise.skew import key_counts
+from starwise.skew import hot_keys, key_counts
 from starwise.sources import profiles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,14 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in names})
 
 
+def _facts(
+    spark: SparkSession, sf_dir: str, config: Config = DEFAULT, split: str = "plain"
+) -> tuple[stats.RatingFacts, DataFrame]:
+    """Train ratings with their statistics, and the held-out ratings."""
+    train, held_out = tables.train_and_requests(spark, sf_dir, split, written=True)
+    return stats.RatingFacts(train, config), held_out
+
+
 # scans and filters
 
 
@@ -91,8 +99,7 @@ def _popular_items(config: Config) -> Query:
 
 def _popular_ratings(config: Config) -> Query:
     def query(spark, sf_dir):
-        train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-        return stats.popular_ratings(train, stats.item_stats(train), config)
+        return stats.popular_ratings(_facts(spark, sf_dir, config)[0])
 
     return query
 
@@ -106,13 +113,12 @@ def item_raters(spark, sf_dir):
 
 
 def user_index(spark, sf_dir):
-    train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-    return stats.user_index(stats.popular_ratings(train, stats.item_stats(train), DEFAULT))
+    return stats.user_index(stats.popular_ratings(_facts(spark, sf_dir)[0]))
 
 
 def baseline_predict(spark, sf_dir):
-    train, held_out = tables.train_and_requests(spark, sf_dir, "cold", written=True)
-    found = stats.baseline_predict(held_out.select("user", "item"), train, DEFAULT)
+    facts, held_out = _facts(spark, sf_dir, split="cold")
+    found = stats.baseline_predict(held_out.select("user", "item"), facts)
     return rounded(found, "prediction")
 
 
@@ -120,41 +126,35 @@ def baseline_predict(spark, sf_dir):
 
 
 def corated_pairs(spark, sf_dir):
-    train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-    return similarity.corated_pairs(train, stats.user_stats(train), DEFAULT)
-
-
-def _signatures(spark, sf_dir, config: Config) -> DataFrame:
-    train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-    return lsh.band_signatures(train, stats.item_stats(train), config)
+    return similarity.corated_pairs(_facts(spark, sf_dir)[0])
 
 
 def minhash_signature(spark, sf_dir):
-    return lsh.minhash_signatures(_signatures(spark, sf_dir, DEFAULT), DEFAULT)
+    facts, _ = _facts(spark, sf_dir)
+    return lsh.minhash_signatures(lsh.band_signatures(facts), facts.config)
 
 
 def lsh_bands(spark, sf_dir):
-    return lsh.band_keys(_signatures(spark, sf_dir, DEFAULT), DEFAULT)
+    facts, _ = _facts(spark, sf_dir)
+    return lsh.band_keys(lsh.band_signatures(facts), facts.config)
 
 
 def _lsh_candidates(config: Config) -> Query:
     def query(spark, sf_dir):
-        train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-        by_item, by_user = stats.item_stats(train), stats.user_stats(train)
-        buckets = predict.find_buckets(train, by_item, config)
-        return similarity.candidate_pairs(train, by_user, by_item, buckets, config)
+        facts, _ = _facts(spark, sf_dir, config)
+        return similarity.candidate_pairs(facts, predict.find_buckets(facts))
 
     return query
 
 
 def pair_moments(spark, sf_dir):
-    train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-    return predict.find_moments(train, MIXED).drop("avg_i", "avg_j")
+    facts, _ = _facts(spark, sf_dir, MIXED)
+    return predict.find_moments(facts).drop("avg_i", "avg_j")
 
 
 def _pair_similarity(spark, sf_dir) -> DataFrame:
-    train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-    return similarity.pair_similarity(predict.find_moments(train, MIXED), MIXED)
+    facts, _ = _facts(spark, sf_dir, MIXED)
+    return similarity.pair_similarity(predict.find_moments(facts), facts.config)
 
 
 def pair_similarity(spark, sf_dir):
@@ -167,22 +167,20 @@ def similarity_edges(spark, sf_dir):
 
 def _top_neighbors(config: Config) -> Query:
     def query(spark, sf_dir):
-        train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-        return rounded(predict.find_neighbors(train, config), "sim")
+        return rounded(predict.find_neighbors(_facts(spark, sf_dir, config)[0]), "sim")
 
     return query
 
 
 def neighbor_count(spark, sf_dir):
-    train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-    return neighbors.neighbor_count(predict.find_neighbors(train, MIXED))
+    return neighbors.neighbor_count(predict.find_neighbors(_facts(spark, sf_dir, MIXED)[0]))
 
 
 def hybrid_weights(spark, sf_dir):
-    train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-    counted = neighbors.neighbor_count(predict.find_neighbors(train, MIXED))
+    facts, _ = _facts(spark, sf_dir, MIXED)
+    counted = neighbors.neighbor_count(predict.find_neighbors(facts))
     n = F.coalesce("neighbor_cnt", F.lit(0)).cast("bigint")
-    weighed = train.select("item").distinct().join(counted, "item", "left").select(
+    weighed = facts.by_item.join(counted, "item", "left").select(
         "item",
         n.alias("neighbor_cnt"),
         hybrid.cf_confidence(n, MIXED).alias("cf_weight"),
@@ -195,15 +193,14 @@ def hybrid_weights(spark, sf_dir):
 
 
 def common_neighbors(spark, sf_dir):
-    train, held_out = tables.train_and_requests(spark, sf_dir, written=True)
-    return cf.common_neighbors(held_out, train, predict.find_neighbors(train, MIXED), MIXED)
+    facts, held_out = _facts(spark, sf_dir, MIXED)
+    return cf.common_neighbors(held_out, facts, predict.find_neighbors(facts))
 
 
 def _cf_predict(config: Config) -> Query:
     def query(spark, sf_dir):
-        train, held_out = tables.train_and_requests(spark, sf_dir, "cold", written=True)
-        lists = materialize(predict.find_neighbors(train, config))
-        return rounded(predict.cf_predict(held_out, train, lists, config), "prediction")
+        facts, held_out = _facts(spark, sf_dir, config, "cold")
+        return rounded(predict.cf_predict(held_out, facts, predict.find_neighbors(facts)), "prediction")
 
     return query
 
@@ -286,31 +283,31 @@ def feature_vectors(spark, sf_dir):
     train, held_out = tables.train_and_requests(spark, sf_dir, written=True)
     users, items = _profiles(spark, sf_dir, train)
     pairs = held_out.select("user", "item")
-    found = features.with_profiles(
-        pairs, users, items, key_counts(pairs, "user"), key_counts(pairs, "item"), DEFAULT
-    )
+    hot_items = hot_keys(key_counts(pairs, "item"), ["item"], DEFAULT.skew)
+    hot_users = hot_keys(key_counts(pairs, "user"), ["user"], DEFAULT.skew)
+    found = features.with_profiles(pairs, users, items, hot_users, hot_items)
     return rounded(features.feature_vectors(found, "user", "item"), *features.FEATURES)
 
 
-def _scored_without_model(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def _requests_without_model(spark, sf_dir) -> tuple[DataFrame, stats.RatingFacts]:
     """Requests with means and profiles, and the train ratings."""
-    train, held_out = tables.train_and_requests(spark, sf_dir, written=True)
-    users, items = _profiles(spark, sf_dir, train)
+    facts, held_out = _facts(spark, sf_dir)
+    users, items = _profiles(spark, sf_dir, facts.ratings)
     pairs = held_out.select("user", "item")
-    return predict.request_cards(pairs, train, DEFAULT, None, items, users), train
+    return predict.request_cards(pairs, facts, None, items, users), facts
 
 
 def fallback_score(spark, sf_dir):
-    frame, train = _scored_without_model(spark, sf_dir)
-    score = hybrid.fallback_score(stats.global_mean(train), DEFAULT)
+    frame, facts = _requests_without_model(spark, sf_dir)
+    score = hybrid.fallback_score(facts.mean, facts.config)
     return rounded(frame.select("user", "item", score.alias("score")), "score")
 
 
 def model_postprocess(spark, sf_dir):
-    frame, train = _scored_without_model(spark, sf_dir)
-    mean = stats.global_mean(train)
+    frame, facts = _requests_without_model(spark, sf_dir)
     raw = F.when((F.col("user") + F.col("item")) % 7 == 0, float("nan")).otherwise(F.col("item_avg"))
-    score = hybrid.model_postprocess(raw, hybrid.fallback_score(mean, DEFAULT), mean, DEFAULT)
+    fallback = hybrid.fallback_score(facts.mean, facts.config)
+    score = hybrid.model_postprocess(raw, fallback, facts.mean, facts.config)
     return rounded(frame.select("user", "item", score.alias("prediction")), "prediction")
 
 
@@ -318,16 +315,15 @@ def model_postprocess(spark, sf_dir):
 
 
 def hybrid_predict(spark, sf_dir):
-    train, held_out = tables.train_and_requests(spark, sf_dir, written=True)
-    users, items = _profiles(spark, sf_dir, train)
-    lists = materialize(predict.find_neighbors(train, MIXED))
-    predicted = predict.hybrid_predict(held_out, train, lists, users, items, MIXED)
-    return rounded(predicted, "prediction")
+    facts, held_out = _facts(spark, sf_dir, MIXED)
+    users, items = _profiles(spark, sf_dir, facts.ratings)
+    lists = predict.find_neighbors(facts)
+    return rounded(predict.hybrid_predict(held_out, facts, lists, users, items), "prediction")
 
 
 def _evaluated_baseline(spark, sf_dir) -> DataFrame:
-    train, held_out = tables.train_and_requests(spark, sf_dir, "cold", written=True)
-    predicted = stats.baseline_predict(held_out.select("user", "item"), train, DEFAULT)
+    facts, held_out = _facts(spark, sf_dir, split="cold")
+    predicted = stats.baseline_predict(held_out.select("user", "item"), facts)
     return evaluate.evaluate(held_out, predicted)
 
 
@@ -348,25 +344,21 @@ def holdout_split(spark, sf_dir):
     return tuning.holdout_split(tables.ratings(spark, sf_dir).select("user", "item"))
 
 
-def _training_features(spark, sf_dir, train: DataFrame) -> DataFrame:
-    users, items = _profiles(spark, sf_dir, train)
-    return predict.training_features(train, users, items, DEFAULT)
-
-
 def model_predict(spark, sf_dir):
-    train, held_out = tables.train_and_requests(spark, sf_dir, written=True)
-    users, items = (materialize(p) for p in _profiles(spark, sf_dir, train))
-    fitted = model.fit(predict.training_features(train, users, items, DEFAULT), TREES)
-    frame = predict.request_cards(held_out.select("user", "item"), train, DEFAULT, None, items, users)
-    scored = predict.model_scores(frame, fitted, train, DEFAULT)
+    facts, held_out = _facts(spark, sf_dir)
+    users, items = (materialize(p) for p in _profiles(spark, sf_dir, facts.ratings))
+    fitted = model.fit(predict.training_features(facts, users, items), TREES)
+    frame = predict.request_cards(held_out.select("user", "item"), facts, None, items, users)
+    scored = predict.model_scores(frame, fitted, facts)
     return scored.select("user", "item", F.col("model_score").alias("prediction"))
 
 
 def _tuned(spark, sf_dir) -> tuning.Tuned:
-    train, _ = tables.train_and_requests(spark, sf_dir, written=True)
-    rows = _training_features(spark, sf_dir, train)
+    facts, _ = _facts(spark, sf_dir)
+    users, items = _profiles(spark, sf_dir, facts.ratings)
+    rows = predict.training_features(facts, users, items)
     base = replace(TREES, n_estimators=5)
-    return tuning.tune(rows, COARSE, folds=2, sample_size=80_000, base=base, fine=FINE)
+    return tuning.tune(rows, COARSE, folds=2, base=base, fine=FINE)
 
 
 def tune_coarse(spark, sf_dir):
@@ -382,8 +374,7 @@ def end_to_end_predict(spark, sf_dir):
     train, held_out = tables.train_and_requests(spark, sf_dir, written=True)
     users, items = _profiles(spark, sf_dir, train)
     config = replace(MIXED, model=TREES)
-    predicted = predict.end_to_end(held_out.select("user", "item"), train, users, items, config)
-    return predicted.select("user", "item", "prediction")
+    return predict.end_to_end(held_out.select("user", "item"), train, users, items, config)
 
 
 QUERIES: dict[str, Query] = {

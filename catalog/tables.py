@@ -12,8 +12,20 @@ from pyspark.sql import functions as F
 from starwise import runtime
 
 
+# The columns of the given tables that are read here.
+SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_returnflag STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_size INT",
+    "events": "user_id BIGINT, event_type STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; with the schema stated, no file has to be opened to plan a query."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

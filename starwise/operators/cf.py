@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from starwise.config import Config
 from starwise.functions.scalars import clip
 from starwise.operators.neighbors import packed_neighbors
-from starwise.skew import key_counts, lookup
+from starwise.operators.stats import RatingFacts
+from starwise.skew import hot_keys, key_counts, lookup
 
 
-def open_requests(requests: DataFrame, packed: DataFrame, item_counts: DataFrame, config: Config) -> DataFrame:
+def open_requests(unique: DataFrame, packed: DataFrame, hot_items: DataFrame | None) -> DataFrame:
     """(user, item, nbr, sim): every neighbour of the requested item.
 
     The join moves one packed list per item; a request grows to at most ``top_k`` rows after it.
     """
-    found = lookup(requests, packed.select("item", "nbrs"), "item", item_counts, ["user"], config.skew, how="inner")
+    found = lookup(unique, packed.select("item", "nbrs"), "item", hot_items, ["user"], how="inner")
     return found.select("user", "item", F.explode("nbrs").alias("e")).select("user", "item", "e.nbr", "e.sim")
 
 
@@ -38,11 +39,12 @@ def rated_neighbors(opened: DataFrame, ratings: DataFrame) -> DataFrame:
     )
 
 
-def common_neighbors(requests: DataFrame, ratings: DataFrame, neighbors: DataFrame, config: Config) -> DataFrame:
+def common_neighbors(requests: DataFrame, facts: RatingFacts, neighbors: DataFrame) -> DataFrame:
     """(user, item, n_common) for requests with at least one rated neighbour."""
     unique = requests.select("user", "item").distinct()
-    opened = open_requests(unique, packed_neighbors(neighbors), key_counts(unique, "item"), config)
-    return rated_neighbors(opened, ratings).select("user", "item", "n_common")
+    hot = hot_keys(key_counts(unique, "item"), ["item"], facts.config.skew)
+    opened = open_requests(unique, packed_neighbors(neighbors), hot)
+    return rated_neighbors(opened, facts.ratings).select("user", "item", "n_common")
 
 
 def cf_reason() -> Column:

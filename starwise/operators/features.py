@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starwise.config import Config
 from starwise.functions.scalars import finite, safe_log1p
 from starwise.skew import lookup
 from starwise.sources.profiles import ITEM_FEATURES, USER_FEATURES
@@ -29,15 +28,17 @@ def with_profiles(
     pairs: DataFrame,
     user_features: DataFrame,
     item_features: DataFrame,
-    user_counts: DataFrame,
-    item_counts: DataFrame,
-    config: Config,
+    hot_users: DataFrame | None,
+    hot_items: DataFrame | None,
 ) -> DataFrame:
-    """``pairs`` with the raw profile columns of both sides; NULL where there is no profile."""
+    """``pairs`` with the raw profile columns of both sides; NULL where there is no profile.
+
+    ``hot_users`` and ``hot_items`` are the hot keys of ``pairs``.
+    """
     items = item_features.withColumnRenamed("record_ok", "b_ok")
     users = user_features.withColumnRenamed("record_ok", "u_ok")
-    found = lookup(pairs, items, "item", item_counts, ["user"], config.skew)
-    return lookup(found, users, "user", user_counts, ["item"], config.skew)
+    found = lookup(pairs, items, "item", hot_items, ["user"])
+    return lookup(found, users, "user", hot_users, ["item"])
 
 
 def feature_vectors(pairs_with_profiles: DataFrame, *kept: str) -> DataFrame:

@@ -7,65 +7,60 @@ from pyspark.sql import functions as F
 
 from starwise.config import HASH_PRIME, Config
 from starwise.functions.scalars import id_to_long
-from starwise.operators.stats import is_integer_key, popular_items
-from starwise.skew import hot_keys, lookup
+from starwise.operators.stats import RatingFacts, popular_items
+from starwise.skew import hot_keys, lookup, repeat_dim, split_fact
 
 
 def signature_columns(config: Config) -> list[str]:
     return [f"h{k}" for k in range(config.lsh.rows)]
 
 
-def band_signatures(ratings: DataFrame, stats: DataFrame, config: Config) -> DataFrame:
+def _hash_table(config: Config) -> str:
+    """The hash parameters as a SQL array with one struct (band, a0, b0, a1, b1 ...) per band."""
+    table, rows = config.lsh.hash_table(), config.lsh.rows
+    bands = []
+    for band in range(config.lsh.bands):
+        pairs = table[band * rows : (band + 1) * rows]
+        fields = [f"{a}L AS a{k}, {b}L AS b{k}" for k, (a, b) in enumerate(pairs)]
+        bands.append(f"struct({band} AS band, {', '.join(fields)})")
+    return f"array({', '.join(bands)})"
+
+
+def band_signatures(facts: RatingFacts) -> DataFrame:
     """One row per popular item and band, with the band's MinHash values in ``h0``, ``h1`` ...
 
-    The ratings are shuffled once, on the item (a hot item on several pieces). The blow-up by
+    The ratings are shuffled once, on the item (a hot item in several pieces). The blow-up by
     band happens after that shuffle and collapses again in the same stage, so what moves next is
-    one row per item, piece and band.
+    at most one row per item, piece and band.
     """
-    table = config.lsh.hash_table()
-    rows = config.lsh.rows
+    config = facts.config
     names = signature_columns(config)
-    bands = F.array(
-        *[
-            F.struct(
-                F.lit(band).alias("band"),
-                *[F.lit(table[band * rows + k][0]).cast("bigint").alias(f"a{k}") for k in range(rows)],
-                *[F.lit(table[band * rows + k][1]).cast("bigint").alias(f"b{k}") for k in range(rows)],
-            )
-            for band in range(config.lsh.bands)
-        ]
-    )
-    user_number = id_to_long(F.col("user"), is_integer_key(ratings, "user"), HASH_PRIME)
-    hot = F.broadcast(hot_keys(stats, ["item"], config.skew))
-    pieces = F.col("pieces")
-    pre_shuffled = (
-        ratings.select("item", user_number.alias("u"))
-        .join(hot, "item", "left")
-        .withColumn(
-            "salt", F.when(pieces.isNull(), 0).otherwise(F.pmod(F.xxhash64("u"), pieces).cast("int"))
-        )
-        .drop("pieces")
-        .repartition("item", "salt")
-    )
-    popular = (
-        popular_items(stats, config)
-        .join(hot, "item", "left")
-        .select(
-            "item", F.explode(F.sequence(F.lit(0), F.coalesce(pieces - 1, F.lit(0)))).alias("salt")
-        )
-    )
+    user_number = id_to_long(F.col("user"), facts.has_integer_users, HASH_PRIME)
+    raters = facts.ratings.select("item", user_number.alias("u"))
+    popular = popular_items(facts.by_item, config).select("item")
+    place = ["item"]
+    if facts.hot_items is not None:
+        place = ["item", "salt"]
+        raters = split_fact(raters, facts.hot_items, ["item"], ["u"])
+        popular = repeat_dim(popular, facts.hot_items, ["item"])
+    # a fixed number of partitions: 100 hashes per row want every core, however few the bytes
+    partitions = int(raters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = (
-        pre_shuffled.join(popular, ["item", "salt"])
-        .select("item", "salt", "u", F.explode(bands).alias("p"))
+        raters.repartition(partitions, *place)
+        .join(popular, place)
+        .select(*place, "u", F.expr(f"explode({_hash_table(config)})").alias("p"))
         .select(
-            "item",
-            "salt",
-            F.col("p.band").alias("band"),
-            *[((F.col(f"p.a{k}") * F.col("u") + F.col(f"p.b{k}")) % HASH_PRIME).alias(names[k]) for k in range(rows)],
+            *place,
+            "p.band",
+            *[
+                ((F.col(f"p.a{k}") * F.col("u") + F.col(f"p.b{k}")) % HASH_PRIME).alias(name)
+                for k, name in enumerate(names)
+            ],
         )
     )
-    per_piece = hashed.groupBy("item", "salt", "band").agg(*[F.min(h).alias(h) for h in names])
-    return per_piece.groupBy("item", "band").agg(*[F.min(h).alias(h) for h in names])
+    lowest = [F.min(name).alias(name) for name in names]
+    signatures = hashed.groupBy(*place, "band").agg(*lowest)
+    return signatures if place == ["item"] else signatures.groupBy("item", "band").agg(*lowest)
 
 
 def minhash_signatures(signatures: DataFrame, config: Config) -> DataFrame:
@@ -86,28 +81,26 @@ def band_keys(signatures: DataFrame, config: Config) -> DataFrame:
     )
 
 
-def bucket_columns(config: Config) -> list[str]:
-    return [f"bucket{band}" for band in range(config.lsh.bands)]
-
-
 def shared_buckets(signatures: DataFrame, config: Config) -> DataFrame:
-    """One row per item that shares a bucket with another item; ``bucket<k>`` names its bucket.
+    """(item, band, bucket) for the buckets an item shares with other items.
 
-    A bucket is named by its smallest item, so two items share band ``k`` exactly when their
-    ``bucket<k>`` are equal; buckets with a single member are NULL. Members are never paired here,
-    whatever the size of a bucket.
+    A bucket is named by its smallest item, so (band, bucket) tells buckets apart. Items alike
+    meet in many bands; buckets with the same members are kept once, under their lowest band,
+    which leaves a group of copies a single bucket. Same members means the same size, ends and
+    two 64-bit checksums. Members are never paired here, whatever the size of a bucket.
     """
     keys = ["band", *signature_columns(config)]
     buckets = signatures.groupBy(*keys).agg(
-        F.min("item").alias("bucket"), F.count("item").alias("n")
-    )
-    crowded = buckets.where(F.col("n") > 1)
-    named = lookup(
-        signatures, crowded.select(*keys, "bucket"), keys, crowded, ["item"], config.skew, how="inner"
+        F.min("item").alias("bucket"),
+        F.max("item").alias("last"),
+        F.count("item").alias("n"),
+        F.bit_xor(F.xxhash64("item")).alias("check_a"),
+        F.bit_xor(F.xxhash64("item", F.lit("b"))).alias("check_b"),
     )
-    return named.groupBy("item").agg(
-        *[
-            F.max(F.when(F.col("band") == band, F.col("bucket"))).alias(name)
-            for band, name in enumerate(bucket_columns(config))
-        ]
+    hot = hot_keys(buckets, keys, config.skew)
+    named = lookup(signatures, buckets.where(F.col("n") > 1), keys, hot, ["item"], how="inner")
+    return (
+        named.groupBy("item", "bucket", "last", "n", "check_a", "check_b")
+        .agg(F.min("band").alias("band"))
+        .select("item", "band", "bucket")
     )

@@ -9,9 +9,9 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwise import runtime
 from starwise.config import ModelConfig
 from starwise.operators.features import FEATURES
+from starwise.runtime import materialize
 
 
 def estimator(model: ModelConfig) -> GBTRegressor:
@@ -64,7 +64,7 @@ class RatingModel:
 
 def fit(features: DataFrame, model: ModelConfig) -> RatingModel:
     """Fit on the 22 inputs and ``stars``; only the global mean and the trees reach the driver."""
-    ready = runtime.materialize(features.select(*FEATURES, "stars"))
+    ready = materialize(features.select(*FEATURES, "stars"))
     base_score = ready.agg(F.avg("stars")).first()[0]
     return RatingModel(estimator(model).fit(training_set(ready, base_score)), base_score)
 

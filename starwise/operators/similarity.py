@@ -2,107 +2,103 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwise.config import Config
-from starwise.operators.lsh import bucket_columns
-from starwise.operators.stats import active_ratings, active_users, without_heavy_users
+from starwise.operators.stats import RatingFacts, active_ratings, active_users, without_heavy_users
 from starwise.skew import lookup
 
 
-def _pairs(rated: DataFrame, buckets: list[str]) -> DataFrame:
-    """Ordered item pairs rated by the same user; with ``buckets``, only pairs sharing one.
+# Bands per word of a band set: the bits of a BIGINT without its sign.
+MASK_BITS = 63
+
 
-    A user here has fewer than 500 ratings, so each user's share of the join is bounded and no
-    user is hot. Pairs without a common bucket are rejected inside the join.
+def _pairs(rated: DataFrame, meet: list[str]) -> DataFrame:
+    """Ordered item pairs whose rows agree on ``meet``, which includes the user.
+
+    A user here has fewer than 500 ratings, so what meets is bounded and no key is hot.
     """
-    carried = [c for c in rated.columns if c not in ("user", *buckets)]
-    left = rated.select("user", *[F.col(c).alias(f"{c}_i") for c in carried], *buckets).alias("l")
-    right = rated.select("user", *[F.col(c).alias(f"{c}_j") for c in carried], *buckets).alias("r")
-    same: Column = (F.col("l.user") == F.col("r.user")) & (F.col("item_i") < F.col("item_j"))
-    if buckets:
-        same = same & reduce(or_, [F.col(f"l.{b}") == F.col(f"r.{b}") for b in buckets])
-    return left.join(right, same).select(*[f"{c}_{side}" for side in "ij" for c in carried])
+    carried = [c for c in rated.columns if c not in meet]
+    left = rated.select(*meet, *[F.col(c).alias(f"{c}_i") for c in carried]).alias("l")
+    right = rated.select(*meet, *[F.col(c).alias(f"{c}_j") for c in carried]).alias("r")
+    same = " AND ".join(f"l.{c} = r.{c}" for c in meet)
+    return left.join(right, F.expr(f"{same} AND item_i < item_j")).select(
+        *[f"l.{c}" for c in meet if c != "user"],
+        F.col("item_i").alias("i"),
+        F.col("item_j").alias("j"),
+        *[f"{c}_{side}" for side in "ij" for c in carried if c != "item"],
+    )
 
 
-def corated_pairs(ratings: DataFrame, user_stats: DataFrame, config: Config) -> DataFrame:
+def corated_pairs(facts: RatingFacts) -> DataFrame:
     """(i, j, n): how many active users rated both items."""
-    active = active_ratings(ratings, user_stats, config).select("user", "item")
-    return (
-        _pairs(active, [])
-        .groupBy(F.col("item_i").alias("i"), F.col("item_j").alias("j"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    rated = active_ratings(facts).select("user", "item")
+    return _pairs(rated, ["user"]).groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _bucketed_ratings(
-    ratings: DataFrame,
-    user_stats: DataFrame,
-    item_stats: DataFrame,
-    buckets: DataFrame | None,
-    config: Config,
-) -> DataFrame:
-    """Active ratings with the item mean and, if given, the item's buckets on each row.
+def _carded_ratings(facts: RatingFacts, buckets: DataFrame | None) -> DataFrame:
+    """Active ratings with the item mean and, if given, once per bucket of the item.
 
-    The join on users comes last, so its shuffle also serves the pairing of each user's items.
+    Items without a bucket drop out in the first join, so that little is left to be shuffled by
+    user.
     """
-    card = item_stats.select("item", F.col("avg_stars").alias("avg"))
+    card = facts.by_item.select("item", F.col("avg_stars").alias("avg"))
     if buckets is not None:
         card = card.join(buckets, "item")
-    light = without_heavy_users(ratings, user_stats, config)
-    carded = lookup(light, card, "item", item_stats, ["user"], config.skew, how="inner")
-    return carded.join(active_users(user_stats, config).select("user"), "user").select(
-        "user", "item", "stars", "avg", *(bucket_columns(config) if buckets is not None else [])
-    )
+    light = without_heavy_users(facts)
+    carded = lookup(light, card, "item", facts.hot_items, ["user"], how="inner")
+    return carded.join(active_users(facts.by_user, facts.config).select("user"), "user")
 
 
-def candidate_pairs(
-    ratings: DataFrame, user_stats: DataFrame, item_stats: DataFrame, buckets: DataFrame, config: Config
-) -> DataFrame:
+def candidate_pairs(facts: RatingFacts, buckets: DataFrame) -> DataFrame:
     """Pairs of items that share a bucket and at least one active co-rater.
 
     Pairs in a bucket without any active co-rater can never get a similarity, so nothing is lost
     by finding the pairs at the users, whose histories are bounded, instead of pairing up the
     members of a bucket, which may be a third of all items.
     """
-    rated = _bucketed_ratings(ratings, user_stats, item_stats, buckets, config).drop("stars", "avg")
-    return (
-        _pairs(rated, bucket_columns(config))
-        .select(F.col("item_i").alias("i"), F.col("item_j").alias("j"))
-        .distinct()
-    )
+    rated = _carded_ratings(facts, buckets).drop("stars", "avg")
+    return _pairs(rated, ["user", "band", "bucket"]).select("i", "j").distinct()
 
 
-def pair_moments(
-    ratings: DataFrame,
-    user_stats: DataFrame,
-    item_stats: DataFrame,
-    buckets: DataFrame | None,
-    config: Config,
-) -> DataFrame:
+def pair_moments(facts: RatingFacts, buckets: DataFrame | None) -> DataFrame:
     """Co-rater count and sums per pair, plus both item means carried along from the ratings.
 
-    ``buckets=None`` scores all co-rated pairs.
+    Two items meet at each co-rater once per bucket they share. That number is the same for all
+    their co-raters and is read off the set of bands in which they met; all sums are divided by
+    it. ``buckets=None`` scores all co-rated pairs.
     """
-    rated = _bucketed_ratings(ratings, user_stats, item_stats, buckets, config)
+    rated = _carded_ratings(facts, buckets)
     ri, rj = F.col("stars_i"), F.col("stars_j")
-    return (
-        _pairs(rated, bucket_columns(config) if buckets is not None else [])
-        .groupBy(F.col("item_i").alias("i"), F.col("item_j").alias("j"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(ri).alias("sum_i"),
-            F.sum(rj).alias("sum_j"),
-            F.sum(ri * ri).alias("sum_ii"),
-            F.sum(rj * rj).alias("sum_jj"),
-            F.sum(ri * rj).alias("sum_ij"),
-            F.max("avg_i").alias("avg_i"),
-            F.max("avg_j").alias("avg_j"),
-        )
+    sums = {
+        "n": F.count(F.lit(1)),
+        "sum_i": F.sum(ri),
+        "sum_j": F.sum(rj),
+        "sum_ii": F.sum(ri * ri),
+        "sum_jj": F.sum(rj * rj),
+        "sum_ij": F.sum(ri * rj),
+    }
+    means = [F.max("avg_i").alias("avg_i"), F.max("avg_j").alias("avg_j")]
+    totals = [total.alias(name) for name, total in sums.items()]
+    if buckets is None:
+        return _pairs(rated, ["user"]).groupBy("i", "j").agg(*totals, *means)
+    words = range(0, facts.config.lsh.bands, MASK_BITS)
+    masks = [
+        F.bit_or(
+            F.expr(f"if(band between {low} and {low + MASK_BITS - 1}, shiftleft(1L, band - {low}), 0L)")
+        ).alias(f"met_{low}")
+        for low in words
+    ]
+    met = _pairs(rated, ["user", "band", "bucket"]).groupBy("i", "j").agg(*totals, *means, *masks)
+    times = sum((F.bit_count(f"met_{low}") for low in words), F.lit(0))
+    return met.withColumn("times", times).select(
+        "i",
+        "j",
+        F.expr("n div times").alias("n"),
+        *[(F.col(name) / F.col("times")).alias(name) for name in sums if name != "n"],
+        "avg_i",
+        "avg_j",
     )
 
 

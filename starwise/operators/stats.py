@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from starwise.config import Config
+from starwise.runtime import materialize
 from starwise.skew import hot_keys, key_counts, lookup
 
 
@@ -28,9 +31,41 @@ def global_stats(ratings: DataFrame) -> DataFrame:
     return ratings.agg(F.avg("stars").alias("avg_stars"), F.count("stars").alias("n"))
 
 
-def global_mean(ratings: DataFrame) -> Column:
-    """The global mean as a scalar subquery: computed once, then a constant in every row."""
-    return ratings.agg(F.avg("stars")).scalar()
+class RatingFacts:
+    """Ratings with the statistics that many operators need, each computed once on first use.
+
+    ``ratings`` is read several times, so it should come from files or a checkpoint. The
+    statistics have one row per item or user and are written to the checkpoint folder; only the
+    global mean and the bounded lists of hot keys reach the driver.
+    """
+
+    def __init__(self, ratings: DataFrame, config: Config):
+        self.ratings = ratings
+        self.config = config
+
+    @cached_property
+    def by_item(self) -> DataFrame:
+        return materialize(item_stats(self.ratings))
+
+    @cached_property
+    def by_user(self) -> DataFrame:
+        return materialize(user_stats(self.ratings))
+
+    @cached_property
+    def hot_items(self) -> DataFrame | None:
+        return hot_keys(self.by_item, ["item"], self.config.skew)
+
+    @cached_property
+    def hot_users(self) -> DataFrame | None:
+        return hot_keys(self.by_user, ["user"], self.config.skew)
+
+    @cached_property
+    def mean(self) -> Column:
+        return F.lit(global_stats(self.ratings).first()["avg_stars"]).cast("double")
+
+    @property
+    def has_integer_users(self) -> bool:
+        return isinstance(self.ratings.schema["user"].dataType, T.IntegralType)
 
 
 def user_history(ratings: DataFrame) -> DataFrame:
@@ -46,36 +81,39 @@ def user_history(ratings: DataFrame) -> DataFrame:
     )
 
 
-def active_users(stats: DataFrame, config: Config) -> DataFrame:
+def active_users(by_user: DataFrame, config: Config) -> DataFrame:
     """Users whose number of ratings lies within the co-rater bounds."""
-    return stats.where(F.col("n").between(config.min_user_ratings, config.max_user_ratings)).select("user", "n")
+    bounds = F.col("n").between(config.min_user_ratings, config.max_user_ratings)
+    return by_user.where(bounds).select("user", "n")
 
 
-def without_heavy_users(ratings: DataFrame, stats: DataFrame, config: Config) -> DataFrame:
+def without_heavy_users(facts: RatingFacts) -> DataFrame:
     """Ratings without hot users that are beyond the co-rater bound anyway.
 
     The broadcast drops them before any shuffle, so that no single user fills a partition only to
     be thrown away there.
     """
-    hot = hot_keys(stats, ["user"], config.skew).select("user")
-    beyond = stats.where(F.col("n") > config.max_user_ratings).select("user")
-    return ratings.join(F.broadcast(hot.join(beyond, "user", "left_semi")), "user", "left_anti")
+    if facts.hot_users is None:
+        return facts.ratings
+    beyond = facts.by_user.where(F.col("n") > facts.config.max_user_ratings).select("user")
+    heavy = facts.hot_users.select("user").join(beyond, "user", "left_semi")
+    return facts.ratings.join(F.broadcast(heavy), "user", "left_anti")
 
 
-def active_ratings(ratings: DataFrame, stats: DataFrame, config: Config) -> DataFrame:
-    """Ratings of active users; with one row per user in ``stats``, rows are never repeated."""
-    light = without_heavy_users(ratings, stats, config)
-    return light.join(active_users(stats, config).select("user"), "user")
+def active_ratings(facts: RatingFacts) -> DataFrame:
+    """Ratings of active users."""
+    active = active_users(facts.by_user, facts.config).select("user")
+    return without_heavy_users(facts).join(active, "user")
 
 
-def popular_items(stats: DataFrame, config: Config) -> DataFrame:
-    return stats.where(F.col("n") >= config.lsh.min_item_ratings).select("item", "n")
+def popular_items(by_item: DataFrame, config: Config) -> DataFrame:
+    return by_item.where(F.col("n") >= config.lsh.min_item_ratings).select("item", "n")
 
 
-def popular_ratings(ratings: DataFrame, stats: DataFrame, config: Config) -> DataFrame:
-    """Ratings of popular items; each item's rows are split over several tasks when it is hot."""
-    popular = popular_items(stats, config).select("item")
-    return lookup(ratings, popular, "item", stats, ["user"], config.skew, how="inner")
+def popular_ratings(facts: RatingFacts) -> DataFrame:
+    """Ratings of popular items."""
+    popular = popular_items(facts.by_item, facts.config).select("item")
+    return lookup(facts.ratings, popular, "item", facts.hot_items, ["user"], how="inner")
 
 
 def item_raters(ratings: DataFrame) -> DataFrame:
@@ -107,17 +145,14 @@ def user_index(ratings: DataFrame, buckets: int = 4096) -> DataFrame:
     )
 
 
-def baseline_predict(requests: DataFrame, ratings: DataFrame, config: Config) -> DataFrame:
+def baseline_predict(requests: DataFrame, facts: RatingFacts) -> DataFrame:
     """Item mean for every request, global mean for unknown items."""
-    means = item_stats(ratings).select("item", "avg_stars")
-    found = lookup(requests, means, "item", key_counts(requests, "item"), ["user"], config.skew)
+    means = facts.by_item.select("item", "avg_stars")
+    hot = hot_keys(key_counts(requests, "item"), ["item"], facts.config.skew)
+    found = lookup(requests, means, "item", hot, ["user"])
     return found.select(
         "user",
         "item",
-        F.coalesce("avg_stars", global_mean(ratings)).alias("prediction"),
+        F.coalesce("avg_stars", facts.mean).alias("prediction"),
         F.when(F.col("avg_stars").isNull(), "global_mean").otherwise("item_mean").alias("reason"),
     )
-
-
-def is_integer_key(df: DataFrame, key: str) -> bool:
-    return isinstance(df.schema[key].dataType, T.IntegralType)

@@ -13,11 +13,11 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwise import runtime
 from starwise.config import ModelConfig
 from starwise.functions.scalars import pair_hash
 from starwise.operators.features import FEATURES
 from starwise.operators.model import estimator, training_set
+from starwise.runtime import materialize
 
 HASH_SPACE = 2**32
 
@@ -154,7 +154,7 @@ def fold_and_part(features: DataFrame, folds: int) -> tuple[DataFrame, DataFrame
     """Train rows with their fold and validation rows, both as (features, label)."""
     hashed = pair_hash(F.col("item"), F.col("user"))
     rows = holdout_split(features).withColumn("fold", (hashed % folds).cast("int"))
-    ready = runtime.materialize(rows.select(*FEATURES, "stars", "fold", "part"))
+    ready = materialize(rows.select(*FEATURES, "stars", "fold", "part"))
     base_score = ready.where("part = 'train'").agg(F.avg("stars")).first()[0]
     train = ready.where("part = 'train'")
     labelled = training_set(train, base_score, "fold")

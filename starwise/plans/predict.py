@@ -5,61 +5,65 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwise import runtime
 from starwise.config import Config
-from starwise.operators import cf, features, hybrid, lsh, model, neighbors, similarity, stats
-from starwise.skew import key_counts, lookup
+from starwise.operators import cf, features, hybrid, lsh, model, neighbors, similarity
+from starwise.operators.stats import RatingFacts
+from starwise.runtime import materialize
+from starwise.skew import hot_keys, key_counts, lookup
 
 
-def find_buckets(ratings: DataFrame, item_stats: DataFrame, config: Config) -> DataFrame:
+def find_buckets(facts: RatingFacts) -> DataFrame:
     """Buckets of the items that have company; the signatures behind them are written once."""
-    signatures = runtime.materialize(lsh.band_signatures(ratings, item_stats, config))
-    return lsh.shared_buckets(signatures, config)
+    return lsh.shared_buckets(materialize(lsh.band_signatures(facts)), facts.config)
 
 
-def find_moments(ratings: DataFrame, config: Config, with_lsh: bool = True) -> DataFrame:
-    by_item, by_user = stats.item_stats(ratings), stats.user_stats(ratings)
-    buckets = find_buckets(ratings, by_item, config) if with_lsh else None
-    return similarity.pair_moments(ratings, by_user, by_item, buckets, config)
+def find_moments(facts: RatingFacts, with_lsh: bool = True) -> DataFrame:
+    return similarity.pair_moments(facts, find_buckets(facts) if with_lsh else None)
 
 
-def find_neighbors(ratings: DataFrame, config: Config, with_lsh: bool = True) -> DataFrame:
+def find_neighbors(facts: RatingFacts, with_lsh: bool = True) -> DataFrame:
     """(item, nbr, sim, rank): the neighbour list of every item that has one."""
-    similar = similarity.pair_similarity(find_moments(ratings, config, with_lsh), config)
-    return neighbors.top_neighbors(neighbors.similarity_edges(similar), config)
+    similar = similarity.pair_similarity(find_moments(facts, with_lsh), facts.config)
+    return neighbors.top_neighbors(neighbors.similarity_edges(similar), facts.config)
+
+
+def _request_hot_keys(unique: DataFrame, config: Config) -> tuple[DataFrame | None, DataFrame | None]:
+    return (
+        hot_keys(key_counts(unique, "item"), ["item"], config.skew),
+        hot_keys(key_counts(unique, "user"), ["user"], config.skew),
+    )
 
 
 def request_cards(
     unique: DataFrame,
-    ratings: DataFrame,
-    config: Config,
+    facts: RatingFacts,
     packed: DataFrame | None = None,
     item_features: DataFrame | None = None,
     user_features: DataFrame | None = None,
+    hot: tuple[DataFrame | None, DataFrame | None] | None = None,
 ) -> DataFrame:
     """``unique`` requests with item_avg, user_avg and whatever is given: neighbor_cnt, profiles.
 
     All facts about an item are put on one card first, and all about a user on another, so that a
     request is joined to two cards instead of to every table.
     """
-    item_card = stats.item_stats(ratings).select("item", F.col("avg_stars").alias("item_avg"))
-    user_card = stats.user_stats(ratings).select("user", F.col("avg_stars").alias("user_avg"))
+    item_card = facts.by_item.select("item", F.col("avg_stars").alias("item_avg"))
+    user_card = facts.by_user.select("user", F.col("avg_stars").alias("user_avg"))
     if packed is not None:
         item_card = item_card.join(packed.select("item", "neighbor_cnt"), "item", "left")
     if item_features is not None:
         item_card = item_card.join(item_features.withColumnRenamed("record_ok", "b_ok"), "item", "full")
     if user_features is not None:
         user_card = user_card.join(user_features.withColumnRenamed("record_ok", "u_ok"), "user", "full")
-    by_item, by_user = key_counts(unique, "item"), key_counts(unique, "user")
-    with_items = lookup(unique, item_card, "item", by_item, ["user"], config.skew)
-    return lookup(with_items, user_card, "user", by_user, ["item"], config.skew)
+    hot_items, hot_users = hot or _request_hot_keys(unique, facts.config)
+    with_items = lookup(unique, item_card, "item", hot_items, ["user"])
+    return lookup(with_items, user_card, "user", hot_users, ["item"])
 
 
 def request_frame(
     requests: DataFrame,
-    ratings: DataFrame,
+    facts: RatingFacts,
     neighbor_lists: DataFrame,
-    config: Config,
     item_features: DataFrame | None = None,
     user_features: DataFrame | None = None,
     cf_gate: int = 1,
@@ -69,35 +73,36 @@ def request_frame(
     Neighbours are only looked up for items with ``cf_gate`` of them or more; the columns
     n_common, weighted and weight are NULL elsewhere.
     """
-    unique = requests.select("user", "item").distinct()
-    packed = neighbors.packed_neighbors(neighbor_lists)
+    unique = materialize(requests.select("user", "item").distinct())
+    hot = _request_hot_keys(unique, facts.config)
+    packed = materialize(neighbors.packed_neighbors(neighbor_lists))
     gated = packed.where(F.col("neighbor_cnt") >= cf_gate)
-    opened = cf.open_requests(unique, gated, key_counts(unique, "item"), config)
-    hits = cf.rated_neighbors(opened, ratings)
-    cards = request_cards(unique, ratings, config, packed, item_features, user_features)
+    hits = cf.rated_neighbors(cf.open_requests(unique, gated, hot[0]), facts.ratings)
+    cards = request_cards(unique, facts, packed, item_features, user_features, hot)
     return cards.join(hits, ["user", "item"], "left")
 
 
-def cf_predict(requests: DataFrame, ratings: DataFrame, neighbor_lists: DataFrame, config: Config) -> DataFrame:
+def cf_predict(requests: DataFrame, facts: RatingFacts, neighbor_lists: DataFrame) -> DataFrame:
     """(user, item, n_common, prediction, reason), one row per different request."""
-    frame = request_frame(requests, ratings, neighbor_lists, config)
-    return frame.select(
+    n_common = F.when(F.col("user_avg").isNotNull(), F.col("n_common"))
+    return request_frame(requests, facts, neighbor_lists).select(
         "user",
         "item",
-        F.when(F.col("user_avg").isNull(), 0).otherwise(F.coalesce("n_common", F.lit(0))).cast("bigint").alias("n_common"),
-        cf.cf_score(stats.global_mean(ratings), config).alias("prediction"),
+        F.coalesce(n_common, F.lit(0)).cast("bigint").alias("n_common"),
+        cf.cf_score(facts.mean, facts.config).alias("prediction"),
         cf.cf_reason().alias("reason"),
     )
 
 
-def blend(scored: DataFrame, ratings: DataFrame, config: Config) -> DataFrame:
+def blend(scored: DataFrame, facts: RatingFacts) -> DataFrame:
     """(user, item, neighbor_cnt, prediction) from a request frame with ``model_score``."""
-    mean = stats.global_mean(ratings)
+    collaborative = cf.cf_score(facts.mean, facts.config)
+    blended = hybrid.hybrid_score(F.col("model_score"), collaborative, facts.mean, facts.config)
     return scored.select(
         "user",
         "item",
         F.coalesce("neighbor_cnt", F.lit(0)).cast("bigint").alias("neighbor_cnt"),
-        hybrid.hybrid_score(F.col("model_score"), cf.cf_score(mean, config), mean, config).alias("prediction"),
+        blended.alias("prediction"),
     )
 
 
@@ -108,55 +113,48 @@ def answer_all(requests: DataFrame, predictions: DataFrame, config: Config) -> D
     split by row number; ``requests`` must come from files or a checkpoint, where a retried task
     numbers its rows as before.
     """
-    copies = key_counts(requests, "user", "item")
+    keys = ["user", "item"]
+    hot = hot_keys(key_counts(requests, *keys), keys, config.skew)
     position = F.monotonically_increasing_id()
-    asked = requests.select("user", "item")
-    return lookup(asked, predictions, ["user", "item"], copies, [position], config.skew, how="inner")
+    return lookup(requests.select(*keys), predictions, keys, hot, [position], how="inner")
 
 
 def hybrid_predict(
     requests: DataFrame,
-    ratings: DataFrame,
+    facts: RatingFacts,
     neighbor_lists: DataFrame,
     user_features: DataFrame,
     item_features: DataFrame,
-    config: Config,
     fitted: model.RatingModel | None = None,
 ) -> DataFrame:
     """Blend of CF and the model, one row per different request.
 
     Without a fitted model its place is taken by the fallback score.
     """
-    frame = request_frame(
-        requests, ratings, neighbor_lists, config, item_features, user_features, config.gate_neighbors
-    )
-    mean = stats.global_mean(ratings)
+    gate = facts.config.gate_neighbors
+    frame = request_frame(requests, facts, neighbor_lists, item_features, user_features, gate)
     if fitted is None:
-        scored = frame.withColumn("model_score", hybrid.fallback_score(mean, config))
+        scored = frame.withColumn("model_score", hybrid.fallback_score(facts.mean, facts.config))
     else:
-        scored = model_scores(frame, fitted, ratings, config)
-    return blend(scored, ratings, config)
+        scored = model_scores(frame, fitted, facts)
+    return blend(scored, facts)
 
 
-def training_features(
-    ratings: DataFrame, user_features: DataFrame, item_features: DataFrame, config: Config
-) -> DataFrame:
+def training_features(facts: RatingFacts, user_features: DataFrame, item_features: DataFrame) -> DataFrame:
     """user, item, stars and the 22 model inputs for every rating."""
     profiled = features.with_profiles(
-        ratings, user_features, item_features, stats.user_stats(ratings), stats.item_stats(ratings), config
+        facts.ratings, user_features, item_features, facts.hot_users, facts.hot_items
     )
     return features.feature_vectors(profiled, "user", "item", "stars")
 
 
-def model_scores(frame: DataFrame, fitted: model.RatingModel, ratings: DataFrame, config: Config) -> DataFrame:
+def model_scores(frame: DataFrame, fitted: model.RatingModel, facts: RatingFacts) -> DataFrame:
     """``frame`` with ``model_score``: the fitted model's score, smoothed and clipped."""
-    mean = stats.global_mean(ratings)
     kept = [c for c in frame.columns if c not in features.FEATURES]
-    fallback = hybrid.fallback_score(mean, config).alias("fallback")
+    fallback = hybrid.fallback_score(facts.mean, facts.config).alias("fallback")
     inputs = features.feature_vectors(frame.select("*", fallback), *kept, "fallback")
-    return fitted.score(inputs).withColumn(
-        "model_score", hybrid.model_postprocess(F.col("model_raw"), F.col("fallback"), mean, config)
-    )
+    score = hybrid.model_postprocess(F.col("model_raw"), F.col("fallback"), facts.mean, facts.config)
+    return fitted.score(inputs).withColumn("model_score", score)
 
 
 def end_to_end(
@@ -166,14 +164,13 @@ def end_to_end(
     item_features: DataFrame,
     config: Config,
 ) -> DataFrame:
-    """(user, item, neighbor_cnt, prediction) from raw ratings, profiles and requests."""
-    requests = runtime.materialize(requests)
-    ratings = runtime.materialize(ratings)
-    user_features = runtime.materialize(user_features)
-    item_features = runtime.materialize(item_features)
-    neighbor_lists = runtime.materialize(find_neighbors(ratings, config))
-    fitted = model.fit(training_features(ratings, user_features, item_features, config), config.model)
+    """(user, item, prediction) for every request row, from ratings and profiles."""
+    requests = materialize(requests)
+    facts = RatingFacts(materialize(ratings), config)
+    user_features, item_features = materialize(user_features), materialize(item_features)
+    neighbor_lists = materialize(find_neighbors(facts))
+    fitted = model.fit(training_features(facts, user_features, item_features), config.model)
     predictions = hybrid_predict(
-        requests, ratings, neighbor_lists, user_features, item_features, config, fitted
+        requests, facts, neighbor_lists, user_features, item_features, fitted
     )
-    return answer_all(requests, predictions, config)
+    return answer_all(requests, predictions.select("user", "item", "prediction"), config)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from starwise.config import SkewConfig
 
-
 ColumnOrName = Column | str
 
 
@@ -18,43 +17,57 @@ def key_counts(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], skew: SkewConfig) -> DataFrame:
-    """Hot keys with the number of ``pieces`` to cut each into; at most ``1 / skew.share`` rows.
+def hot_keys(counts: DataFrame, keys: Sequence[str], skew: SkewConfig) -> DataFrame | None:
+    """Hot keys with the number of ``pieces`` to cut each into, or None if no key is hot.
 
-    ``counts`` has the key columns and the row count ``n``. The pieces of all hot keys together
-    number at most ``2 / skew.share``.
+    ``counts`` has the key columns and the row count ``n``. A hot key holds more than
+    ``skew.share`` of all rows, so at most ``1 / skew.share`` keys come to the driver, and their
+    pieces together number at most ``2 / skew.share``. Deciding this before the join keeps the
+    common plan, without hot keys, free of any extra step.
     """
-    total = counts.agg(F.sum("n")).scalar()
-    piece = F.greatest(total * skew.share, F.lit(float(skew.min_rows)))
-    return counts.where(F.col("n") > piece).select(
+    sizes = counts.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
+    piece = max((sizes["total"] or 0) * skew.share, skew.min_rows)
+    if (sizes["largest"] or 0) <= piece:
+        return None
+    hot = counts.where(F.col("n") > piece).select(
         *keys, F.ceil(F.col("n") / piece).cast("int").alias("pieces")
     )
+    return counts.sparkSession.createDataFrame(hot.collect(), hot.schema)
+
+
+def split_fact(fact: DataFrame, hot: DataFrame, keys: Sequence[str], spread: Sequence[ColumnOrName]) -> DataFrame:
+    """``fact`` with ``salt``: the piece of its hot key a row belongs to, 0 for cold keys.
+
+    The piece follows from a hash of the ``spread`` columns, so a retried task chooses alike.
+    """
+    pieces = F.col("pieces")
+    piece = F.pmod(F.xxhash64(*spread), pieces).cast("int")
+    marked = fact.join(F.broadcast(hot), list(keys), "left")
+    return marked.withColumn("salt", F.when(pieces.isNull(), 0).otherwise(piece)).drop("pieces")
+
+
+def repeat_dim(dim: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``dim`` with ``salt``: the row of a hot key once per piece, all others once."""
+    last = F.coalesce(F.col("pieces") - 1, F.lit(0))
+    marked = dim.join(F.broadcast(hot), list(keys), "left")
+    return marked.withColumn("salt", F.explode(F.sequence(F.lit(0), last))).drop("pieces")
 
 
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
     keys: str | Sequence[str],
-    counts: DataFrame,
+    hot: DataFrame | None,
     spread: Sequence[ColumnOrName],
-    skew: SkewConfig,
     how: str = "left",
 ) -> DataFrame:
-    """Join ``fact`` to ``dim`` (one row per key), splitting hot keys of ``fact``.
+    """Join ``fact`` to ``dim`` (one row per key), cutting the ``hot`` keys of ``fact``.
 
-    The rows of a hot key go to ``pieces`` different shuffle keys, chosen by a hash of the
-    ``spread`` columns so that a retried task makes the same choice; the dimension row is repeated
-    once per piece. Cold keys join as usual. ``counts`` are the rows of ``fact`` per key.
+    The rows of a hot key go to several shuffle keys and meet a copy of the dimension row at each.
+    Without hot keys this is the plain join.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hot = F.broadcast(hot_keys(counts, keys, skew))
-    pieces = F.col("pieces")
-    salted_fact = fact.join(hot, keys, "left").withColumn(
-        "salt",
-        F.when(pieces.isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), pieces).cast("int")),
-    )
-    salted_dim = dim.join(hot, keys, "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.coalesce(pieces - 1, F.lit(0))))
-    )
-    joined = salted_fact.drop("pieces").join(salted_dim.drop("pieces"), [*keys, "salt"], how)
-    return joined.drop("salt")
+    if hot is None:
+        return fact.join(dim, keys, how)
+    split = split_fact(fact, hot, keys, spread)
+    return split.join(repeat_dim(dim, hot, keys), [*keys, "salt"], how).drop("salt")
