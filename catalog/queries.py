@@ -25,7 +25,7 @@ from starwise.operators import (
 )
 from starwise.plans import predict
 from starwise.runtime import materialize
-from starwise.skew import hot_keys, key_counts
+from starwise.skew import hot_pair_keys
 from starwise.sources import profiles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,8 +283,7 @@ def feature_vectors(spark, sf_dir):
     train, held_out = tables.train_and_requests(spark, sf_dir, written=True)
     users, items = _profiles(spark, sf_dir, train)
     pairs = held_out.select("user", "item")
-    hot_items = hot_keys(key_counts(pairs, "item"), ["item"], DEFAULT.skew)
-    hot_users = hot_keys(key_counts(pairs, "user"), ["user"], DEFAULT.skew)
+    hot_items, hot_users = hot_pair_keys(pairs, DEFAULT.skew)
     found = features.with_profiles(pairs, users, items, hot_users, hot_items)
     return rounded(features.feature_vectors(found, "user", "item"), *features.FEATURES)
 

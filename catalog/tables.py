@@ -60,88 +60,63 @@ def train_and_requests(
     return rated.where(~held_out(split)), rated.where(held_out(split))
 
 
-def user_profile_lines(spark: SparkSession, sf_dir: str, train: DataFrame) -> DataFrame:
-    """Customers as JSON profile lines, with nulls, texts and gaps where real profiles have them."""
-    kinds = ["view", "click", "purchase", "signup", "error"]
-    counts = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.col("user_id").alias("id"))
-        .agg(*[F.count_if(F.col("event_type") == kind).alias(kind) for kind in kinds])
-    )
-    means = train.groupBy(F.col("user").alias("id")).agg(
-        F.avg("stars").alias("avg_stars"), F.count("stars").alias("n")
-    )
-    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_mktsegment")
-    known = customers.join(means, "id", "left").join(counts, "id", "left")
-    ident = F.col("id")
+def _json_line(fields: dict[str, str]) -> Column:
+    """A JSON object from SQL expressions for the raw field values; NULL leaves a field out."""
+    parts = ", ".join(f"""'"{name}":' || ({value})""" for name, value in fields.items())
+    return F.expr(f"'{{' || concat_ws(',', {parts}) || '}}'")
+
+
+USER_LINE = {
+    "user_id": "id",
+    "average_stars": "if(id % 29 <> 0, avg_stars, NULL)",
+    "review_count": "n",
+    "fans": """CASE WHEN id % 37 = 0 THEN 'null' WHEN id % 41 = 0 THEN '"x"' WHEN id % 43 = 0 THEN '"12"'
+               ELSE string(viewed) END""",
+    "useful": "click",
+    "cool": "purchase",
+    "funny": "signup",
+    "friends": """if(id % 3 <> 0, '"' || c_mktsegment || ',' || c_nationkey || '"', NULL)""",
+    "elite": """CASE id % 4 WHEN 0 THEN '""' WHEN 1 THEN '"None"' WHEN 2 THEN '"2015,2016"' ELSE 'null' END""",
+    "compliment_hot": "error",
+    "compliment_cool": "c_nationkey",
+    "compliment_funny": "id % 7",
+    "compliment_photos": "if(id % 2 = 0, id % 11, NULL)",
+}
+
+ATTRIBUTES = {
+    "RestaurantsPriceRange2": """CASE id % 5 WHEN 0 THEN '"3"' WHEN 1 THEN '"2.0"' WHEN 2 THEN '"x"' WHEN 3 THEN '4' END""",
+    "BusinessAcceptsCreditCards": """CASE id % 3 WHEN 0 THEN '"True"' WHEN 1 THEN 'true' ELSE 'null' END""",
+    "RestaurantsReservations": """CASE id % 4 WHEN 0 THEN '" yes "' WHEN 1 THEN '"no"' END""",
+    "RestaurantsTableService": """if(id % 2 = 0, '"1"', '1')""",
+    "WheelchairAccessible": """CASE id % 6 WHEN 0 THEN '"False"' WHEN 1 THEN '"TRUE"' END""",
+}
 
-    def field(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f'"{name}":'), value.cast("string"))
+ITEM_LINE = {
+    "business_id": "id",
+    "stars": "if(id % 23 <> 0, avg_stars, NULL)",
+    "review_count": "n",
+    "latitude": "if(id % 31 = 0, 'null', string(s_acctbal))",
+    "longitude": "if(id % 13 <> 0, s_nationkey * -1.5D, NULL)",
+    "categories": """CASE id % 3 WHEN 0 THEN '"Restaurants, Pizza"' WHEN 1 THEN '"restaurants"' ELSE 'null' END""",
+    "attributes": "if(id % 10 = 9, 'null', attributes)",
+}
 
-    def quoted(value: Column) -> Column:
-        return F.concat(F.lit('"'), value, F.lit('"'))
 
-    fans = (
-        F.when(ident % 37 == 0, "null")
-        .when(ident % 41 == 0, '"x"')
-        .when(ident % 43 == 0, '"12"')
-        .otherwise(F.col("view").cast("string"))
+def user_profile_lines(spark: SparkSession, sf_dir: str, train: DataFrame) -> DataFrame:
+    """Customers as JSON profile lines, with nulls, texts and gaps where real profiles have them."""
+    counts = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("id")).agg(
+        F.expr("count_if(event_type = 'view') AS viewed"),
+        *[F.expr(f"count_if(event_type = '{kind}') AS {kind}") for kind in ("click", "purchase", "signup", "error")],
     )
-    elite = F.when(ident % 4 == 0, "").when(ident % 4 == 1, "None").when(ident % 4 == 2, "2015,2016")
-    friends = F.when(ident % 3 != 0, F.concat_ws(",", "c_mktsegment", F.col("c_nationkey").cast("string")))
-    parts = [
-        field("user_id", ident),
-        field("average_stars", F.when(ident % 29 != 0, F.col("avg_stars"))),
-        field("review_count", F.col("n")),
-        field("fans", fans),
-        field("useful", F.col("click")),
-        field("cool", F.col("purchase")),
-        field("funny", F.col("signup")),
-        field("friends", quoted(friends)),
-        field("elite", F.coalesce(quoted(elite), F.lit("null"))),
-        field("compliment_hot", F.col("error")),
-        field("compliment_cool", F.col("c_nationkey")),
-        field("compliment_funny", ident % 7),
-        field("compliment_photos", F.when(ident % 2 == 0, ident % 11)),
-    ]
-    return known.select(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("line"))
+    means = train.groupBy(F.col("user").alias("id")).agg(F.expr("avg(stars) AS avg_stars"), F.expr("count(stars) AS n"))
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "id")
+    known = customers.join(means, "id", "left").join(counts, "id", "left")
+    return known.select(_json_line(USER_LINE).alias("line"))
 
 
 def item_profile_lines(spark: SparkSession, sf_dir: str, train: DataFrame) -> DataFrame:
     """Suppliers as JSON profile lines, with nulls, odd texts and gaps."""
-    means = train.groupBy(F.col("item").alias("id")).agg(
-        F.avg("stars").alias("avg_stars"), F.count("stars").alias("n")
-    )
-    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), "s_nationkey", "s_acctbal")
-    known = suppliers.join(means, "id", "left")
-    ident = F.col("id")
-
-    def field(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f'"{name}":'), value.cast("string"))
-
-    level = (
-        F.when(ident % 5 == 0, '"3"').when(ident % 5 == 1, '"2.0"').when(ident % 5 == 2, '"x"').when(ident % 5 == 3, "4")
-    )
-    attributes = F.concat(
-        F.lit("{"),
-        F.concat_ws(
-            ",",
-            field("RestaurantsPriceRange2", level),
-            field("BusinessAcceptsCreditCards", F.when(ident % 3 == 0, '"True"').when(ident % 3 == 1, "true").otherwise("null")),
-            field("RestaurantsReservations", F.when(ident % 4 == 0, '" yes "').when(ident % 4 == 1, '"no"')),
-            field("RestaurantsTableService", F.when(ident % 2 == 0, '"1"').otherwise("1")),
-            field("WheelchairAccessible", F.when(ident % 6 == 0, '"False"').when(ident % 6 == 1, '"TRUE"')),
-        ),
-        F.lit("}"),
-    )
-    categories = F.when(ident % 3 == 0, '"Restaurants, Pizza"').when(ident % 3 == 1, '"restaurants"').otherwise("null")
-    parts = [
-        field("business_id", ident),
-        field("stars", F.when(ident % 23 != 0, F.col("avg_stars"))),
-        field("review_count", F.col("n")),
-        field("latitude", F.when(ident % 31 == 0, "null").otherwise(F.col("s_acctbal").cast("string"))),
-        field("longitude", F.when(ident % 13 != 0, F.col("s_nationkey") * -1.5)),
-        field("categories", categories),
-        field("attributes", F.when(ident % 10 == 9, "null").otherwise(attributes)),
-    ]
-    return known.select(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("line"))
+    means = train.groupBy(F.col("item").alias("id")).agg(F.expr("avg(stars) AS avg_stars"), F.expr("count(stars) AS n"))
+    suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "id")
+    known = suppliers.join(means, "id", "left").withColumn("attributes", _json_line(ATTRIBUTES))
+    return known.select(_json_line(ITEM_LINE).alias("line"))

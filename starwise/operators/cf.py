@@ -9,7 +9,8 @@ from starwise.config import Config
 from starwise.functions.scalars import clip
 from starwise.operators.neighbors import packed_neighbors
 from starwise.operators.stats import RatingFacts
-from starwise.skew import hot_keys, key_counts, lookup
+from starwise.runtime import materialize
+from starwise.skew import hot_pair_keys, lookup
 
 
 def open_requests(unique: DataFrame, packed: DataFrame, hot_items: DataFrame | None) -> DataFrame:
@@ -41,9 +42,9 @@ def rated_neighbors(opened: DataFrame, ratings: DataFrame) -> DataFrame:
 
 def common_neighbors(requests: DataFrame, facts: RatingFacts, neighbors: DataFrame) -> DataFrame:
     """(user, item, n_common) for requests with at least one rated neighbour."""
-    unique = requests.select("user", "item").distinct()
-    hot = hot_keys(key_counts(unique, "item"), ["item"], facts.config.skew)
-    opened = open_requests(unique, packed_neighbors(neighbors), hot)
+    unique = materialize(requests.select("user", "item").distinct())
+    hot_items, _ = hot_pair_keys(unique, facts.config.skew)
+    opened = open_requests(unique, packed_neighbors(neighbors), hot_items)
     return rated_neighbors(opened, facts.ratings).select("user", "item", "n_common")
 
 

@@ -97,7 +97,7 @@ def shared_buckets(signatures: DataFrame, config: Config) -> DataFrame:
         F.bit_xor(F.xxhash64("item")).alias("check_a"),
         F.bit_xor(F.xxhash64("item", F.lit("b"))).alias("check_b"),
     )
-    hot = hot_keys(buckets, keys, config.skew)
+    hot = hot_keys(buckets, keys, signatures.count(), config.skew)
     named = lookup(signatures, buckets.where(F.col("n") > 1), keys, hot, ["item"], how="inner")
     return (
         named.groupBy("item", "bucket", "last", "n", "check_a", "check_b")

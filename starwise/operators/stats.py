@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -53,15 +53,19 @@ class RatingFacts:
 
     @cached_property
     def hot_items(self) -> DataFrame | None:
-        return hot_keys(self.by_item, ["item"], self.config.skew)
+        return hot_keys(self.by_item, ["item"], self._totals["n"], self.config.skew)
 
     @cached_property
     def hot_users(self) -> DataFrame | None:
-        return hot_keys(self.by_user, ["user"], self.config.skew)
+        return hot_keys(self.by_user, ["user"], self._totals["n"], self.config.skew)
 
     @cached_property
+    def _totals(self) -> Row:
+        return global_stats(self.ratings).first()
+
+    @property
     def mean(self) -> Column:
-        return F.lit(global_stats(self.ratings).first()["avg_stars"]).cast("double")
+        return F.lit(self._totals["avg_stars"]).cast("double")
 
     @property
     def has_integer_users(self) -> bool:
@@ -148,7 +152,7 @@ def user_index(ratings: DataFrame, buckets: int = 4096) -> DataFrame:
 def baseline_predict(requests: DataFrame, facts: RatingFacts) -> DataFrame:
     """Item mean for every request, global mean for unknown items."""
     means = facts.by_item.select("item", "avg_stars")
-    hot = hot_keys(key_counts(requests, "item"), ["item"], facts.config.skew)
+    hot = hot_keys(key_counts(requests, "item"), ["item"], requests.count(), facts.config.skew)
     found = lookup(requests, means, "item", hot, ["user"])
     return found.select(
         "user",

@@ -9,7 +9,7 @@ from starwise.config import Config
 from starwise.operators import cf, features, hybrid, lsh, model, neighbors, similarity
 from starwise.operators.stats import RatingFacts
 from starwise.runtime import materialize
-from starwise.skew import hot_keys, key_counts, lookup
+from starwise.skew import hot_keys, hot_pair_keys, key_counts, lookup
 
 
 def find_buckets(facts: RatingFacts) -> DataFrame:
@@ -27,13 +27,6 @@ def find_neighbors(facts: RatingFacts, with_lsh: bool = True) -> DataFrame:
     return neighbors.top_neighbors(neighbors.similarity_edges(similar), facts.config)
 
 
-def _request_hot_keys(unique: DataFrame, config: Config) -> tuple[DataFrame | None, DataFrame | None]:
-    return (
-        hot_keys(key_counts(unique, "item"), ["item"], config.skew),
-        hot_keys(key_counts(unique, "user"), ["user"], config.skew),
-    )
-
-
 def request_cards(
     unique: DataFrame,
     facts: RatingFacts,
@@ -55,7 +48,7 @@ def request_cards(
         item_card = item_card.join(item_features.withColumnRenamed("record_ok", "b_ok"), "item", "full")
     if user_features is not None:
         user_card = user_card.join(user_features.withColumnRenamed("record_ok", "u_ok"), "user", "full")
-    hot_items, hot_users = hot or _request_hot_keys(unique, facts.config)
+    hot_items, hot_users = hot or hot_pair_keys(unique, facts.config.skew)
     with_items = lookup(unique, item_card, "item", hot_items, ["user"])
     return lookup(with_items, user_card, "user", hot_users, ["item"])
 
@@ -74,7 +67,7 @@ def request_frame(
     n_common, weighted and weight are NULL elsewhere.
     """
     unique = materialize(requests.select("user", "item").distinct())
-    hot = _request_hot_keys(unique, facts.config)
+    hot = hot_pair_keys(unique, facts.config.skew)
     packed = materialize(neighbors.packed_neighbors(neighbor_lists))
     gated = packed.where(F.col("neighbor_cnt") >= cf_gate)
     hits = cf.rated_neighbors(cf.open_requests(unique, gated, hot[0]), facts.ratings)
@@ -114,7 +107,7 @@ def answer_all(requests: DataFrame, predictions: DataFrame, config: Config) -> D
     numbers its rows as before.
     """
     keys = ["user", "item"]
-    hot = hot_keys(key_counts(requests, *keys), keys, config.skew)
+    hot = hot_keys(key_counts(requests, *keys), keys, requests.count(), config.skew)
     position = F.monotonically_increasing_id()
     return lookup(requests.select(*keys), predictions, keys, hot, [position], how="inner")
 

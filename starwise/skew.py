@@ -17,22 +17,29 @@ def key_counts(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], skew: SkewConfig) -> DataFrame | None:
+def hot_keys(counts: DataFrame, keys: Sequence[str], total: int, skew: SkewConfig) -> DataFrame | None:
     """Hot keys with the number of ``pieces`` to cut each into, or None if no key is hot.
 
-    ``counts`` has the key columns and the row count ``n``. A hot key holds more than
-    ``skew.share`` of all rows, so at most ``1 / skew.share`` keys come to the driver, and their
-    pieces together number at most ``2 / skew.share``. Deciding this before the join keeps the
-    common plan, without hot keys, free of any extra step.
+    ``counts`` has the key columns and their rows ``n``, ``total`` is the number of all rows. A hot
+    key holds more than ``skew.share`` of them, so at most ``1 / skew.share`` keys come to the
+    driver, and their pieces together number at most ``2 / skew.share``. Deciding this before the
+    join keeps the common plan, without hot keys, free of any extra step.
     """
-    sizes = counts.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
-    piece = max((sizes["total"] or 0) * skew.share, skew.min_rows)
-    if (sizes["largest"] or 0) <= piece:
+    piece = max(total * skew.share, skew.min_rows)
+    if total <= piece:
         return None
     hot = counts.where(F.col("n") > piece).select(
         *keys, F.ceil(F.col("n") / piece).cast("int").alias("pieces")
     )
-    return counts.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    found = hot.collect()
+    return counts.sparkSession.createDataFrame(found, hot.schema) if found else None
+
+
+def hot_pair_keys(pairs: DataFrame, skew: SkewConfig) -> tuple[DataFrame | None, DataFrame | None]:
+    """Hot items and hot users of (user, item) rows that are cheap to read."""
+    total = pairs.count()
+    items = hot_keys(key_counts(pairs, "item"), ["item"], total, skew)
+    return items, hot_keys(key_counts(pairs, "user"), ["user"], total, skew)
 
 
 def split_fact(fact: DataFrame, hot: DataFrame, keys: Sequence[str], spread: Sequence[ColumnOrName]) -> DataFrame:

@@ -7,6 +7,7 @@ are zero (``record_ok`` is false). Lines that are no JSON object at all are drop
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
@@ -55,76 +56,72 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 def count_unreadable(lines: DataFrame) -> DataFrame:
     """One row: how many lines there are and how many are no JSON object."""
     return lines.agg(
-        F.count("line").alias("lines"),
-        F.count_if(F.coalesce(~_is_object(F.try_parse_json("line")), F.lit(True))).alias("unreadable"),
+        F.count("line").alias("lines"), F.count_if(_fields(()).isNull()).alias("unreadable")
     )
 
 
-def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
+def _fields(names: Iterable[str]) -> Column:
+    """The named fields of a line in one pass; NULL for a line that is no JSON object.
 
+    A field of the struct is NULL where it is absent and a variant null where it is null.
+    """
+    kind = ", ".join(f"{name}: variant" for name in names) or "_: variant"
+    return F.try_variant_get(F.try_parse_json("line"), "$", f"struct<{kind}>")
 
-def _field(name: str, kind: str) -> Column:
-    return F.try_variant_get("v", f"$.{name}", kind)
 
+def _as(field: str, kind: str) -> Column:
+    return F.try_variant_get(F.col(f"p.{field}"), "$", kind)
 
-def _absent(name: str) -> Column:
-    return _field(name, "variant").isNull()
 
-
-def _number(name: str, kind: str, default: float) -> Column:
+def _number(field: str, kind: str, default: float) -> Column:
     """The field as a number, its default where absent, NULL where it spoils the record."""
-    return F.when(_absent(name), F.lit(default).cast(kind)).otherwise(_field(name, kind))
+    return F.when(F.col(f"p.{field}").isNull(), F.lit(default).cast(kind)).otherwise(_as(field, kind))
 
 
-def _parsed(lines: DataFrame, id_field: str, key: str, key_type: str) -> DataFrame:
-    parsed = lines.select("line", F.try_parse_json("line").alias("v")).where(_is_object(F.col("v")))
-    return parsed.withColumn(key, _field(id_field, "string").try_cast(key_type)).where(
-        F.col(key).isNotNull()
-    )
+def _attribute(name: str, kind: str) -> Column:
+    return F.try_variant_get(F.col("p.attributes"), f"$.{name}", kind)
 
 
-def _finish(features: DataFrame, key: str, names: tuple[str, ...]) -> DataFrame:
-    """Zero spoiled records, and keep one record per id, picked independently of row order."""
-    ok = reduce(and_, [F.col(name).isNotNull() for name in names])
-    record = F.struct(
-        *[F.when(F.col("record_ok"), F.col(name)).otherwise(0).alias(name) for name in names],
-        "record_ok",
-    )
+def _records(
+    lines: DataFrame, fields: Iterable[str], id_field: str, key: str, key_type: str, columns: dict[str, Column]
+) -> DataFrame:
+    """Feature columns by id; spoiled records are zero, and of several records the highest stays."""
+    ident = _as(id_field, "string").try_cast(key_type)
+    parsed = lines.select(_fields([id_field, *fields]).alias("p"))
+    read = parsed.select(ident.alias(key), *[column.alias(name) for name, column in columns.items()])
+    ok = reduce(and_, [F.col(name).isNotNull() for name in columns])
+    values = [F.when(F.col("record_ok"), F.col(name)).otherwise(0).alias(name) for name in columns]
     return (
-        features.withColumn("record_ok", ok)
+        read.where(F.col(key).isNotNull())
+        .withColumn("record_ok", ok)
         .groupBy(key)
-        .agg(F.max_by(record, F.col("line")).alias("r"))
-        .select(key, "r.*")
+        .agg(F.max(F.struct("record_ok", *values)).alias("r"))
+        .select(key, *[f"r.{name}" for name in columns], "r.record_ok")
     )
 
 
 def user_features(lines: DataFrame, key_type: str = "string") -> DataFrame:
     """(user, 12 features, record_ok) from user profile lines."""
-    parsed = _parsed(lines, "user_id", "user", key_type)
     columns = {"u_avg_stars": _number("average_stars", "double", float("nan"))}
     columns |= {name: _number(field, "bigint", 0) for name, field in USER_COUNTS.items()}
-    columns |= {name: list_count(_field(field, "string")) for name, field in USER_LISTS.items()}
-    extracted = parsed.select("user", "line", *[columns[name].alias(name) for name in USER_FEATURES])
-    return _finish(extracted, "user", USER_FEATURES)
+    columns |= {name: list_count(_as(field, "string")) for name, field in USER_LISTS.items()}
+    fields = ["average_stars", *USER_COUNTS.values(), *USER_LISTS.values()]
+    ordered = {name: columns[name] for name in USER_FEATURES}
+    return _records(lines, fields, "user_id", "user", key_type, ordered)
 
 
 def item_features(lines: DataFrame, key_type: str = "string") -> DataFrame:
     """(item, 10 features, record_ok) from item profile lines."""
-    parsed = _parsed(lines, "business_id", "item", key_type)
+    dining = F.contains(_as("categories", "string"), F.lit(RESTAURANT_WORD))
     columns = {
         "b_avg_stars": _number("stars", "double", float("nan")),
         "b_review_cnt": _number("review_count", "bigint", 0),
         "b_latitude": _number("latitude", "double", 0.0),
         "b_longitude": _number("longitude", "double", 0.0),
-        "b_price": price(_field(f"attributes.{PRICE_FIELD}", "int")).cast("double"),
-        "b_is_restaurant": F.coalesce(
-            F.contains(_field("categories", "string"), F.lit(RESTAURANT_WORD)), F.lit(False)
-        ).cast("double"),
-    }
-    columns |= {
-        name: flag(_field(f"attributes.{field}", "string")).cast("double")
-        for name, field in ITEM_FLAGS.items()
+        "b_price": price(_attribute(PRICE_FIELD, "int")).cast("double"),
+        "b_is_restaurant": F.coalesce(dining, F.lit(False)).cast("double"),
     }
-    extracted = parsed.select("item", "line", *[columns[name].alias(name) for name in ITEM_FEATURES])
-    return _finish(extracted, "item", ITEM_FEATURES)
+    columns |= {name: flag(_attribute(field, "string")).cast("double") for name, field in ITEM_FLAGS.items()}
+    fields = ["stars", "review_count", "latitude", "longitude", "categories", "attributes"]
+    ordered = {name: columns[name] for name in ITEM_FEATURES}
+    return _records(lines, fields, "business_id", "item", key_type, ordered)
