@@ -279,9 +279,14 @@ def item_features(spark, sf_dir):
     return rounded(found, "b_avg_stars")
 
 
+def _inputs(spark, sf_dir, train: DataFrame) -> tuple[DataFrame, DataFrame]:
+    users, items = _profiles(spark, sf_dir, train)
+    return features.model_inputs(users, "user"), features.model_inputs(items, "item")
+
+
 def feature_vectors(spark, sf_dir):
     train, held_out = tables.train_and_requests(spark, sf_dir, written=True)
-    users, items = _profiles(spark, sf_dir, train)
+    users, items = _inputs(spark, sf_dir, train)
     pairs = held_out.select("user", "item")
     hot_items, hot_users = hot_pair_keys(pairs, DEFAULT.skew)
     found = features.with_profiles(pairs, users, items, hot_users, hot_items)
@@ -291,7 +296,7 @@ def feature_vectors(spark, sf_dir):
 def _requests_without_model(spark, sf_dir) -> tuple[DataFrame, stats.RatingFacts]:
     """Requests with means and profiles, and the train ratings."""
     facts, held_out = _facts(spark, sf_dir)
-    users, items = _profiles(spark, sf_dir, facts.ratings)
+    users, items = _inputs(spark, sf_dir, facts.ratings)
     pairs = held_out.select("user", "item")
     return predict.request_cards(pairs, facts, None, items, users), facts
 
@@ -315,7 +320,7 @@ def model_postprocess(spark, sf_dir):
 
 def hybrid_predict(spark, sf_dir):
     facts, held_out = _facts(spark, sf_dir, MIXED)
-    users, items = _profiles(spark, sf_dir, facts.ratings)
+    users, items = _inputs(spark, sf_dir, facts.ratings)
     lists = predict.find_neighbors(facts)
     return rounded(predict.hybrid_predict(held_out, facts, lists, users, items), "prediction")
 
@@ -345,8 +350,8 @@ def holdout_split(spark, sf_dir):
 
 def model_predict(spark, sf_dir):
     facts, held_out = _facts(spark, sf_dir)
-    users, items = (materialize(p) for p in _profiles(spark, sf_dir, facts.ratings))
-    fitted = model.fit(predict.training_features(facts, users, items), TREES)
+    users, items = (materialize(p) for p in _inputs(spark, sf_dir, facts.ratings))
+    fitted = model.fit(predict.training_features(facts, users, items), TREES, facts.mean_value)
     frame = predict.request_cards(held_out.select("user", "item"), facts, None, items, users)
     scored = predict.model_scores(frame, fitted, facts)
     return scored.select("user", "item", F.col("model_score").alias("prediction"))
@@ -354,7 +359,7 @@ def model_predict(spark, sf_dir):
 
 def _tuned(spark, sf_dir) -> tuning.Tuned:
     facts, _ = _facts(spark, sf_dir)
-    users, items = _profiles(spark, sf_dir, facts.ratings)
+    users, items = _inputs(spark, sf_dir, facts.ratings)
     rows = predict.training_features(facts, users, items)
     base = replace(TREES, n_estimators=5)
     return tuning.tune(rows, COARSE, folds=2, base=base, fine=FINE)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwise.functions.scalars import finite, safe_log1p
@@ -15,32 +15,37 @@ FEATURES = (*ITEM_FEATURES, *USER_FEATURES)
 LOG_FEATURES = frozenset(["b_review_cnt", *USER_FEATURES[1:]])
 
 
-def feature_columns() -> list[Column]:
-    """Model inputs from raw profile columns: logs of counts, zeros for anything missing."""
-    columns = []
-    for name in FEATURES:
-        raw = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-        columns.append(finite(safe_log1p(raw) if name in LOG_FEATURES else raw).alias(name))
-    return columns
+def model_inputs(profiles: DataFrame, key: str) -> DataFrame:
+    """Profiles of one side as model inputs, computed once per profile and not once per pair.
+
+    Counts become logs, and whatever is not finite becomes 0. ``<key>_stars`` keeps the profile's
+    mean rating as it was read; it is NULL for spoiled records.
+    """
+    names, stars = (ITEM_FEATURES, "b_avg_stars") if key == "item" else (USER_FEATURES, "u_avg_stars")
+    inputs = [
+        finite(safe_log1p(F.col(name)) if name in LOG_FEATURES else F.col(name)).alias(name)
+        for name in names
+    ]
+    kept = F.when(F.col("record_ok"), F.col(stars)).alias(f"{key}_stars")
+    return profiles.select(key, *inputs, kept)
 
 
 def with_profiles(
     pairs: DataFrame,
-    user_features: DataFrame,
-    item_features: DataFrame,
+    user_inputs: DataFrame,
+    item_inputs: DataFrame,
     hot_users: DataFrame | None,
     hot_items: DataFrame | None,
 ) -> DataFrame:
-    """``pairs`` with the raw profile columns of both sides; NULL where there is no profile.
+    """``pairs`` with the model inputs of both sides; NULL where there is no profile.
 
     ``hot_users`` and ``hot_items`` are the hot keys of ``pairs``.
     """
-    items = item_features.withColumnRenamed("record_ok", "b_ok")
-    users = user_features.withColumnRenamed("record_ok", "u_ok")
-    found = lookup(pairs, items, "item", hot_items, ["user"])
-    return lookup(found, users, "user", hot_users, ["item"])
+    found = lookup(pairs, item_inputs, "item", hot_items, ["user"])
+    return lookup(found, user_inputs, "user", hot_users, ["item"])
 
 
 def feature_vectors(pairs_with_profiles: DataFrame, *kept: str) -> DataFrame:
-    """The kept columns and the 22 model inputs."""
-    return pairs_with_profiles.select(*kept, *feature_columns())
+    """The kept columns and the 22 model inputs, 0 for missing profiles."""
+    filled = [F.coalesce(name, F.lit(0.0)).alias(name) for name in FEATURES]
+    return pairs_with_profiles.select(*kept, *filled)

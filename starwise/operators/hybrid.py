@@ -25,15 +25,13 @@ def blend_weight(n: Column, config: Config) -> Column:
 
 
 def fallback_score(global_mean: Column, config: Config) -> Column:
-    """Score without a model, from item_avg, user_avg and the raw profile stars."""
+    """Score without a model, from item_avg, user_avg and the profiles' own mean ratings."""
     share = config.fallback_mean_share
 
-    def side(mean: str, profile_stars: str, profile_ok: str) -> Column:
-        known = F.coalesce(F.col(profile_ok), F.lit(False))
-        stars = F.when(known, F.col(profile_stars)).otherwise(global_mean)
-        return share * F.coalesce(mean, global_mean) + (1 - share) * stars
+    def side(mean: str, profile_stars: str) -> Column:
+        return share * F.coalesce(mean, global_mean) + (1 - share) * F.coalesce(profile_stars, global_mean)
 
-    return 0.5 * (side("item_avg", "b_avg_stars", "b_ok") + side("user_avg", "u_avg_stars", "u_ok"))
+    return 0.5 * (side("item_avg", "item_stars") + side("user_avg", "user_stars"))
 
 
 def model_postprocess(raw: Column, fallback: Column, global_mean: Column, config: Config) -> Column:

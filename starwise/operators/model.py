@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from starwise.config import ModelConfig
 from starwise.operators.features import FEATURES
-from starwise.runtime import materialize
+from starwise.runtime import ensure_checkpoint_dir
 
 
 def estimator(model: ModelConfig) -> GBTRegressor:
@@ -62,9 +63,21 @@ class RatingModel:
         return scored.withColumn(column, F.col("offset") + self.base_score).drop("features", "offset")
 
 
-def fit(features: DataFrame, model: ModelConfig) -> RatingModel:
-    """Fit on the 22 inputs and ``stars``; only the global mean and the trees reach the driver."""
-    ready = materialize(features.select(*FEATURES, "stars"))
-    base_score = ready.agg(F.avg("stars")).first()[0]
-    return RatingModel(estimator(model).fit(training_set(ready, base_score)), base_score)
+def on_all_cores(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores; large data already is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
+
+def fit(features: DataFrame, model: ModelConfig, base_score: float) -> RatingModel:
+    """Fit on the 22 inputs and ``stars``; only the trees reach the driver.
+
+    ``base_score`` is the global mean, from which the first tree starts. The training rows are
+    cached because the regressor scans them several times before it keeps its own compact copy.
+    """
+    ensure_checkpoint_dir(features.sparkSession)
+    train = training_set(features, base_score).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return RatingModel(estimator(model).fit(on_all_cores(train)), base_score)
+    finally:
+        train.unpersist()

@@ -63,9 +63,13 @@ class RatingFacts:
     def _totals(self) -> Row:
         return global_stats(self.ratings).first()
 
+    @property
+    def mean_value(self) -> float:
+        return self._totals["avg_stars"]
+
     @property
     def mean(self) -> Column:
-        return F.lit(self._totals["avg_stars"]).cast("double")
+        return F.lit(self.mean_value).cast("double")
 
     @property
     def has_integer_users(self) -> bool:

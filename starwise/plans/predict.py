@@ -31,8 +31,8 @@ def request_cards(
     unique: DataFrame,
     facts: RatingFacts,
     packed: DataFrame | None = None,
-    item_features: DataFrame | None = None,
-    user_features: DataFrame | None = None,
+    item_inputs: DataFrame | None = None,
+    user_inputs: DataFrame | None = None,
     hot: tuple[DataFrame | None, DataFrame | None] | None = None,
 ) -> DataFrame:
     """``unique`` requests with item_avg, user_avg and whatever is given: neighbor_cnt, profiles.
@@ -44,10 +44,10 @@ def request_cards(
     user_card = facts.by_user.select("user", F.col("avg_stars").alias("user_avg"))
     if packed is not None:
         item_card = item_card.join(packed.select("item", "neighbor_cnt"), "item", "left")
-    if item_features is not None:
-        item_card = item_card.join(item_features.withColumnRenamed("record_ok", "b_ok"), "item", "full")
-    if user_features is not None:
-        user_card = user_card.join(user_features.withColumnRenamed("record_ok", "u_ok"), "user", "full")
+    if item_inputs is not None:
+        item_card = item_card.join(item_inputs, "item", "full")
+    if user_inputs is not None:
+        user_card = user_card.join(user_inputs, "user", "full")
     hot_items, hot_users = hot or hot_pair_keys(unique, facts.config.skew)
     with_items = lookup(unique, item_card, "item", hot_items, ["user"])
     return lookup(with_items, user_card, "user", hot_users, ["item"])
@@ -57,8 +57,8 @@ def request_frame(
     requests: DataFrame,
     facts: RatingFacts,
     neighbor_lists: DataFrame,
-    item_features: DataFrame | None = None,
-    user_features: DataFrame | None = None,
+    item_inputs: DataFrame | None = None,
+    user_inputs: DataFrame | None = None,
     cf_gate: int = 1,
 ) -> DataFrame:
     """One row per different request: its cards and its rated neighbours.
@@ -71,7 +71,7 @@ def request_frame(
     packed = materialize(neighbors.packed_neighbors(neighbor_lists))
     gated = packed.where(F.col("neighbor_cnt") >= cf_gate)
     hits = cf.rated_neighbors(cf.open_requests(unique, gated, hot[0]), facts.ratings)
-    cards = request_cards(unique, facts, packed, item_features, user_features, hot)
+    cards = request_cards(unique, facts, packed, item_inputs, user_inputs, hot)
     return cards.join(hits, ["user", "item"], "left")
 
 
@@ -116,8 +116,8 @@ def hybrid_predict(
     requests: DataFrame,
     facts: RatingFacts,
     neighbor_lists: DataFrame,
-    user_features: DataFrame,
-    item_features: DataFrame,
+    user_inputs: DataFrame,
+    item_inputs: DataFrame,
     fitted: model.RatingModel | None = None,
 ) -> DataFrame:
     """Blend of CF and the model, one row per different request.
@@ -125,7 +125,7 @@ def hybrid_predict(
     Without a fitted model its place is taken by the fallback score.
     """
     gate = facts.config.gate_neighbors
-    frame = request_frame(requests, facts, neighbor_lists, item_features, user_features, gate)
+    frame = request_frame(requests, facts, neighbor_lists, item_inputs, user_inputs, gate)
     if fitted is None:
         scored = frame.withColumn("model_score", hybrid.fallback_score(facts.mean, facts.config))
     else:
@@ -133,10 +133,10 @@ def hybrid_predict(
     return blend(scored, facts)
 
 
-def training_features(facts: RatingFacts, user_features: DataFrame, item_features: DataFrame) -> DataFrame:
+def training_features(facts: RatingFacts, user_inputs: DataFrame, item_inputs: DataFrame) -> DataFrame:
     """user, item, stars and the 22 model inputs for every rating."""
     profiled = features.with_profiles(
-        facts.ratings, user_features, item_features, facts.hot_users, facts.hot_items
+        facts.ratings, user_inputs, item_inputs, facts.hot_users, facts.hot_items
     )
     return features.feature_vectors(profiled, "user", "item", "stars")
 
@@ -160,10 +160,10 @@ def end_to_end(
     """(user, item, prediction) for every request row, from ratings and profiles."""
     requests = materialize(requests)
     facts = RatingFacts(materialize(ratings), config)
-    user_features, item_features = materialize(user_features), materialize(item_features)
+    user_inputs = materialize(features.model_inputs(user_features, "user"))
+    item_inputs = materialize(features.model_inputs(item_features, "item"))
     neighbor_lists = materialize(find_neighbors(facts))
-    fitted = model.fit(training_features(facts, user_features, item_features), config.model)
-    predictions = hybrid_predict(
-        requests, facts, neighbor_lists, user_features, item_features, fitted
-    )
+    train = training_features(facts, user_inputs, item_inputs)
+    fitted = model.fit(train, config.model, facts.mean_value)
+    predictions = hybrid_predict(requests, facts, neighbor_lists, user_inputs, item_inputs, fitted)
     return answer_all(requests, predictions.select("user", "item", "prediction"), config)
