@@ -37,6 +37,7 @@ BUSY = replace(DEFAULT, min_user_ratings=30)
 IN_DEMAND = replace(DEFAULT, lsh=LshConfig(min_item_ratings=425))
 # Few and large steps instead of the 1000 small ones of the default settings.
 TREES = ModelConfig(n_estimators=20, learning_rate=0.1)
+FEW_TREES = replace(TREES, n_estimators=5)
 SAMPLE_SIZE = 20_000
 COARSE = {"learning_rate": (0.05, 0.1), "max_depth": (3, 4)}
 FINE = {"learning_rate": (0.1, 0.2), "max_depth": (3,)}
@@ -357,20 +358,18 @@ def model_predict(spark, sf_dir):
     return scored.select("user", "item", F.col("model_score").alias("prediction"))
 
 
-def _tuned(spark, sf_dir) -> tuning.Tuned:
+def _tuning_features(spark, sf_dir) -> DataFrame:
     facts, _ = _facts(spark, sf_dir)
-    users, items = _inputs(spark, sf_dir, facts.ratings)
-    rows = predict.training_features(facts, users, items)
-    base = replace(TREES, n_estimators=5)
-    return tuning.tune(rows, COARSE, folds=2, base=base, fine=FINE)
+    return predict.tuning_features(facts, *_inputs(spark, sf_dir, facts.ratings))
 
 
 def tune_coarse(spark, sf_dir):
-    return tuning.search_table(spark, _tuned(spark, sf_dir).coarse)
+    train, _ = tuning.fold_and_part(_tuning_features(spark, sf_dir), 2)
+    return tuning.search_table(spark, tuning.grid_search(train, COARSE, 2, FEW_TREES))
 
 
 def tune_fine(spark, sf_dir):
-    tuned = _tuned(spark, sf_dir)
+    tuned = tuning.tune(_tuning_features(spark, sf_dir), COARSE, 2, FEW_TREES, FINE)
     return tuning.search_table(spark, tuned.fine).withColumn("holdout_rmse", F.lit(tuned.holdout_rmse))
 
 

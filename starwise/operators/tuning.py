@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from starwise.config import ModelConfig
 from starwise.functions.scalars import pair_hash
 from starwise.operators.features import FEATURES
-from starwise.operators.model import estimator, training_set
+from starwise.operators.model import estimator, on_all_cores, training_set
 from starwise.runtime import materialize
 
 HASH_SPACE = 2**32
@@ -153,7 +153,7 @@ class Tuned:
 def fold_and_part(features: DataFrame, folds: int) -> tuple[DataFrame, DataFrame]:
     """Train rows with their fold and validation rows, both as (features, label)."""
     hashed = pair_hash(F.col("item"), F.col("user"))
-    rows = holdout_split(features).withColumn("fold", (hashed % folds).cast("int"))
+    rows = holdout_split(on_all_cores(features)).withColumn("fold", (hashed % folds).cast("int"))
     ready = materialize(rows.select(*FEATURES, "stars", "fold", "part"))
     base_score = ready.where("part = 'train'").agg(F.avg("stars")).first()[0]
     train = ready.where("part = 'train'")
@@ -165,15 +165,15 @@ def tune(
     features: DataFrame,
     coarse: Mapping[str, Sequence[float]] = COARSE_GRID,
     folds: int = 5,
-    sample_size: int = 80_000,
     base: ModelConfig | None = None,
     fine: Mapping[str, Sequence[float]] | None = None,
 ) -> Tuned:
     """Coarse search, fine search around its best point, and the RMSE on held-out rows.
 
-    ``features`` has user, item, stars and the 22 inputs. ``fine`` replaces the default fine grid.
+    ``features`` has user, item, stars and the 22 inputs of the sampled ratings. ``fine`` replaces
+    the default fine grid.
     """
-    train, valid = fold_and_part(tuning_sample(features, sample_size), folds)
+    train, valid = fold_and_part(features, folds)
     first = grid_search(train, coarse, folds, base)
     second = grid_search(train, fine or fine_grid(first.best), folds, base)
     return Tuned(first, second, holdout_rmse(second.model, valid))

@@ -16,7 +16,7 @@ from starwise.sources import profiles, ratings
 
 @dataclass(frozen=True)
 class JobPaths:
-    """File names below the job's folder."""
+    """File names below the job's folder; the ratings are in ``...train.csv``."""
 
     folder: str
     requests_file: str
@@ -24,7 +24,7 @@ class JobPaths:
 
     @property
     def train(self) -> str:
-        return f"{self.folder}/data/yelp_train.csv"
+        return f"{self.folder}/data/*train.csv"
 
     @property
     def requests(self) -> str:

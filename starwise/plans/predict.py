@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwise.config import Config
-from starwise.operators import cf, features, hybrid, lsh, model, neighbors, similarity
+from starwise.operators import cf, features, hybrid, lsh, model, neighbors, similarity, tuning
 from starwise.operators.stats import RatingFacts
 from starwise.runtime import materialize
 from starwise.skew import hot_keys, hot_pair_keys, key_counts, lookup
@@ -141,6 +141,25 @@ def training_features(facts: RatingFacts, user_inputs: DataFrame, item_inputs: D
     return features.feature_vectors(profiled, "user", "item", "stars")
 
 
+def tuning_features(
+    facts: RatingFacts, user_inputs: DataFrame, item_inputs: DataFrame, size: int = 80_000
+) -> DataFrame:
+    """The training features of a sample of ratings.
+
+    The sample is drawn first. It has at most ``size`` rows, so its keys can be broadcast to pick
+    the few profiles it needs.
+    """
+    sample = materialize(tuning.tuning_sample(facts.ratings, size))
+
+    def needed(inputs: DataFrame, key: str) -> DataFrame:
+        return inputs.join(F.broadcast(sample.select(key).distinct()), key, "left_semi")
+
+    profiled = features.with_profiles(
+        sample, needed(user_inputs, "user"), needed(item_inputs, "item"), None, None
+    )
+    return features.feature_vectors(profiled, "user", "item", "stars")
+
+
 def model_scores(frame: DataFrame, fitted: model.RatingModel, facts: RatingFacts) -> DataFrame:
     """``frame`` with ``model_score``: the fitted model's score, smoothed and clipped."""
     kept = [c for c in frame.columns if c not in features.FEATURES]

@@ -46,7 +46,7 @@ def folder(tmp_path_factory):
     train = [r for k, r in enumerate(rows) if k % 9]
     head = "user_id,business_id,stars\n"
     to_csv = lambda data: head + "".join(f"{u},{i},{s}\n" for u, i, s in data)
-    (root / "data" / "yelp_train.csv").write_text(to_csv(train))
+    (root / "data" / "some_train.csv").write_text(to_csv(train))
     (root / "data" / "val.csv").write_text(to_csv(held + [held[0], ("new", "x1", 3.0), ("x1", "new", 3.0)]))
     users = [{"user_id": f"x{k}", "average_stars": 3.0, "review_count": k} for k in range(60)]
     items = [{"business_id": f"x{k}", "stars": 2.0 + k % 3, "attributes": {}} for k in range(30)]

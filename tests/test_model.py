@@ -89,7 +89,7 @@ def test_two_stage_tuning(spark, rows):
     coarse = {"learning_rate": (0.01, 0.3), "max_depth": (2,)}
     base = replace(FAST, n_estimators=4)
     fine = {"learning_rate": (0.3, 0.5), "colsample": (0.7,)}
-    tuned = tuning.tune(rows, coarse, folds=2, sample_size=900, base=base, fine=fine)
+    tuned = tuning.tune(rows, coarse, folds=2, base=base, fine=fine)
     assert tuned.coarse.best["learning_rate"] == 0.3
     assert len(tuned.fine.points) == 2 and tuned.holdout_rmse > 0
     assert tuned.config(base).learning_rate in (0.3, 0.5)
