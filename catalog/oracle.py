@@ -195,6 +195,10 @@ err AS (SELECT ABS(prediction - stars) AS e FROM base)"""
 PAIR_HASH = "('0x' || SUBSTR(MD5(\"user\"::VARCHAR || '-' || item::VARCHAR), 1, 8))::BIGINT"
 
 
+def rounded(value: str) -> str:
+    return f"CASE WHEN NOT ISNAN({value}) THEN ROUND({value}, 6) END"
+
+
 def confidence(n: str) -> str:
     return f"0.70::DOUBLE + 0.24::DOUBLE * (LN(1 + {n}) / (LN(1 + {n}) + 3.0::DOUBLE))"
 
@@ -225,6 +229,7 @@ FROM q LEFT JOIN itf ON itf.item = q.item LEFT JOIN uf ON uf."user" = q."user" "
 
 def oracles() -> dict[str, str]:
     plain, cold = split("plain"), split("cold")
+    score = rounded("score")
     mixed = (signatures(MIXED), SIMILAR)
     dense = (signatures(DENSE), SIMILAR)
     cf_rows = 'SELECT "user", item, CASE WHEN reason = \'new_user\' THEN 0 ELSE COALESCE(n_common, 0) END AS n_common, ROUND(cf, 6) AS prediction, reason FROM cf'
@@ -312,14 +317,14 @@ FROM part""",
         "fn_finite": """SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 3 THEN c_acctbal ELSE 0.0::DOUBLE END AS v
 FROM customer""",
         "user_features": _with(
-            plain, PROFILES, FEATURES, select="SELECT * REPLACE (ROUND(u_avg_stars, 6) AS u_avg_stars) FROM uf"
+            plain, PROFILES, FEATURES, select=f"SELECT * REPLACE ({rounded('u_avg_stars')} AS u_avg_stars) FROM uf"
         ),
         "item_features": _with(
-            plain, PROFILES, FEATURES, select="SELECT * REPLACE (ROUND(b_avg_stars, 6) AS b_avg_stars) FROM itf"
+            plain, PROFILES, FEATURES, select=f"SELECT * REPLACE ({rounded('b_avg_stars')} AS b_avg_stars) FROM itf"
         ),
         "feature_vectors": _with(plain, PROFILES, FEATURES, select=_features()),
         "fallback_score": _with(
-            plain, PROFILES, FEATURES, FALLBACK, select='SELECT "user", item, ROUND(score, 6) AS score FROM fb'
+            plain, PROFILES, FEATURES, FALLBACK, select=f'SELECT "user", item, {score} AS score FROM fb'
         ),
         "model_postprocess": _with(
             plain,

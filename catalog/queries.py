@@ -44,7 +44,8 @@ FINE = {"learning_rate": (0.1, 0.2), "max_depth": (3,)}
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({name: F.round(name, 6) for name in names})
+    """Six digits, and NULL for NaN, so that values can be compared between engines."""
+    return df.withColumns({name: F.round(F.nanvl(name, F.lit(None).cast("double")), 6) for name in names})
 
 
 def _facts(

@@ -103,8 +103,7 @@ def without_heavy_users(facts: RatingFacts) -> DataFrame:
     """
     if facts.hot_users is None:
         return facts.ratings
-    beyond = facts.by_user.where(F.col("n") > facts.config.max_user_ratings).select("user")
-    heavy = facts.hot_users.select("user").join(beyond, "user", "left_semi")
+    heavy = facts.hot_users.where(F.col("n") > facts.config.max_user_ratings).select("user")
     return facts.ratings.join(F.broadcast(heavy), "user", "left_anti")
 
 

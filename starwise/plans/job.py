@@ -11,6 +11,7 @@ from starwise.config import Config
 from starwise.operators.evaluate import evaluate
 from starwise.operators.stats import dedupe_ratings
 from starwise.plans.predict import end_to_end
+from starwise.runtime import materialize
 from starwise.sources import profiles, ratings
 
 
@@ -46,8 +47,8 @@ class JobPaths:
 def run_job(spark: SparkSession, paths: JobPaths, config: Config | None = None) -> DataFrame:
     """Read the files, predict every request, write the predictions and return them as written."""
     predictions = end_to_end(
-        ratings.read_requests(spark, paths.requests),
-        dedupe_ratings(ratings.read_ratings(spark, paths.train)),
+        materialize(ratings.read_requests(spark, paths.requests)),
+        materialize(dedupe_ratings(ratings.read_ratings(spark, paths.train))),
         profiles.user_features(profiles.read_json_lines(spark, paths.users)),
         profiles.item_features(profiles.read_json_lines(spark, paths.items)),
         config or Config(),

@@ -176,9 +176,11 @@ def end_to_end(
     item_features: DataFrame,
     config: Config,
 ) -> DataFrame:
-    """(user, item, prediction) for every request row, from ratings and profiles."""
-    requests = materialize(requests)
-    facts = RatingFacts(materialize(ratings), config)
+    """(user, item, prediction) for every request row, from ratings and profiles.
+
+    ``ratings`` and ``requests`` are read several times and must come from files or a checkpoint.
+    """
+    facts = RatingFacts(ratings, config)
     user_inputs = materialize(features.model_inputs(user_features, "user"))
     item_inputs = materialize(features.model_inputs(item_features, "item"))
     neighbor_lists = materialize(find_neighbors(facts))

@@ -18,7 +18,7 @@ def key_counts(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], total: int, skew: SkewConfig) -> DataFrame | None:
-    """Hot keys with the number of ``pieces`` to cut each into, or None if no key is hot.
+    """Hot keys with their rows ``n`` and the number of ``pieces`` to cut each into, if there are any.
 
     ``counts`` has the key columns and their rows ``n``, ``total`` is the number of all rows. A hot
     key holds more than ``skew.share`` of them, so at most ``1 / skew.share`` keys come to the
@@ -29,7 +29,7 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], total: int, skew: SkewConfi
     if total <= piece:
         return None
     hot = counts.where(F.col("n") > piece).select(
-        *keys, F.ceil(F.col("n") / piece).cast("int").alias("pieces")
+        *keys, "n", F.ceil(F.col("n") / piece).cast("int").alias("pieces")
     )
     found = hot.collect()
     return counts.sparkSession.createDataFrame(found, hot.schema) if found else None
@@ -49,14 +49,14 @@ def split_fact(fact: DataFrame, hot: DataFrame, keys: Sequence[str], spread: Seq
     """
     pieces = F.col("pieces")
     piece = F.pmod(F.xxhash64(*spread), pieces).cast("int")
-    marked = fact.join(F.broadcast(hot), list(keys), "left")
+    marked = fact.join(F.broadcast(hot.select(*keys, "pieces")), list(keys), "left")
     return marked.withColumn("salt", F.when(pieces.isNull(), 0).otherwise(piece)).drop("pieces")
 
 
 def repeat_dim(dim: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``dim`` with ``salt``: the row of a hot key once per piece, all others once."""
     last = F.coalesce(F.col("pieces") - 1, F.lit(0))
-    marked = dim.join(F.broadcast(hot), list(keys), "left")
+    marked = dim.join(F.broadcast(hot.select(*keys, "pieces")), list(keys), "left")
     return marked.withColumn("salt", F.explode(F.sequence(F.lit(0), last))).drop("pieces")
 
 
