@@ -25,7 +25,7 @@ from starwise.operators import (
 )
 from starwise.plans import predict
 from starwise.runtime import materialize
-from starwise.skew import hot_pair_keys
+from starwise.skew import hot_pairs
 from starwise.sources import profiles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -290,8 +290,8 @@ def feature_vectors(spark, sf_dir):
     train, held_out = tables.train_and_requests(spark, sf_dir, written=True)
     users, items = _inputs(spark, sf_dir, train)
     pairs = held_out.select("user", "item")
-    hot_items, hot_users = hot_pair_keys(pairs, DEFAULT.skew)
-    found = features.with_profiles(pairs, users, items, hot_users, hot_items)
+    hot = hot_pairs(pairs, DEFAULT.skew)
+    found = features.with_profiles(pairs, users, items, hot.users, hot.items)
     return rounded(features.feature_vectors(found, "user", "item"), *features.FEATURES)
 
 

@@ -10,7 +10,7 @@ from starwise.functions.scalars import clip
 from starwise.operators.neighbors import packed_neighbors
 from starwise.operators.stats import RatingFacts
 from starwise.runtime import materialize
-from starwise.skew import hot_pair_keys, lookup
+from starwise.skew import HotPairs, hot_keys, hot_pairs, key_counts, lookup
 
 
 def open_requests(unique: DataFrame, packed: DataFrame, hot_items: DataFrame | None) -> DataFrame:
@@ -22,15 +22,30 @@ def open_requests(unique: DataFrame, packed: DataFrame, hot_items: DataFrame | N
     return found.select("user", "item", F.explode("nbrs").alias("e")).select("user", "item", "e.nbr", "e.sim")
 
 
-def rated_neighbors(opened: DataFrame, ratings: DataFrame) -> DataFrame:
+def hot_neighbors(opened: DataFrame, hot: HotPairs, config: Config) -> DataFrame | None:
+    """Hot (user, nbr) keys of opened requests.
+
+    A request has at most ``top_k`` neighbours, and only a hot user can make such a key hot, so
+    the keys are counted among the rows of hot users alone.
+    """
+    if hot.users is None:
+        return None
+    of_hot_users = opened.join(F.broadcast(hot.users.select("user")), "user")
+    counts = key_counts(of_hot_users, "user", "nbr")
+    return hot_keys(counts, ["user", "nbr"], hot.total * config.top_k, config.skew)
+
+
+def rated_neighbors(unique: DataFrame, packed: DataFrame, hot: HotPairs, facts: RatingFacts) -> DataFrame:
     """Neighbours the user has rated, summed per request.
 
     The join is on (user, neighbour), at which a rating is unique, so long histories are never
     gathered. Neighbours with similarity 0 count as common but carry no weight.
     """
-    stars = ratings.select("user", F.col("item").alias("nbr"), "stars")
+    opened = open_requests(unique, packed, hot.items)
+    stars = facts.ratings.select("user", F.col("item").alias("nbr"), "stars")
+    hot_nbrs = hot_neighbors(opened, hot, facts.config)
     return (
-        opened.join(stars, ["user", "nbr"])
+        lookup(opened, stars, ["user", "nbr"], hot_nbrs, ["item"], how="inner")
         .groupBy("user", "item")
         .agg(
             F.count(F.lit(1)).alias("n_common"),
@@ -43,9 +58,9 @@ def rated_neighbors(opened: DataFrame, ratings: DataFrame) -> DataFrame:
 def common_neighbors(requests: DataFrame, facts: RatingFacts, neighbors: DataFrame) -> DataFrame:
     """(user, item, n_common) for requests with at least one rated neighbour."""
     unique = materialize(requests.select("user", "item").distinct())
-    hot_items, _ = hot_pair_keys(unique, facts.config.skew)
-    opened = open_requests(unique, packed_neighbors(neighbors), hot_items)
-    return rated_neighbors(opened, facts.ratings).select("user", "item", "n_common")
+    hot = hot_pairs(unique, facts.config.skew)
+    found = rated_neighbors(unique, materialize(packed_neighbors(neighbors)), hot, facts)
+    return found.select("user", "item", "n_common")
 
 
 def cf_reason() -> Column:

@@ -9,7 +9,7 @@ from starwise.config import Config
 from starwise.operators import cf, features, hybrid, lsh, model, neighbors, similarity, tuning
 from starwise.operators.stats import RatingFacts
 from starwise.runtime import materialize
-from starwise.skew import hot_keys, hot_pair_keys, key_counts, lookup
+from starwise.skew import HotPairs, hot_keys, hot_pairs, key_counts, lookup
 
 
 def find_buckets(facts: RatingFacts) -> DataFrame:
@@ -33,7 +33,7 @@ def request_cards(
     packed: DataFrame | None = None,
     item_inputs: DataFrame | None = None,
     user_inputs: DataFrame | None = None,
-    hot: tuple[DataFrame | None, DataFrame | None] | None = None,
+    hot: HotPairs | None = None,
 ) -> DataFrame:
     """``unique`` requests with item_avg, user_avg and whatever is given: neighbor_cnt, profiles.
 
@@ -48,9 +48,9 @@ def request_cards(
         item_card = item_card.join(item_inputs, "item", "full")
     if user_inputs is not None:
         user_card = user_card.join(user_inputs, "user", "full")
-    hot_items, hot_users = hot or hot_pair_keys(unique, facts.config.skew)
-    with_items = lookup(unique, item_card, "item", hot_items, ["user"])
-    return lookup(with_items, user_card, "user", hot_users, ["item"])
+    hot = hot or hot_pairs(unique, facts.config.skew)
+    with_items = lookup(unique, item_card, "item", hot.items, ["user"])
+    return lookup(with_items, user_card, "user", hot.users, ["item"])
 
 
 def request_frame(
@@ -67,10 +67,10 @@ def request_frame(
     n_common, weighted and weight are NULL elsewhere.
     """
     unique = materialize(requests.select("user", "item").distinct())
-    hot = hot_pair_keys(unique, facts.config.skew)
+    hot = hot_pairs(unique, facts.config.skew)
     packed = materialize(neighbors.packed_neighbors(neighbor_lists))
     gated = packed.where(F.col("neighbor_cnt") >= cf_gate)
-    hits = cf.rated_neighbors(cf.open_requests(unique, gated, hot[0]), facts.ratings)
+    hits = cf.rated_neighbors(unique, gated, hot, facts)
     cards = request_cards(unique, facts, packed, item_inputs, user_inputs, hot)
     return cards.join(hits, ["user", "item"], "left")
 

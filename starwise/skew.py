@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,11 +36,19 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], total: int, skew: SkewConfi
     return counts.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
-def hot_pair_keys(pairs: DataFrame, skew: SkewConfig) -> tuple[DataFrame | None, DataFrame | None]:
-    """Hot items and hot users of (user, item) rows that are cheap to read."""
+class HotPairs(NamedTuple):
+    """Number of (user, item) rows, their hot items and their hot users."""
+
+    total: int
+    items: DataFrame | None
+    users: DataFrame | None
+
+
+def hot_pairs(pairs: DataFrame, skew: SkewConfig) -> HotPairs:
+    """Hot keys of (user, item) rows that are cheap to read."""
     total = pairs.count()
     items = hot_keys(key_counts(pairs, "item"), ["item"], total, skew)
-    return items, hot_keys(key_counts(pairs, "user"), ["user"], total, skew)
+    return HotPairs(total, items, hot_keys(key_counts(pairs, "user"), ["user"], total, skew))
 
 
 def split_fact(fact: DataFrame, hot: DataFrame, keys: Sequence[str], spread: Sequence[ColumnOrName]) -> DataFrame:

@@ -7,10 +7,10 @@ from conftest import as_dict, row_set
 from data import ratings
 
 from starwise.config import Config, LshConfig, SkewConfig
-from starwise.operators import lsh, similarity
+from starwise.operators import cf, lsh, neighbors, similarity
 from starwise.operators.stats import RatingFacts, popular_ratings
 from starwise.plans import predict
-from starwise.skew import hot_keys, key_counts, lookup, split_fact
+from starwise.skew import hot_keys, hot_pairs, key_counts, lookup, split_fact
 
 LONG = "user long, item long, stars double"
 PLAIN = Config(lsh=LshConfig(bands=8, rows=2, min_item_ratings=5))
@@ -86,6 +86,21 @@ def test_predictions_with_hot_requests(spark, both):
     assert plain == hot
 
 
+def test_hot_neighbors_of_hot_users(spark, both):
+    asked = spark.createDataFrame([(5, item) for item in range(30)] + [(6, 1)], "user long, item long")
+    lists = spark.createDataFrame([(item, 40, 0.5) for item in range(30)], "item long, nbr long, sim double")
+    packed = neighbors.packed_neighbors(lists)
+    config = replace(HOT, top_k=1)
+    found = hot_pairs(asked, config.skew)
+    opened = cf.open_requests(asked, packed, found.items)
+    keys = cf.hot_neighbors(opened, found, config)
+    assert [(r.user, r.nbr, r.n) for r in keys.collect()] == [(5, 40, 30)]
+    rated = spark.createDataFrame([(5, 40, 4.0), (6, 40, 1.0)], LONG)
+    hot = cf.rated_neighbors(asked, packed, found, RatingFacts(rated, config))
+    plain = cf.rated_neighbors(asked, packed, hot_pairs(asked, PLAIN.skew), RatingFacts(rated, PLAIN))
+    assert row_set(hot) == row_set(plain) and plain.count() == 31
+
+
 def test_no_plan_pairs_everything(both):
     facts = both[1]
     plan = predict.find_neighbors(facts)._jdf.queryExecution().toString()
