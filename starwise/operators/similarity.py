@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from starwise.config import Config
 from starwise.operators.stats import RatingFacts, active_ratings, active_users, without_heavy_users
@@ -41,14 +42,19 @@ def _carded_ratings(facts: RatingFacts, buckets: DataFrame | None) -> DataFrame:
     """Active ratings with the item mean and, if given, once per bucket of the item.
 
     Items without a bucket drop out in the first join, so that little is left to be shuffled by
-    user.
+    user. Rows that meet no other row of their user in the bucket drop out where the user's rows
+    are, before the pairing shuffles again; that is the greater part of them.
     """
     card = facts.by_item.select("item", F.col("avg_stars").alias("avg"))
     if buckets is not None:
         card = card.join(buckets, "item")
     light = without_heavy_users(facts)
     carded = lookup(light, card, "item", facts.hot_items, ["user"], how="inner")
-    return carded.join(active_users(facts.by_user, facts.config).select("user"), "user")
+    active = carded.join(active_users(facts.by_user, facts.config).select("user"), "user")
+    if buckets is None:
+        return active
+    company = F.count(F.lit(1)).over(Window.partitionBy("user", "band", "bucket"))
+    return active.withColumn("company", company).where("company > 1").drop("company")
 
 
 def candidate_pairs(facts: RatingFacts, buckets: DataFrame) -> DataFrame:
