@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwise.llm import bpe, decontaminate, ngram_join
+from starwise.llm import bpe, decontaminate, ngram_join, pii, toxicity
 from starwise.llm.text import documents
 
 try:
@@ -44,9 +44,38 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels outside the held-out fifth."""
+    docs = documents(spark, sf_dir)
+    grammar = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, grammar).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+def _span_text(spans: Column) -> Column:
+    """kind:start:end, comma-joined, by kind as listed and then start."""
+    order = F.array(*map(F.lit, pii.KINDS))
+    keyed = F.transform(spans, lambda s: F.struct(F.array_position(order, s["kind"]), s["start"], s["end"], s["kind"]))
+    return F.array_join(
+        F.transform(F.array_sort(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
+        ",",
+    )
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base patterns, and all spans."""
+    found = pii.find_personal_data(documents(spark, sf_dir))
+    counts = [
+        F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    spans = _span_text(F.concat("base", "added"))
+    return found.select("doc_id", *counts, sha(_span_text(F.col("base"))).alias("base_sha256"), spans.alias("spans"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_decontaminate": op3_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op8_ngram_join": op8_ngram_join,
+    "op9_pii": op9_pii,
 }
 ORACLE_SQL: dict[str, str] = {}
