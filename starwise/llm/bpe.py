@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from starwise.llm.text import map_slices
+from starwise.llm.text import map_slices, row_schema
 
 NEVER = 2**31 - 1
 SHORT = 64  # bytes; longer words go through a heap, where a scan per merge would be quadratic
@@ -260,7 +260,6 @@ def encode_texts(df: DataFrame, path: str, key: str = "doc_id", decode: bool = T
     A word of more than 64 bytes is merged through a heap, with the same result.
     """
     file = df.sparkSession.sparkContext.broadcast(vocabulary(path))
-    kind = dict(df.dtypes)[key]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = load(file.value)
@@ -272,7 +271,7 @@ def encode_texts(df: DataFrame, path: str, key: str = "doc_id", decode: bool = T
             columns.append(pa.array([model.decode(x) for x in ids], pa.string()))
         return pa.RecordBatch.from_arrays(columns, [key, "ids", "decoded"][: len(columns)])
 
-    schema = f"`{key}` {kind}, ids array<int>" + ", decoded string" * decode
+    schema = row_schema(df, key, "ids array<int>" + ", decoded string" * decode)
     return map_slices(df.select(key, "text"), work, schema)
 
 
@@ -285,4 +284,4 @@ def decode_ids(df: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
         out = [model.decode(ids or []) for ids in batch.column("ids").to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(key), pa.array(out, pa.string())], [key, "text"])
 
-    return map_slices(df.select(key, "ids"), work, f"`{key}` {dict(df.dtypes)[key]}, text string")
+    return map_slices(df.select(key, "ids"), work, row_schema(df, key, "text string"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwise.llm.text import map_slices, texts, words
+from starwise.llm.text import map_slices, row_schema, texts, words
 
 WINDOW = 13
 BLOCK = 2
@@ -138,7 +138,6 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
     back as often as they are there, equal items count once. Only the columns named here are read.
     """
     spark = docs.sparkSession
-    kind = dict(docs.dtypes)[key]
     found = docs.select(
         key, "text", F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<array<int>>").alias("hits"), F.array().cast("array<string>").alias("items"),
@@ -148,7 +147,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
         matcher = spark.sparkContext.broadcast(Matcher(block))
         goes_on = block is not blocks[-1]  # the text is handed on to the next block's search
         names = [key, "n_words", "hits", "items", *["text"] * goes_on]
-        schema = f"`{key}` {kind}, n_words bigint, hits array<array<int>>, items array<string>"
+        schema = "n_words bigint, hits array<array<int>>, items array<string>" + ", text string" * goes_on
 
         def work(batch: pa.RecordBatch, matcher=matcher, goes_on=goes_on, names=names) -> pa.RecordBatch:
             sizes, hits, items = [], [], []
@@ -166,7 +165,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
             ]
             return pa.RecordBatch.from_arrays(columns, names)
 
-        found = map_slices(found, work, schema + ", text string" * goes_on)
+        found = map_slices(found, work, row_schema(docs, key, schema))
     return found
 
 
@@ -175,3 +174,13 @@ def judge(found: DataFrame) -> DataFrame:
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda total, r: total + (r[1] - r[0]))
     counted = found.withColumn("n_hit", n_hit).withColumn("n_items", F.size("items").cast("bigint"))
     return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text is not contaminated, with all their columns.
+
+    The columns travel as one struct beside the text, so any names are possible.
+    """
+    keyed = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), "text")
+    judged = judge(find_contamination(keyed, benchmark, "row"))
+    return judged.where(~F.col("contaminated")).select(*(F.col("row").getField(n).alias(n) for n in docs.columns))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwise.llm.components import components
-from starwise.llm.text import WORD_HASHES, map_batches, map_slices, texts, words
+from starwise.llm.text import WORD_HASHES, map_batches, map_slices, row_schema, texts, words
 from starwise.runtime import materialize
 
 BLOCK_TEXTS = 1024  # texts and n-grams that a block of a bucket holds on average at most
@@ -106,7 +106,6 @@ def band_hashes(found: np.ndarray, config: JoinConfig) -> np.ndarray:
 
 def signatures(docs: DataFrame, key: str, config: JoinConfig) -> DataFrame:
     """``key``, ``text_hash``, ``set_id`` (digest of the n-gram set), ``n_grams`` and ``bands`` per row."""
-    kind = dict(docs.dtypes)[key]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, sizes, bands = [], [], []
@@ -122,7 +121,7 @@ def signatures(docs: DataFrame, key: str, config: JoinConfig) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, [key, "text_hash", "set_id", "n_grams", "bands"])
 
     rows = docs.select(key, "text", F.xxhash64("text").alias("text_hash"))
-    schema = f"`{key}` {kind}, text_hash bigint, set_id binary, n_grams bigint, bands array<bigint>"
+    schema = row_schema(docs, key, "text_hash bigint, set_id binary, n_grams bigint, bands array<bigint>")
     return map_slices(rows, work, schema)
 
 
@@ -320,9 +319,13 @@ def keep_one(docs: DataFrame, key: str = "doc_id", config: JoinConfig = JoinConf
     times = judged.where(F.expr(f"`{key}` <=> first.row_key AND text_hash = first.text_hash"))
     kept = times.groupBy("first").agg(F.count(F.lit(1)).alias("times"))
     kept = materialize(kept.select("first.row_key", F.col("first.text_hash").alias("kept_hash"), "times"))
-    hashed = docs.withColumn("doc_hash", F.xxhash64("text"))
-    chosen = hashed.join(kept, hashed[key].eqNullSafe(kept.row_key) & (hashed.doc_hash == kept.kept_hash))
-    result = chosen.where("times = 1").select(*docs.columns)
+    packed = docs.select(
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
+        F.col(key).alias("doc_key"), F.xxhash64("text").alias("doc_hash"),
+    )
+    chosen = packed.join(kept, F.expr("doc_key <=> row_key AND doc_hash = kept_hash"))
+    fields = [F.col("row").getField(name).alias(name) for name in docs.columns]
+    result = chosen.where("times = 1").select(*fields)
     if kept.where("times > 1").isEmpty():
         return result
-    return result.union(chosen.where("times > 1").dropDuplicates([key, "doc_hash"]).select(*docs.columns))
+    return result.union(chosen.where("times > 1").dropDuplicates(["doc_key", "doc_hash"]).select(*fields))

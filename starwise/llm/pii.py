@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwise.llm.text import map_slices
+from starwise.llm.text import map_slices, row_schema
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{place}-{kind}" for kind in KINDS for place in "BI"))
@@ -375,7 +375,7 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", labelled: list | No
         return pa.RecordBatch.from_arrays(columns, [key, "base", "added"])
 
     kind = "array<struct<kind:string,start:bigint,end:bigint>>"
-    return map_slices(docs.select(key, "text"), work, f"`{key}` {dict(docs.dtypes)[key]}, base {kind}, added {kind}")
+    return map_slices(docs.select(key, "text"), work, row_schema(docs, key, f"base {kind}, added {kind}"))
 
 
 def redact(docs: DataFrame, labelled: list | None = None) -> DataFrame:
@@ -401,8 +401,7 @@ def redact(docs: DataFrame, labelled: list | None = None) -> DataFrame:
         new = [clean(t, base + added) if base or added else t for t, (base, added) in zip(texts, found)]
         return batch.set_column(at, "text", pa.array(new, batch.schema.field("text").type))
 
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
-    result = map_slices(docs, work, schema)
+    result = map_slices(docs, work, docs.schema)
     if "n_chars" in docs.columns:
         changed = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
         result = result.withColumn("n_chars", changed.cast(dict(docs.dtypes)["n_chars"]))

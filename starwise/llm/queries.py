@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwise.llm import bpe, chat, decontaminate, fingerprint, ngram_join, pii, toxicity, url_filter
+from starwise.llm import bpe, chat, decontaminate, fingerprint, license_scan, ngram_join, pii, quality, toxicity, url_filter
 from starwise.llm.text import documents
 
 try:
@@ -30,6 +30,22 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def graded(labels: DataFrame) -> DataFrame:
+    """Grades from the labels: 0 is of poor quality, 1 is good but toxic, 2 is good and clean."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2)
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of every document; kept are those more likely than not of a grade above 0."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    model = quality.train(docs, graded(labels.where(crc % 5 != 0)), 3)
+    scored = quality.score(docs, model, 1)
+    return scored.withColumn("keep", F.col("tail_probability") >= 0.5)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -128,8 +144,21 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, sha(_span_text(F.col("base"))).alias("base_sha256"), spans.alias("spans"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document, by patience alignment with the templates."""
+    found = license_scan.scan_licenses(documents(spark, sf_dir))
+    best = F.array_max(F.transform("hits", lambda h: h["coverage"]))
+    names = F.array_join(F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["template"]))), ",")
+    spans = F.transform("hits", lambda h: F.concat_ws(":", h["template"], h["start"].cast("string"), h["end"].cast("string")))
+    return found.select(
+        "doc_id", F.size("hits").cast("bigint").alias("n_hits"), names.alias("licenses"),
+        F.round(F.coalesce(best, F.lit(0.0)), 6).alias("coverage"), F.array_join(spans, ",").alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op4_imatch": op4_imatch,
     "op5_url_filter": op5_url_filter,
@@ -137,5 +166,6 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_ngram_join": op8_ngram_join,
     "op9_pii": op9_pii,
+    "op10_license_scan": op10_license_scan,
 }
 ORACLE_SQL: dict[str, str] = {"op6_chat_format": OP6_SQL}

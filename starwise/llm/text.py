@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 import starwise
 
@@ -51,13 +52,13 @@ def ship(spark: SparkSession) -> None:
         context._starwise_shipped = archive
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package at hand on the executors."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
-def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
     """Run ``work`` over slices of at most 256 rows, so that long texts do not pile up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,6 +69,11 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
     return map_batches(df, run, schema)
 
 
+def row_schema(df: DataFrame, key: str, rest: str) -> StructType:
+    """The key column as it is in ``df``, then the columns of a DDL string."""
+    return StructType([df.schema[key], *StructType.fromDDL(rest).fields])
+
+
 def held_out(doc_id: int | None) -> bool:
     """True for the fifth of the rows that no classifier learns from."""
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 5 == 0

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwise.llm.ngram_join import JoinConfig, grams
-from starwise.llm.text import held_out, map_batches, map_slices, words
+from starwise.llm.text import held_out, map_batches, map_slices, row_schema, words
 from starwise.runtime import materialize
 
 # Closed word classes in the four languages of the corpus.
@@ -259,7 +259,7 @@ def _training_rows(docs: DataFrame, labels: DataFrame, key: str, config: Toxicit
             out.append((np.multiply.outer(rng, found)).min(1).view(np.int64).tolist())
         return pa.RecordBatch.from_arrays([batch.column(key), pa.array(out, pa.list_(pa.int64()))], [key, "lows"])
 
-    lows = map_slices(rows.select(key, "text"), sketch, f"`{key}` {dict(docs.dtypes)[key]}, lows array<bigint>")
+    lows = map_slices(rows.select(key, "text"), sketch, row_schema(docs, key, "lows array<bigint>"))
     slots = lows.select(key, F.posexplode("lows").alias("slot", "low"))
     copies = slots.join(slots.groupBy("slot", "low").agg(F.min(key).alias("first")), ["slot", "low"])
     copies = copies.where(F.col("first") < F.col(key)).select(key).distinct()
@@ -360,8 +360,7 @@ def score(docs: DataFrame, grammar: Grammar, key: str = "doc_id") -> DataFrame:
         out = [held_out(k) for k in batch.column(key).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(key), pa.array(out), pa.array(scores, pa.float64())], [key, "held_out", "score"])
 
-    kind = dict(docs.dtypes)[key]
-    return map_slices(docs.select(key, "text"), work, f"`{key}` {kind}, held_out boolean, score double")
+    return map_slices(docs.select(key, "text"), work, row_schema(docs, key, "held_out boolean, score double"))
 
 
 def reject(docs: DataFrame, grammar: Grammar, threshold: float = 0.5) -> DataFrame:
@@ -371,4 +370,4 @@ def reject(docs: DataFrame, grammar: Grammar, threshold: float = 0.5) -> DataFra
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array([sent.value.score(t) < threshold for t in batch.column("text").to_pylist()], pa.bool_()))
 
-    return map_slices(docs, work, ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes))
+    return map_slices(docs, work, docs.schema)
