@@ -210,7 +210,7 @@ def design(row: tuple[int, ...]) -> list[int]:
 
 
 # What the grammar assumes before it sees labels, in the order of ``design``.
-PRIOR = np.array([-4.0, 1.2, 1.2, 0.2, -0.5, -0.5])
+PRIOR = np.array([-4.0, 2.1, 2.1, 0.2, -0.5, -0.5])
 
 
 def fit_weights(table: list[tuple[tuple[int, ...], int, int]], ridge: float = 0.5) -> np.ndarray:
