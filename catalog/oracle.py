@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.queries import DENSE, DEFAULT, MIXED, SAMPLE_SIZE
+from catalog.queries import CASUAL, DEFAULT, DENSE, HOT_QUERIES, MIXED, SAMPLE_SIZE
 from starwise.config import HASH_PRIME, Config
 
 RATED = """
@@ -31,22 +31,32 @@ def split(name: str) -> str:
     return f"{RATED},\nt AS (SELECT * FROM r WHERE NOT {rule}),\nq AS (SELECT * FROM r WHERE {rule}),{MEANS}"
 
 
-def signatures(config: Config) -> str:
-    values = ", ".join(f"({ix}, {a}::BIGINT, {b}::BIGINT)" for ix, (a, b) in enumerate(config.lsh.hash_table()))
+def signatures(config: Config, user: str = 't."user"') -> str:
+    """Signatures, buckets and candidates; ``user`` is the number that stands for a user."""
+    values = ", ".join(
+        f"({ix}, {', '.join(f'{value}::BIGINT' for value in row)})" for ix, row in enumerate(config.lsh.hash_table())
+    )
     return f"""
-params(hash_ix, a, b) AS (VALUES {values}),
+params(hash_ix, a0, a1, a2, b, c0, c1, c2, d) AS (VALUES {values}),
+raters AS (SELECT t.item, {user} AS u FROM t JOIN popular ON t.item = popular.item),
+words AS (SELECT item, u & 4194303 AS w0, (u >> 22) & 4194303 AS w1, u >> 44 AS w2 FROM raters),
 sig AS (
-  SELECT t.item, p.hash_ix, MIN((p.a * t."user" + p.b) % {HASH_PRIME}) AS h
-  FROM t JOIN popular ON t.item = popular.item CROSS JOIN params p
-  GROUP BY t.item, p.hash_ix
+  SELECT item, hash_ix, MIN(((a0 * w0 + a1 * w1 + a2 * w2 + b) % {HASH_PRIME}) * 2147483648
+                            + (c0 * w0 + c1 * w1 + c2 * w2 + d) % {HASH_PRIME}) AS h
+  FROM words CROSS JOIN params
+  GROUP BY item, hash_ix
 ),
 bands AS (
   SELECT item, hash_ix // {config.lsh.rows} AS band, STRING_AGG(h::VARCHAR, '-' ORDER BY hash_ix) AS sig_key
   FROM sig GROUP BY item, hash_ix // {config.lsh.rows}
 ),
-cand AS (
+mates AS (
   SELECT DISTINCT x.item AS i, y.item AS j
   FROM bands x JOIN bands y ON x.band = y.band AND x.sig_key = y.sig_key AND x.item < y.item
+),
+cand AS (
+  SELECT DISTINCT c.i, c.j FROM mates c
+  JOIN t x ON x.item = c.i JOIN t y ON y.item = c.j AND y."user" = x."user" JOIN active a ON a."user" = x."user"
 )"""
 
 
@@ -113,6 +123,8 @@ cf AS (
   FROM asked
 )"""
 
+USER = '"user"'
+
 PROFILES = """
 ev AS (
   SELECT user_id, COUNT(*) FILTER (event_type = 'view') AS viewed, COUNT(*) FILTER (event_type = 'click') AS click,
@@ -192,7 +204,8 @@ base AS (
 ),
 err AS (SELECT ABS(prediction - stars) AS e FROM base)"""
 
-PAIR_HASH = "('0x' || SUBSTR(MD5(\"user\"::VARCHAR || '-' || item::VARCHAR), 1, 8))::BIGINT"
+def pair_hash(first: str = '"user"', second: str = "item", start: int = 1) -> str:
+    return f"('0x' || SUBSTR(MD5({first}::VARCHAR || '-' || {second}::VARCHAR), {start}, 15))::BIGINT"
 
 
 def rounded(value: str) -> str:
@@ -246,7 +259,7 @@ mixed AS (
     THEN alpha * (trust * cf + (1 - trust) * means) + (1 - alpha) * model ELSE model END AS score
   FROM scored
 )"""
-    return {
+    twins = {
         "ratings_scan": _with(plain, select='SELECT "user", item, stars FROM r'),
         "requests_scan": _with(plain, select='SELECT "user", item FROM q'),
         "dedupe_pairs": _with(plain, select='SELECT "user", item, stars FROM r'),
@@ -286,6 +299,24 @@ GROUP BY x.item, y.item""",
         ),
         "minhash_signature": _with(plain, signatures(DEFAULT), select="SELECT item, hash_ix::BIGINT AS hash_ix, h FROM sig"),
         "lsh_bands": _with(plain, signatures(DEFAULT), select="SELECT item, band::BIGINT AS band, sig_key FROM bands"),
+        "minhash_signature_text_ids": _with(
+            plain,
+            signatures(DEFAULT, "('0x' || SUBSTR(MD5('u' || t.\"user\"::VARCHAR), 1, 15))::BIGINT"),
+            select="SELECT item, hash_ix::BIGINT AS hash_ix, h FROM sig",
+        ),
+        "minhash_signature_wide_ids": _with(
+            plain,
+            signatures(DEFAULT, f't."user" * {HASH_PRIME}::BIGINT'),
+            select="SELECT item, hash_ix::BIGINT AS hash_ix, h FROM sig",
+        ),
+        "lsh_candidates_casual": _with(
+            plain.replace("BETWEEN 2 AND 499", f"BETWEEN 2 AND {CASUAL.max_user_ratings}"),
+            signatures(CASUAL),
+            select="SELECT i, j FROM cand",
+        ),
+        "cv_folds": _with(
+            plain, select=f'SELECT "user", item, ({pair_hash('item', USER)} % 5)::INT AS fold FROM r'
+        ),
         "lsh_candidates": _with(plain, signatures(DEFAULT), select="SELECT i, j FROM cand"),
         "lsh_candidates_mixed": _with(plain, signatures(MIXED), select="SELECT i, j FROM cand"),
         "lsh_candidates_dense": _with(plain, signatures(DENSE), select="SELECT i, j FROM cand"),
@@ -355,10 +386,11 @@ FROM mixed""",
 FROM (VALUES (0), (1), (2), (3), (4)) b(bin) LEFT JOIN err ON LEAST(FLOOR(err.e), 4) = b.bin GROUP BY b.bin""",
         ),
         "tuning_sample": _with(
-            plain, select=f'SELECT "user", item FROM r ORDER BY {PAIR_HASH}, "user", item LIMIT {SAMPLE_SIZE}'
+            plain, select=f'SELECT "user", item FROM r ORDER BY {pair_hash()}, "user", item LIMIT {SAMPLE_SIZE}'
         ),
         "holdout_split": _with(
             plain,
-            select=f"SELECT \"user\", item, CASE WHEN {PAIR_HASH} % 100 < 20 THEN 'valid' ELSE 'train' END AS part FROM r",
+            select=f"SELECT \"user\", item, CASE WHEN {pair_hash(start=17)} % 100 < 20 THEN 'valid' ELSE 'train' END AS part FROM r",
         ),
     }
+    return twins | {hot: twins[hot.removesuffix("_hot")] for hot in HOT_QUERIES}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import tables
-from starwise.config import Config, LshConfig, ModelConfig
+from starwise.config import HASH_PRIME, Config, LshConfig, ModelConfig, SkewConfig
 from starwise.functions import scalars
 from starwise.operators import (
     cf,
@@ -24,7 +24,7 @@ from starwise.operators import (
     tuning,
 )
 from starwise.plans import predict
-from starwise.runtime import materialize
+from starwise.runtime import written
 from starwise.skew import hot_pairs
 from starwise.sources import profiles
 
@@ -32,13 +32,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DEFAULT = Config()  # 20 bands x 5 rows
 MIXED = Config(lsh=LshConfig(bands=33, rows=3))  # fires both sides of the neighbour gate
+CASUAL = replace(Config(lsh=LshConfig(bands=33, rows=3)), max_user_ratings=30)  # few users are active
 DENSE = Config(lsh=LshConfig(bands=50, rows=2))  # fills neighbour lists to the top
 BUSY = replace(DEFAULT, min_user_ratings=30)
 IN_DEMAND = replace(DEFAULT, lsh=LshConfig(min_item_ratings=425))
 # Few and large steps instead of the 1000 small ones of the default settings.
 TREES = ModelConfig(n_estimators=20, learning_rate=0.1)
 FEW_TREES = replace(TREES, n_estimators=5)
-SAMPLE_SIZE = 20_000
+SAMPLE_SIZE = 80_000
+# Keys of half a per cent of the rows count as hot here, so that the plans for hot keys are taken.
+HOT = SkewConfig(share=0.005, min_rows=4)
 COARSE = {"learning_rate": (0.05, 0.1), "max_depth": (3, 4)}
 FINE = {"learning_rate": (0.1, 0.2), "max_depth": (3,)}
 
@@ -131,11 +134,22 @@ def corated_pairs(spark, sf_dir):
     return similarity.corated_pairs(_facts(spark, sf_dir)[0])
 
 
-def minhash_signature(spark, sf_dir):
-    facts, _ = _facts(spark, sf_dir)
+def minhash_signature(spark, sf_dir, config: Config = DEFAULT):
+    facts, _ = _facts(spark, sf_dir, config)
     return lsh.minhash_signatures(lsh.band_signatures(facts), facts.config)
 
 
+def _signature_of(user: str) -> Query:
+    """Signatures when users have other ids, as texts or as numbers beyond 2**31."""
+
+    def query(spark, sf_dir):
+        train = written(tables.train_and_requests(spark, sf_dir)[0].withColumn("user", F.expr(user)))
+        facts = stats.RatingFacts(train, DEFAULT)
+        return lsh.minhash_signatures(lsh.band_signatures(facts), facts.config)
+
+    return query
+
+
 def lsh_bands(spark, sf_dir):
     facts, _ = _facts(spark, sf_dir)
     return lsh.band_keys(lsh.band_signatures(facts), facts.config)
@@ -149,8 +163,8 @@ def _lsh_candidates(config: Config) -> Query:
     return query
 
 
-def pair_moments(spark, sf_dir):
-    facts, _ = _facts(spark, sf_dir, MIXED)
+def pair_moments(spark, sf_dir, config: Config = MIXED):
+    facts, _ = _facts(spark, sf_dir, config)
     return predict.find_moments(facts).drop("avg_i", "avg_j")
 
 
@@ -286,25 +300,25 @@ def _inputs(spark, sf_dir, train: DataFrame) -> tuple[DataFrame, DataFrame]:
     return features.model_inputs(users, "user"), features.model_inputs(items, "item")
 
 
-def feature_vectors(spark, sf_dir):
+def feature_vectors(spark, sf_dir, config: Config = DEFAULT):
     train, held_out = tables.train_and_requests(spark, sf_dir, written=True)
     users, items = _inputs(spark, sf_dir, train)
     pairs = held_out.select("user", "item")
-    hot = hot_pairs(pairs, DEFAULT.skew)
+    hot = hot_pairs(pairs, config.skew)
     found = features.with_profiles(pairs, users, items, hot.users, hot.items)
     return rounded(features.feature_vectors(found, "user", "item"), *features.FEATURES)
 
 
-def _requests_without_model(spark, sf_dir) -> tuple[DataFrame, stats.RatingFacts]:
+def _requests_without_model(spark, sf_dir, config: Config = DEFAULT) -> tuple[DataFrame, stats.RatingFacts]:
     """Requests with means and profiles, and the train ratings."""
-    facts, held_out = _facts(spark, sf_dir)
+    facts, held_out = _facts(spark, sf_dir, config)
     users, items = _inputs(spark, sf_dir, facts.ratings)
     pairs = held_out.select("user", "item")
     return predict.request_cards(pairs, facts, None, items, users), facts
 
 
-def fallback_score(spark, sf_dir):
-    frame, facts = _requests_without_model(spark, sf_dir)
+def fallback_score(spark, sf_dir, config: Config = DEFAULT):
+    frame, facts = _requests_without_model(spark, sf_dir, config)
     score = hybrid.fallback_score(facts.mean, facts.config)
     return rounded(frame.select("user", "item", score.alias("score")), "score")
 
@@ -350,9 +364,17 @@ def holdout_split(spark, sf_dir):
     return tuning.holdout_split(tables.ratings(spark, sf_dir).select("user", "item"))
 
 
+def cv_folds(spark, sf_dir):
+    return tuning.cv_folds(tables.ratings(spark, sf_dir).select("user", "item"))
+
+
+def _hot(query: Callable[[SparkSession, str, Config], DataFrame], config: Config) -> Query:
+    return lambda spark, sf_dir: query(spark, sf_dir, replace(config, skew=HOT))
+
+
 def model_predict(spark, sf_dir):
     facts, held_out = _facts(spark, sf_dir)
-    users, items = (materialize(p) for p in _inputs(spark, sf_dir, facts.ratings))
+    users, items = (written(p) for p in _inputs(spark, sf_dir, facts.ratings))
     fitted = model.fit(predict.training_features(facts, users, items), TREES, facts.mean_value)
     frame = predict.request_cards(held_out.select("user", "item"), facts, None, items, users)
     scored = predict.model_scores(frame, fitted, facts)
@@ -381,6 +403,15 @@ def end_to_end_predict(spark, sf_dir):
     return predict.end_to_end(held_out.select("user", "item"), train, users, items, config)
 
 
+# The plans for hot keys; their SQL twins are those of the plain queries.
+HOT_QUERIES: dict[str, Query] = {
+    "minhash_signature_hot": _hot(minhash_signature, DEFAULT),
+    "pair_moments_hot": _hot(pair_moments, MIXED),
+    "cf_predict_hot": _cf_predict(replace(MIXED, skew=HOT)),
+    "feature_vectors_hot": _hot(feature_vectors, DEFAULT),
+    "fallback_score_hot": _hot(fallback_score, DEFAULT),
+}
+
 QUERIES: dict[str, Query] = {
     "ratings_scan": ratings_scan,
     "requests_scan": requests_scan,
@@ -400,10 +431,13 @@ QUERIES: dict[str, Query] = {
     "baseline_predict": baseline_predict,
     "corated_pairs": corated_pairs,
     "minhash_signature": minhash_signature,
+    "minhash_signature_text_ids": _signature_of("concat('u', user)"),
+    "minhash_signature_wide_ids": _signature_of(f"user * {HASH_PRIME}L"),
     "lsh_bands": lsh_bands,
     "lsh_candidates": _lsh_candidates(DEFAULT),
     "lsh_candidates_mixed": _lsh_candidates(MIXED),
     "lsh_candidates_dense": _lsh_candidates(DENSE),
+    "lsh_candidates_casual": _lsh_candidates(CASUAL),
     "pair_moments": pair_moments,
     "pair_similarity": pair_similarity,
     "similarity_edges": similarity_edges,
@@ -429,6 +463,8 @@ QUERIES: dict[str, Query] = {
     "eval_error_bins": eval_error_bins,
     "tuning_sample": tuning_sample,
     "holdout_split": holdout_split,
+    "cv_folds": cv_folds,
+    **HOT_QUERIES,
     "model_predict": model_predict,
     "tune_coarse": tune_coarse,
     "tune_fine": tune_fine,

@@ -56,7 +56,7 @@ def train_and_requests(
     """Train ratings and held-out ratings; ``written`` computes the ratings once for many reads."""
     rated = ratings(spark, sf_dir)
     if written:
-        rated = runtime.materialize(rated)
+        rated = runtime.written(rated)
     return rated.where(~held_out(split)), rated.where(held_out(split))
 
 

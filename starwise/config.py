@@ -5,8 +5,11 @@ from __future__ import annotations
 import random
 from dataclasses import dataclass, field
 
-# Largest prime below 2**31: a * u + b stays below 2**62, so a BIGINT never overflows.
+# Largest prime below 2**31. Ids are hashed in words of 22 bits, so that the sum of all products
+# stays below 2**55 and a BIGINT never overflows.
 HASH_PRIME = 2147483647
+WORD_BITS = 22
+WORDS = 3
 
 
 @dataclass(frozen=True)
@@ -20,12 +23,17 @@ class LshConfig:
     def n_hashes(self) -> int:
         return self.bands * self.rows
 
-    def hash_table(self) -> list[tuple[int, int]]:
-        """Distinct (a, b) pairs of the hash family h(u) = (a * u + b) mod HASH_PRIME."""
+    def hash_table(self) -> list[tuple[int, ...]]:
+        """Distinct parameters (a0, a1, a2, b, c0, c1, c2, d) of the hash family.
+
+        An id of the words w0, w1, w2 has the 62-bit hash
+        ((a0*w0 + a1*w1 + a2*w2 + b) mod P) * 2**31 + ((c0*w0 + c1*w1 + c2*w2 + d) mod P).
+        """
         rng = random.Random(self.seed)
-        table: dict[tuple[int, int], None] = {}
+        table: dict[tuple[int, ...], None] = {}
         while len(table) < self.n_hashes:
-            table[rng.randint(1, HASH_PRIME - 1), rng.randint(0, HASH_PRIME - 1)] = None
+            halves = [[*(rng.randint(1, HASH_PRIME - 1) for _ in range(WORDS)), rng.randint(0, HASH_PRIME - 1)] for _ in "ac"]
+            table[*halves[0], *halves[1]] = None
         return list(table)
 
 
@@ -55,6 +63,7 @@ class SkewConfig:
     min_rows: int = 1_000_000
 
 
+# Fixed values below: the constants of the published scoring rules.
 @dataclass(frozen=True)
 class Config:
     lsh: LshConfig = field(default_factory=LshConfig)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starwise.config import WORD_BITS, WORDS
+
 # Texts that count as "yes".
 TRUE_WORDS = ("true", "1", "yes")
 DEFAULT_PRICE = 2
@@ -43,15 +45,25 @@ def clip(value: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), value))
 
 
-def id_to_long(key: Column, is_integer: bool, prime: int) -> Column:
-    """Integer in [0, prime) for an id: integers directly, texts by the head of their MD5."""
-    number = (
-        key.cast("bigint") if is_integer else F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
-    )
-    return F.pmod(number, F.lit(prime))
+def _md5_number(text: Column, start: int) -> Column:
+    """60 bits of the MD5: the 15 hex digits from ``start``."""
+    return F.conv(F.substring(F.md5(text), start, 15), 16, 10).cast("bigint")
+
+
+def id_words(key: Column, is_integer: bool) -> list[Column]:
+    """The 64 bits of an id as words of 22 bits, lowest first.
+
+    Integers are taken as they are, so no two of them are folded into one; texts by 60 bits of
+    their MD5.
+    """
+    number = key.cast("bigint") if is_integer else _md5_number(key, 1)
+    mask = F.lit((1 << WORD_BITS) - 1)
+    return [F.shiftrightunsigned(number, WORD_BITS * k).bitwiseAND(mask) for k in range(WORDS)]
+
 
+def pair_hash(*keys: Column, start: int = 1) -> Column:
+    """Uniform integer in [0, 2**60) of a composite key; the same on every run and cluster.
 
-def pair_hash(*keys: Column) -> Column:
-    """Uniform integer in [0, 2**32) of a composite key; the same on every run and cluster."""
-    text = F.concat_ws("-", *[key.cast("string") for key in keys])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    ``start`` 1 and 17 take different digits of the MD5 and so are independent of each other.
+    """
+    return _md5_number(F.concat_ws("-", *[key.cast("string") for key in keys]), start)

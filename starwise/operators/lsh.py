@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starwise.config import HASH_PRIME, Config
-from starwise.functions.scalars import id_to_long
+from starwise.config import HASH_PRIME, WORDS, Config
+from starwise.functions.scalars import id_words
 from starwise.operators.stats import RatingFacts, popular_items
 from starwise.skew import hot_keys, lookup, repeat_dim, split_fact
 
@@ -16,16 +16,26 @@ def signature_columns(config: Config) -> list[str]:
 
 
 def _hash_table(config: Config) -> str:
-    """The hash parameters as a SQL array with one struct (band, a0, b0, a1, b1 ...) per band."""
+    """The hash parameters as a SQL array with one struct (band, p0_0, p0_1 ... p1_0 ...) per band."""
     table, rows = config.lsh.hash_table(), config.lsh.rows
     bands = []
     for band in range(config.lsh.bands):
-        pairs = table[band * rows : (band + 1) * rows]
-        fields = [f"{a}L AS a{k}, {b}L AS b{k}" for k, (a, b) in enumerate(pairs)]
+        used = table[band * rows : (band + 1) * rows]
+        fields = [f"{value}L AS p{k}_{n}" for k, row in enumerate(used) for n, value in enumerate(row)]
         bands.append(f"struct({band} AS band, {', '.join(fields)})")
     return f"array({', '.join(bands)})"
 
 
+def _hash(k: int) -> Column:
+    """62-bit hash of the id words w0, w1 ... by the ``k``-th parameters of a band."""
+
+    def half(first: int) -> Column:
+        products = [F.col(f"p.p{k}_{first + n}") * F.col(f"w{n}") for n in range(WORDS)]
+        return sum(products, F.col(f"p.p{k}_{first + WORDS}")) % HASH_PRIME
+
+    return half(0) * (1 << 31) + half(WORDS + 1)
+
+
 def band_signatures(facts: RatingFacts) -> DataFrame:
     """One row per popular item and band, with the band's MinHash values in ``h0``, ``h1`` ...
 
@@ -35,28 +45,22 @@ def band_signatures(facts: RatingFacts) -> DataFrame:
     """
     config = facts.config
     names = signature_columns(config)
-    user_number = id_to_long(F.col("user"), facts.has_integer_users, HASH_PRIME)
-    raters = facts.ratings.select("item", user_number.alias("u"))
+    words = [f"w{n}" for n in range(WORDS)]
+    split_user = id_words(F.col("user"), facts.has_integer_users)
+    raters = facts.ratings.select("item", *[word.alias(name) for word, name in zip(split_user, words)])
     popular = popular_items(facts.by_item, config).select("item")
     place = ["item"]
     if facts.hot_items is not None:
         place = ["item", "salt"]
-        raters = split_fact(raters, facts.hot_items, ["item"], ["u"])
+        raters = split_fact(raters, facts.hot_items, ["item"], words)
         popular = repeat_dim(popular, facts.hot_items, ["item"])
     # a fixed number of partitions: 100 hashes per row want every core, however few the bytes
     partitions = int(raters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = (
         raters.repartition(partitions, *place)
         .join(popular, place)
-        .select(*place, "u", F.expr(f"explode({_hash_table(config)})").alias("p"))
-        .select(
-            *place,
-            "p.band",
-            *[
-                ((F.col(f"p.a{k}") * F.col("u") + F.col(f"p.b{k}")) % HASH_PRIME).alias(name)
-                for k, name in enumerate(names)
-            ],
-        )
+        .select(*place, *words, F.expr(f"explode({_hash_table(config)})").alias("p"))
+        .select(*place, "p.band", *[_hash(k).alias(name) for k, name in enumerate(names)])
     )
     lowest = [F.min(name).alias(name) for name in names]
     signatures = hashed.groupBy(*place, "band").agg(*lowest)

@@ -64,9 +64,10 @@ class RatingModel:
 
 
 def on_all_cores(df: DataFrame) -> DataFrame:
-    """``df`` in at least as many partitions as there are cores; large data already is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """``df`` spread over as many partitions as the session shuffles into, at least one per core."""
+    session = df.sparkSession
+    wanted = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(wanted)
 
 
 def fit(features: DataFrame, model: ModelConfig, base_score: float) -> RatingModel:

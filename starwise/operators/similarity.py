@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from starwise.config import Config
 from starwise.operators.stats import RatingFacts, active_ratings, active_users, without_heavy_users
 from starwise.skew import lookup
 
 
-# Bands per word of a band set: the bits of a BIGINT without its sign.
-MASK_BITS = 63
-
-
 def _pairs(rated: DataFrame, meet: list[str]) -> DataFrame:
     """Ordered item pairs whose rows agree on ``meet``, which includes the user.
 
@@ -38,73 +33,52 @@ def corated_pairs(facts: RatingFacts) -> DataFrame:
     return _pairs(rated, ["user"]).groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _carded_ratings(facts: RatingFacts, buckets: DataFrame | None) -> DataFrame:
-    """Active ratings with the item mean and, if given, once per bucket of the item.
+def _met_pairs(facts: RatingFacts, buckets: DataFrame) -> DataFrame:
+    """One row per active user and pair of items of theirs that share a bucket.
 
-    Items without a bucket drop out in the first join, so that little is left to be shuffled by
-    user. Rows that meet no other row of their user in the bucket drop out where the user's rows
-    are, before the pairing shuffles again; that is the greater part of them.
+    Columns: i, j, stars_i, stars_j, avg_i, avg_j. An item's card holds its mean and the codes of
+    all its buckets (at most one per band), so a rating stays one row up to the shuffle by user;
+    items without a bucket drop out in that join. Codes are opened where the user's rows are, and
+    a pair is formed in the lowest code both items have, once. A user here has fewer than 500
+    ratings, so a list of theirs is bounded.
     """
-    card = facts.by_item.select("item", F.col("avg_stars").alias("avg"))
-    if buckets is not None:
-        card = card.join(buckets, "item")
-    light = without_heavy_users(facts)
-    carded = lookup(light, card, "item", facts.hot_items, ["user"], how="inner")
-    active = carded.join(active_users(facts.by_user, facts.config).select("user"), "user")
-    if buckets is None:
-        return active
-    company = F.count(F.lit(1)).over(Window.partitionBy("user", "band", "bucket"))
-    return active.withColumn("company", company).where("company > 1").drop("company")
+    coded = buckets.select("item", F.xxhash64("band", "bucket").alias("code"))
+    codes = coded.groupBy("item").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    card = facts.by_item.select("item", F.col("avg_stars").alias("avg")).join(codes, "item")
+    carded = lookup(without_heavy_users(facts), card, "item", facts.hot_items, ["user"], how="inner")
+    active = carded.repartition("user").join(active_users(facts.by_user, facts.config).select("user"), "user")
+    opened = active.select("user", F.struct("item", "stars", "avg", "codes").alias("rated"), F.explode("codes").alias("code"))
+    lists = opened.groupBy("user", "code").agg(F.array_sort(F.collect_list("rated")).alias("g")).where("size(g) > 1")
+    pairs = F.expr("""
+        explode(flatten(transform(g, (x, n) -> transform(
+            filter(slice(g, n + 2, size(g)), y -> array_min(array_intersect(x.codes, y.codes)) = code),
+            y -> named_struct('i', x.item, 'j', y.item, 'stars_i', x.stars, 'stars_j', y.stars,
+                              'avg_i', x.avg, 'avg_j', y.avg)))))""")
+    return lists.select(pairs.alias("p")).select("p.*")
 
 
 def candidate_pairs(facts: RatingFacts, buckets: DataFrame) -> DataFrame:
     """Pairs of items that share a bucket and at least one active co-rater.
 
-    Pairs in a bucket without any active co-rater can never get a similarity, so nothing is lost
-    by finding the pairs at the users, whose histories are bounded, instead of pairing up the
+    The active co-rater is part of the definition: without one a pair never gets a similarity.
+    So pairs are found at the users, whose histories are bounded, instead of pairing up the
     members of a bucket, which may be a third of all items.
     """
-    rated = _carded_ratings(facts, buckets).drop("stars", "avg")
-    return _pairs(rated, ["user", "band", "bucket"]).select("i", "j").distinct()
+    return _met_pairs(facts, buckets).select("i", "j").distinct()
 
 
-def pair_moments(facts: RatingFacts, buckets: DataFrame | None) -> DataFrame:
-    """Co-rater count and sums per pair, plus both item means carried along from the ratings.
-
-    Two items meet at each co-rater once per bucket they share. That number is the same for all
-    their co-raters and is read off the set of bands in which they met; all sums are divided by
-    it. ``buckets=None`` scores all co-rated pairs.
-    """
-    rated = _carded_ratings(facts, buckets)
+def pair_moments(facts: RatingFacts, buckets: DataFrame) -> DataFrame:
+    """Co-rater count and sums per pair, plus both item means carried along from the ratings."""
     ri, rj = F.col("stars_i"), F.col("stars_j")
-    sums = {
-        "n": F.count(F.lit(1)),
-        "sum_i": F.sum(ri),
-        "sum_j": F.sum(rj),
-        "sum_ii": F.sum(ri * ri),
-        "sum_jj": F.sum(rj * rj),
-        "sum_ij": F.sum(ri * rj),
-    }
-    means = [F.max("avg_i").alias("avg_i"), F.max("avg_j").alias("avg_j")]
-    totals = [total.alias(name) for name, total in sums.items()]
-    if buckets is None:
-        return _pairs(rated, ["user"]).groupBy("i", "j").agg(*totals, *means)
-    words = range(0, facts.config.lsh.bands, MASK_BITS)
-    masks = [
-        F.bit_or(
-            F.expr(f"if(band between {low} and {low + MASK_BITS - 1}, shiftleft(1L, band - {low}), 0L)")
-        ).alias(f"met_{low}")
-        for low in words
-    ]
-    met = _pairs(rated, ["user", "band", "bucket"]).groupBy("i", "j").agg(*totals, *means, *masks)
-    times = sum((F.bit_count(f"met_{low}") for low in words), F.lit(0))
-    return met.withColumn("times", times).select(
-        "i",
-        "j",
-        F.expr("n div times").alias("n"),
-        *[(F.col(name) / F.col("times")).alias(name) for name in sums if name != "n"],
-        "avg_i",
-        "avg_j",
+    return _met_pairs(facts, buckets).groupBy("i", "j").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(ri).alias("sum_i"),
+        F.sum(rj).alias("sum_j"),
+        F.sum(ri * ri).alias("sum_ii"),
+        F.sum(rj * rj).alias("sum_jj"),
+        F.sum(ri * rj).alias("sum_ij"),
+        F.max("avg_i").alias("avg_i"),
+        F.max("avg_j").alias("avg_j"),
     )
 
 

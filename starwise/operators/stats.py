@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from starwise.config import Config
-from starwise.runtime import materialize
+from starwise.runtime import written
 from starwise.skew import hot_keys, key_counts, lookup
 
 
@@ -45,11 +45,11 @@ class RatingFacts:
 
     @cached_property
     def by_item(self) -> DataFrame:
-        return materialize(item_stats(self.ratings))
+        return written(item_stats(self.ratings))
 
     @cached_property
     def by_user(self) -> DataFrame:
-        return materialize(user_stats(self.ratings))
+        return written(user_stats(self.ratings))
 
     @cached_property
     def hot_items(self) -> DataFrame | None:

@@ -17,9 +17,9 @@ from starwise.config import ModelConfig
 from starwise.functions.scalars import pair_hash
 from starwise.operators.features import FEATURES
 from starwise.operators.model import estimator, on_all_cores, training_set
-from starwise.runtime import materialize
+from starwise.runtime import written
 
-HASH_SPACE = 2**32
+HASH_SPACE = 2**60
 
 # The coarse grid, and the choices of the fine grid around its best point.
 COARSE_GRID: Mapping[str, Sequence[float]] = {
@@ -44,23 +44,24 @@ def tuning_sample(pairs: DataFrame, size: int = 80_000) -> DataFrame:
 
     Rows whose hash lies well above the ``size``-th lowest expected one are dropped by a plain
     filter, ten standard deviations clear of it, so that the final sort sees about ``size`` rows
-    however many there are.
+    however many there are. Should fewer than ``size`` pass it, the sort sees all rows.
     """
     slack = size + 10 * math.sqrt(size) + 100
     total = pairs.agg(F.count(F.lit(1)).cast("double")).scalar()
-    bound = F.lit(HASH_SPACE * slack) / F.greatest(total, F.lit(1.0))
-    return (
-        pairs.withColumn("order", pair_hash(F.col("user"), F.col("item")))
-        .where(F.col("order") < bound)
-        .orderBy("order", "user", "item")
-        .limit(size)
-        .drop("order")
-    )
+    bound = F.lit(float(HASH_SPACE) * slack) / F.greatest(total, F.lit(1.0))
+    hashed = pairs.withColumn("order", pair_hash(F.col("user"), F.col("item")))
+    low = hashed.where(F.col("order") < bound)
+    if low.limit(size).count() < size:
+        low = hashed
+    return low.orderBy("order", "user", "item").limit(size).drop("order")
 
 
 def holdout_split(pairs: DataFrame, valid_percent: int = 20) -> DataFrame:
-    """``part`` is 'valid' for about ``valid_percent`` in 100 pairs, else 'train'."""
-    hashed = pair_hash(F.col("user"), F.col("item"))
+    """``part`` is 'valid' for about ``valid_percent`` in 100 pairs, else 'train'.
+
+    Other digits than those that draw the sample decide, so the share holds in any sample.
+    """
+    hashed = pair_hash(F.col("user"), F.col("item"), start=17)
     return pairs.withColumn("part", F.when(hashed % 100 < valid_percent, "valid").otherwise("train"))
 
 
@@ -150,11 +151,15 @@ class Tuned:
         return replace(base, **self.fine.best)
 
 
+def cv_folds(pairs: DataFrame, folds: int = 5) -> DataFrame:
+    """``pairs`` with ``fold``, 0 to ``folds`` - 1, by a hash of its own."""
+    return pairs.withColumn("fold", (pair_hash(F.col("item"), F.col("user")) % folds).cast("int"))
+
+
 def fold_and_part(features: DataFrame, folds: int) -> tuple[DataFrame, DataFrame]:
     """Train rows with their fold and validation rows, both as (features, label)."""
-    hashed = pair_hash(F.col("item"), F.col("user"))
-    rows = holdout_split(on_all_cores(features)).withColumn("fold", (hashed % folds).cast("int"))
-    ready = materialize(rows.select(*FEATURES, "stars", "fold", "part"))
+    rows = cv_folds(holdout_split(on_all_cores(features)), folds)
+    ready = written(rows.select(*FEATURES, "stars", "fold", "part"))
     base_score = ready.where("part = 'train'").agg(F.avg("stars")).first()[0]
     train = ready.where("part = 'train'")
     labelled = training_set(train, base_score, "fold")

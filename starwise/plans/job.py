@@ -1,4 +1,4 @@
-"""spark-submit entry: ``job.py <folder> <requests file> <output folder name>``."""
+"""spark-submit entry: ``job.py <folder> <requests file> <output folder name> [ratings file]``."""
 
 from __future__ import annotations
 
@@ -11,21 +11,22 @@ from starwise.config import Config
 from starwise.operators.evaluate import evaluate
 from starwise.operators.stats import dedupe_ratings
 from starwise.plans.predict import end_to_end
-from starwise.runtime import materialize
+from starwise.runtime import written
 from starwise.sources import profiles, ratings
 
 
 @dataclass(frozen=True)
 class JobPaths:
-    """File names below the job's folder; the ratings are in ``...train.csv``."""
+    """File names below the job's folder. ``train_file`` names the file of ratings."""
 
     folder: str
     requests_file: str
     output_name: str
+    train_file: str = "train.csv"
 
     @property
     def train(self) -> str:
-        return f"{self.folder}/data/*train.csv"
+        return f"{self.folder}/data/{self.train_file}"
 
     @property
     def requests(self) -> str:
@@ -45,18 +46,30 @@ class JobPaths:
 
 
 def run_job(spark: SparkSession, paths: JobPaths, config: Config | None = None) -> DataFrame:
-    """Read the files, predict every request, write the predictions and return them as written."""
+    """Read the files, predict every request, write the predictions and return them as written.
+
+    The written rows follow the order of the requests; there are as many of them.
+    """
     predictions = end_to_end(
-        materialize(ratings.read_requests(spark, paths.requests)),
-        materialize(dedupe_ratings(ratings.read_ratings(spark, paths.train))),
+        written(ratings.read_requests(spark, paths.requests, "position")),
+        written(dedupe_ratings(ratings.read_ratings(spark, paths.train))),
         profiles.user_features(profiles.read_json_lines(spark, paths.users)),
         profiles.item_features(profiles.read_json_lines(spark, paths.items)),
         config or Config(),
     )
-    ratings.write_predictions(predictions, paths.output)
+    ratings.write_predictions(predictions, paths.output, "position")
     return ratings.read_predictions(spark, paths.output)
 
 
+def count_left_out(spark: SparkSession, paths: JobPaths) -> dict[str, int]:
+    """Lines of the input files that could not be read, by file."""
+    return {
+        "ratings": ratings.count_unreadable(spark, paths.train),
+        "users": profiles.count_unreadable(profiles.read_json_lines(spark, paths.users)).first().unreadable,
+        "items": profiles.count_unreadable(profiles.read_json_lines(spark, paths.items)).first().unreadable,
+    }
+
+
 def evaluate_files(spark: SparkSession, truth_path: str, prediction_path: str) -> DataFrame:
     """RMSE and error histogram of written predictions against a file of ratings."""
     truth = ratings.read_ratings(spark, truth_path)
@@ -64,4 +77,4 @@ def evaluate_files(spark: SparkSession, truth_path: str, prediction_path: str) -
 
 
 if __name__ == "__main__":
-    run_job(SparkSession.builder.appName("starwise").getOrCreate(), JobPaths(*sys.argv[1:4]))
+    run_job(SparkSession.builder.appName("starwise").getOrCreate(), JobPaths(*sys.argv[1:5]))

@@ -8,22 +8,22 @@ from pyspark.sql import functions as F
 from starwise.config import Config
 from starwise.operators import cf, features, hybrid, lsh, model, neighbors, similarity, tuning
 from starwise.operators.stats import RatingFacts
-from starwise.runtime import materialize
+from starwise.runtime import written
 from starwise.skew import HotPairs, hot_keys, hot_pairs, key_counts, lookup
 
 
 def find_buckets(facts: RatingFacts) -> DataFrame:
     """Buckets of the items that have company; the signatures behind them are written once."""
-    return lsh.shared_buckets(materialize(lsh.band_signatures(facts)), facts.config)
+    return lsh.shared_buckets(written(lsh.band_signatures(facts)), facts.config)
 
 
-def find_moments(facts: RatingFacts, with_lsh: bool = True) -> DataFrame:
-    return similarity.pair_moments(facts, find_buckets(facts) if with_lsh else None)
+def find_moments(facts: RatingFacts, buckets: DataFrame | None = None) -> DataFrame:
+    return similarity.pair_moments(facts, find_buckets(facts) if buckets is None else buckets)
 
 
-def find_neighbors(facts: RatingFacts, with_lsh: bool = True) -> DataFrame:
+def find_neighbors(facts: RatingFacts, buckets: DataFrame | None = None) -> DataFrame:
     """(item, nbr, sim, rank): the neighbour list of every item that has one."""
-    similar = similarity.pair_similarity(find_moments(facts, with_lsh), facts.config)
+    similar = similarity.pair_similarity(find_moments(facts, buckets), facts.config)
     return neighbors.top_neighbors(neighbors.similarity_edges(similar), facts.config)
 
 
@@ -66,9 +66,9 @@ def request_frame(
     Neighbours are only looked up for items with ``cf_gate`` of them or more; the columns
     n_common, weighted and weight are NULL elsewhere.
     """
-    unique = materialize(requests.select("user", "item").distinct())
+    unique = written(requests.select("user", "item").distinct())
     hot = hot_pairs(unique, facts.config.skew)
-    packed = materialize(neighbors.packed_neighbors(neighbor_lists))
+    packed = written(neighbors.packed_neighbors(neighbor_lists))
     gated = packed.where(F.col("neighbor_cnt") >= cf_gate)
     hits = cf.rated_neighbors(unique, gated, hot, facts)
     cards = request_cards(unique, facts, packed, item_inputs, user_inputs, hot)
@@ -99,17 +99,20 @@ def blend(scored: DataFrame, facts: RatingFacts) -> DataFrame:
     )
 
 
-def answer_all(requests: DataFrame, predictions: DataFrame, config: Config) -> DataFrame:
+def answer_all(requests: DataFrame, predictions: DataFrame, config: Config, otherwise: float) -> DataFrame:
     """One prediction per request row, from one prediction per different request.
 
-    Copies of one request have nothing to tell them apart but their position, so a hot request is
+    Every row is answered: a request with a null id gets ``otherwise``. Further columns of the
+    requests stay. Copies of one request have nothing to tell them apart but their position, so a hot request is
     split by row number; ``requests`` must come from files or a checkpoint, where a retried task
     numbers its rows as before.
     """
     keys = ["user", "item"]
     hot = hot_keys(key_counts(requests, *keys), keys, requests.count(), config.skew)
     position = F.monotonically_increasing_id()
-    return lookup(requests.select(*keys), predictions, keys, hot, [position], how="inner")
+    known = predictions.where(F.col("user").isNotNull() & F.col("item").isNotNull())
+    answered = lookup(requests, known, keys, hot, [position])
+    return answered.withColumn("prediction", F.coalesce("prediction", F.lit(otherwise)))
 
 
 def hybrid_predict(
@@ -149,7 +152,7 @@ def tuning_features(
     The sample is drawn first. It has at most ``size`` rows, so its keys can be broadcast to pick
     the few profiles it needs.
     """
-    sample = materialize(tuning.tuning_sample(facts.ratings, size))
+    sample = written(tuning.tuning_sample(facts.ratings, size))
 
     def needed(inputs: DataFrame, key: str) -> DataFrame:
         return inputs.join(F.broadcast(sample.select(key).distinct()), key, "left_semi")
@@ -181,10 +184,11 @@ def end_to_end(
     ``ratings`` and ``requests`` are read several times and must come from files or a checkpoint.
     """
     facts = RatingFacts(ratings, config)
-    user_inputs = materialize(features.model_inputs(user_features, "user"))
-    item_inputs = materialize(features.model_inputs(item_features, "item"))
-    neighbor_lists = materialize(find_neighbors(facts))
+    user_inputs = written(features.model_inputs(user_features, "user"))
+    item_inputs = written(features.model_inputs(item_features, "item"))
+    neighbor_lists = written(find_neighbors(facts))
     train = training_features(facts, user_inputs, item_inputs)
     fitted = model.fit(train, config.model, facts.mean_value)
     predictions = hybrid_predict(requests, facts, neighbor_lists, user_inputs, item_inputs, fitted)
-    return answer_all(requests, predictions.select("user", "item", "prediction"), config)
+    answers = predictions.select("user", "item", "prediction")
+    return answer_all(requests, answers, config, facts.mean_value)

@@ -55,7 +55,7 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def count_unreadable(lines: DataFrame) -> DataFrame:
     """One row: how many lines there are and how many are no JSON object."""
-    return lines.agg(
+    return allow_repeated_fields(lines).agg(
         F.count("line").alias("lines"), F.count_if(_fields(()).isNull()).alias("unreadable")
     )
 
@@ -63,10 +63,19 @@ def count_unreadable(lines: DataFrame) -> DataFrame:
 def _fields(names: Iterable[str]) -> Column:
     """The named fields of a line in one pass; NULL for a line that is no JSON object.
 
-    A field of the struct is NULL where it is absent and a variant null where it is null.
+    A field of the struct is NULL where it is absent and a variant null where it is null. Bare
+    NaN and Infinity, which are no JSON but common, are read too.
     """
     kind = ", ".join(f"{name}: variant" for name in names) or "_: variant"
-    return F.try_variant_get(F.try_parse_json("line"), "$", f"struct<{kind}>")
+    quoted = F.regexp_replace("line", r"([:\[,]\s*)(-?(?:NaN|Infinity))(?=\s*[,}\]])", '$1"$2"')
+    parsed = F.coalesce(F.try_parse_json("line"), F.try_parse_json(quoted))
+    return F.try_variant_get(parsed, "$", f"struct<{kind}>")
+
+
+def allow_repeated_fields(lines: DataFrame) -> DataFrame:
+    """Let a line repeat a field; its last value counts. A setting of the session."""
+    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return lines
 
 
 def _as(field: str, kind: str) -> Column:
@@ -87,7 +96,7 @@ def _records(
 ) -> DataFrame:
     """Feature columns by id; spoiled records are zero, and of several records the highest stays."""
     ident = _as(id_field, "string").try_cast(key_type)
-    parsed = lines.select(_fields([id_field, *fields]).alias("p"))
+    parsed = allow_repeated_fields(lines).select(_fields([id_field, *fields]).alias("p"))
     read = parsed.select(ident.alias(key), *[column.alias(name) for name, column in columns.items()])
     ok = reduce(and_, [F.col(name).isNotNull() for name in columns])
     values = [F.when(F.col("record_ok"), F.col(name)).otherwise(0).alias(name) for name in columns]

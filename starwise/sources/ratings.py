@@ -1,7 +1,7 @@
 """CSV readers for ratings, requests and predictions, and the prediction writer.
 
-Schemas are positional and explicit, nothing is inferred. Rows too short for the columns they
-need come back with NULLs and are filtered out.
+Schemas are positional and explicit, nothing is inferred. Ratings without a readable number of
+stars are left out, and ``count_unreadable`` tells how many; requests are never left out.
 """
 
 from __future__ import annotations
@@ -23,18 +23,35 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path).dropna(how="any")
 
 
-def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """(user, item) from the first two columns of a CSV file with a header."""
-    return _read(spark, path).select("user", "item").dropna(how="any")
+def count_unreadable(spark: SparkSession, path: str) -> int:
+    """Rows that ``read_ratings`` leaves out: too short, or without a number of stars."""
+    missing = F.col("user").isNull() | F.col("item").isNull() | F.col("stars").isNull()
+    return _read(spark, path).where(missing).count()
+
+
+def read_requests(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:
+    """(user, item) from the first two columns of a CSV file with a header, every row of it.
+
+    A missing or empty id is an empty text. With ``position`` a column of that name ascends in
+    the order of the file.
+    """
+    rows = _read(spark, path).select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("user", "item")])
+    return rows if position is None else rows.withColumn(position, F.monotonically_increasing_id())
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """(user, item, prediction) as written by ``write_predictions``."""
-    return _read(spark, path).dropna(how="any").withColumnRenamed("stars", "prediction")
+    rows = _read(spark, path).where(F.col("stars").isNotNull()).withColumnRenamed("stars", "prediction")
+    return rows.fillna("", ["user", "item"])
+
 
+def write_predictions(predictions: DataFrame, path: str, position: str | None = None) -> None:
+    """Folder of CSV files with a header each, written in parallel by all tasks.
 
-def write_predictions(predictions: DataFrame, path: str) -> None:
-    """Folder of CSV files with a header each, written in parallel by all tasks."""
+    With ``position`` the files and the rows in them follow that column, which is not written.
+    """
+    if position is not None:
+        predictions = predictions.orderBy(position)
     named = predictions.select(
         *[F.col(c).alias(name) for c, name in zip(("user", "item", "prediction"), PREDICTION_COLUMNS)]
     )

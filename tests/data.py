@@ -2,6 +2,14 @@
 
 import random
 
+from pyspark.sql import functions as F
+
+
+def one_bucket(facts):
+    """All items in one bucket, so that every co-rated pair is a candidate."""
+    first = facts.by_item.agg(F.min("item")).first()[0]
+    return facts.by_item.select("item", F.lit(0).alias("band"), F.lit(first).alias("bucket"))
+
 
 def ratings(seed=7, users=60, items=14, share=0.5, prefix=""):
     """Random ratings in which some items are copies of each other and taste is real."""

@@ -7,9 +7,9 @@ from conftest import as_dict
 from data import ratings
 
 from starwise.config import Config, LshConfig, ModelConfig
-from starwise.plans.job import JobPaths, evaluate_files, run_job
+from starwise.plans.job import JobPaths, count_left_out, evaluate_files, run_job
 from starwise.runtime import ensure_checkpoint_dir
-from starwise.sources.ratings import read_predictions, read_ratings, read_requests, write_predictions
+from starwise.sources.ratings import count_unreadable, read_predictions, read_ratings, read_requests, write_predictions
 
 
 def test_readers(spark, tmp_path):
@@ -18,10 +18,18 @@ def test_readers(spark, tmp_path):
     assert {tuple(r) for r in read_ratings(spark, str(path)).collect()} == {("u1", "b1", 4.0), ("u3", "b3", 2.5)}
     assert read_ratings(spark, str(path)).count() == 2
     assert read_requests(spark, str(path)).count() == 4
+    assert count_unreadable(spark, str(path)) == 2
     path.write_text("user_id,business_id\nu1,b1\nu2,b2\n")
     assert {tuple(r) for r in read_requests(spark, str(path)).collect()} == {("u1", "b1"), ("u2", "b2")}
 
 
+def test_every_request_is_read(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text("user_id,business_id\nu1,b1\nu2,\n,b3\nu4\n")
+    found = read_requests(spark, str(path), "at").orderBy("at").collect()
+    assert [(r.user, r.item) for r in found] == [("u1", "b1"), ("u2", ""), ("", "b3"), ("u4", "")]
+
+
 def test_predictions_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("u", "b", 3.25), ("v", "b", 1.0)], "user string, item string, prediction double")
     out = str(tmp_path / "out")
@@ -47,7 +55,7 @@ def folder(tmp_path_factory):
     head = "user_id,business_id,stars\n"
     to_csv = lambda data: head + "".join(f"{u},{i},{s}\n" for u, i, s in data)
     (root / "data" / "some_train.csv").write_text(to_csv(train))
-    (root / "data" / "val.csv").write_text(to_csv(held + [held[0], ("new", "x1", 3.0), ("x1", "new", 3.0)]))
+    (root / "data" / "val.csv").write_text(to_csv(held + [held[0], ("new", "x1", 3.0), ("x1", "new", 3.0), ("x1", "", 3.0), ("", "x1", 3.0)]))
     users = [{"user_id": f"x{k}", "average_stars": 3.0, "review_count": k} for k in range(60)]
     items = [{"business_id": f"x{k}", "stars": 2.0 + k % 3, "attributes": {}} for k in range(30)]
     (root / "data" / "user.json").write_text("\n".join(map(json.dumps, users)) + "\n\n")
@@ -62,10 +70,13 @@ def test_job(spark, folder):
         model=ModelConfig(n_estimators=5, learning_rate=0.3),
         gate_neighbors=5,
     )
-    written = run_job(spark, JobPaths(str(root), "val.csv", "predictions"), config)
-    assert written.count() == len(held) + 3
+    written = run_job(spark, JobPaths(str(root), "val.csv", "predictions", "some_train.csv"), config)
+    assert written.count() == len(held) + 5
+    asked = [*held, held[0], ("new", "x1"), ("x1", "new"), ("x1", ""), ("", "x1")]
+    assert [(r.user, r.item) for r in written.collect()] == [tuple(r[:2]) for r in asked]
     assert all(1 <= r.prediction <= 5 for r in written.collect())
     found = as_dict(written.distinct(), "user", "item")
-    assert found.keys() == {(u, i) for u, i, _ in held} | {("new", "x1"), ("x1", "new")}
+    assert found.keys() == {(u, i) for u, i, _ in held} | {("new", "x1"), ("x1", "new"), ("x1", ""), ("", "x1")}
+    assert count_left_out(spark, JobPaths(str(root), "val.csv", "predictions", "some_train.csv")) == {"ratings": 0, "users": 0, "items": 0}
     score = evaluate_files(spark, str(root / "data" / "val.csv"), str(root / "output" / "predictions")).first()
-    assert score.n == len(found) and 0 < score.rmse < 2
+    assert score.n == len(held) + 2 and 0 < score.rmse < 2

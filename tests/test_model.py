@@ -65,6 +65,14 @@ def test_split_is_about_one_in_five(spark):
     assert sum(parts.values()) == 10000 and abs(parts["valid"] - 2000) < 200
 
 
+def test_split_of_a_thin_sample_is_about_one_in_five(spark):
+    pairs = spark.range(200_000).selectExpr("id AS user", "id % 7 AS item")
+    thin = tuning.tuning_sample(pairs, 2000)
+    assert abs(tuning.holdout_split(thin).where("part = 'valid'").count() - 400) < 80
+    folds = {r.fold: r["count"] for r in tuning.cv_folds(tuning.holdout_split(thin).where("part = 'train'")).groupBy("fold").count().collect()}
+    assert set(folds) == set(range(5)) and min(folds.values()) > 240
+
+
 @pytest.mark.parametrize(
     ("value", "choices", "near"),
     [

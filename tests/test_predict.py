@@ -5,7 +5,7 @@ from dataclasses import replace
 
 import pytest
 from conftest import as_dict, row_set
-from data import ratings
+from data import one_bucket, ratings
 from pyspark.sql import functions as F
 
 from starwise.config import Config
@@ -23,7 +23,7 @@ def facts(golden):
 
 @pytest.fixture(scope="module")
 def lists(facts):
-    return predict.find_neighbors(facts, with_lsh=False).cache()
+    return predict.find_neighbors(facts, one_bucket(facts)).cache()
 
 
 def test_golden_predictions(spark, facts, lists):
@@ -44,7 +44,7 @@ def test_golden_predictions(spark, facts, lists):
 def test_no_common_neighbor(spark):
     rows = [("a", "x", 5.0), ("a", "y", 1.0), ("b", "x", 1.0), ("b", "y", 5.0), ("c", "z", 2.0)]
     facts = RatingFacts(spark.createDataFrame(rows, "user string, item string, stars double"), Config())
-    lists = predict.find_neighbors(facts, with_lsh=False)
+    lists = predict.find_neighbors(facts, one_bucket(facts))
     asked = spark.createDataFrame([("c", "x")], PAIR)
     row = predict.cf_predict(asked, facts, lists).first()
     assert (row.reason, row.prediction, row.n_common) == ("no_common", 3.0, 0)
@@ -86,9 +86,9 @@ def test_postprocess_and_fallback(spark):
 def test_copies_of_a_request_are_all_answered(spark):
     asked = spark.createDataFrame([("a", "x")] * 50 + [("b", "x")], PAIR).repartition(3)
     answers = spark.createDataFrame([("a", "x", 2.0), ("b", "x", 3.0)], PAIR + ", prediction double")
-    plain = row_set(predict.answer_all(asked, answers, Config()))
+    plain = row_set(predict.answer_all(asked, answers, Config(), 3.0))
     skewed = Config(skew=replace(Config().skew, min_rows=7, share=0.01))
-    assert plain == row_set(predict.answer_all(asked, answers, skewed))
+    assert plain == row_set(predict.answer_all(asked, answers, skewed, 3.0))
     assert len(plain) == 51
 
 
@@ -121,7 +121,7 @@ def test_predictions_cover_every_request_within_bounds(spark):
     schema = "user long, item long, stars double"
     facts = RatingFacts(spark.createDataFrame(train, schema), Config())
     asked = spark.createDataFrame(held, schema)
-    lists = predict.find_neighbors(facts, with_lsh=False)
+    lists = predict.find_neighbors(facts, one_bucket(facts))
     found = as_dict(predict.cf_predict(asked, facts, lists), "user", "item")
     assert found.keys() == {(u, i) for u, i, _ in held}
     assert all(1 <= r.prediction <= 5 for r in found.values())

@@ -55,13 +55,14 @@ def test_clip(spark, number, value):
     assert one(spark, lambda c: scalars.clip(c, 1.0, 5.0), number, "double") == value
 
 
-def test_ids_become_numbers_below_the_prime(spark):
-    number = lambda c: scalars.id_to_long(c, True, HASH_PRIME)
-    assert one(spark, number, 5, "long") == 5
-    assert one(spark, number, HASH_PRIME + 3, "long") == 3
-    assert one(spark, number, -1, "long") == HASH_PRIME - 1
-    text = one(spark, lambda c: scalars.id_to_long(c, False, HASH_PRIME), "abc", "string")
-    assert text == int("900150983cd24fb0"[:8], 16) % HASH_PRIME
+def test_ids_become_words_of_all_their_bits(spark):
+    words = lambda c: F.concat_ws(",", *scalars.id_words(c, True))
+    assert one(spark, words, 5, "long") == "5,0,0"
+    assert one(spark, words, HASH_PRIME + 3, "long") == "2,512,0"
+    assert one(spark, words, -1, "long") == f"{2**22 - 1},{2**22 - 1},{2**20 - 1}"
+    text = one(spark, lambda c: F.concat_ws(",", *scalars.id_words(c, False)), "abc", "string")
+    number = int("900150983cd24fb0"[:15], 16)
+    assert text == f"{number % 2**22},{(number >> 22) % 2**22},{number >> 44}"
 
 
 def users(spark, *records):

@@ -1,13 +1,14 @@
 """LSH, similarity and neighbours against brute force."""
 
 import math
+import random
 from collections import defaultdict
 from dataclasses import replace
 from itertools import combinations
 
 import pytest
 from conftest import as_dict, row_set
-from data import ratings
+from data import one_bucket, ratings
 
 from starwise.config import HASH_PRIME, Config, LshConfig
 from starwise.operators import lsh, neighbors, similarity
@@ -22,8 +23,13 @@ def brute_signatures(rows, config):
     raters = defaultdict(set)
     for user, item, _ in rows:
         raters[item].add(user)
+    def number(user, a0, a1, a2, b, c0, c1, c2, d):
+        w0, w1, w2 = user & 0x3FFFFF, (user >> 22) & 0x3FFFFF, (user >> 44) & 0xFFFFF
+        high, low = a0 * w0 + a1 * w1 + a2 * w2 + b, c0 * w0 + c1 * w1 + c2 * w2 + d
+        return high % HASH_PRIME * 2**31 + low % HASH_PRIME
+
     return {
-        item: [min((a * u + b) % HASH_PRIME for u in users) for a, b in config.lsh.hash_table()]
+        item: [min(number(u, *row) for u in users) for row in config.lsh.hash_table()]
         for item, users in raters.items()
         if len(users) >= config.lsh.min_item_ratings
     }
@@ -67,7 +73,32 @@ def test_hash_table_is_seeded_and_distinct():
     table = LshConfig().hash_table()
     assert len(set(table)) == 100 and table == LshConfig().hash_table()
     assert table[:99] == LshConfig(bands=33, rows=3).hash_table()
-    assert all(1 <= a < HASH_PRIME and 0 <= b < HASH_PRIME for a, b in table)
+    assert all(len(row) == 8 and all(0 <= value < HASH_PRIME for value in row) for row in table)
+
+
+def test_wide_ids_are_not_folded(spark):
+    rows = [(5, 1), (2**31 + 4, 2), (-5, 3), (2**62 + 5, 4), (2**62 + 6, 5)]
+    config = Config(lsh=LshConfig(bands=1, rows=3, min_item_ratings=1))
+    facts = RatingFacts(spark.createDataFrame([(u, i, 3.0) for u, i in rows], LONG), config)
+    found = {r.item: (r.h0, r.h1, r.h2) for r in lsh.band_signatures(facts).collect()}
+    assert len(set(found.values())) == len(rows)
+    expected = brute_signatures([(u, i, 3.0) for u, i in rows if u >= 0], config)
+    assert all(found[item] == tuple(hashes) for item, hashes in expected.items())
+
+
+def test_bucket_mates_need_an_active_co_rater(spark):
+    rows = [(user, item, 3.0) for user in range(10) for item in range(4)]
+    for most, pairs in ((499, 6), (3, 0)):
+        facts = RatingFacts(spark.createDataFrame(rows, LONG), replace(SMALL, max_user_ratings=most))
+        assert similarity.candidate_pairs(facts, predict.find_buckets(facts)).count() == pairs
+
+
+def test_pairs_form_where_the_user_rows_lie(facts):
+    """Between the shuffle by user and the sums by pair nothing is shuffled again."""
+    plan = similarity.pair_moments(facts, predict.find_buckets(facts))._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("(i#" in line and "j#" in line for line in moves) == 1
+    assert not any("code#" in line for line in moves)
 
 
 def test_signatures(facts, rows):
@@ -111,7 +142,7 @@ def test_corated_pairs(facts, rows):
 
 def test_golden_similarity(golden):
     facts = RatingFacts(golden, Config())
-    moments = predict.find_moments(facts, with_lsh=False)
+    moments = predict.find_moments(facts, one_bucket(facts))
     found = {k: (r.n, round(r.sim, 6)) for k, r in as_dict(similarity.pair_similarity(moments, Config()), "i", "j").items()}
     assert found == {
         ("A", "B"): (3, 0.041836), ("A", "C"): (3, -0.047485), ("A", "D"): (1, 0.0),
@@ -120,7 +151,7 @@ def test_golden_similarity(golden):
 
 
 def test_similarity_is_bounded_and_edges_are_symmetric(facts):
-    similar = similarity.pair_similarity(predict.find_moments(facts, with_lsh=False), SMALL)
+    similar = similarity.pair_similarity(predict.find_moments(facts, one_bucket(facts)), SMALL)
     assert all(abs(r.sim) <= 1 and not math.isnan(r.sim) for r in similar.collect())
     edges = as_dict(neighbors.similarity_edges(similar), "item", "nbr")
     assert len(edges) == 2 * similar.count()
@@ -153,11 +184,11 @@ def test_text_ids_work_like_numbers(spark):
 
 def test_recall_follows_the_banding_curve(spark):
     # items 2k and 2k + 1 share 30 of 50 raters each: Jaccard 30 / 70
-    rows = []
+    rows, rng = [], random.Random(1)
     for pair in range(150):
-        base = pair * 1000
-        rows += [(base + u, 2 * pair, 3.0) for u in range(50)]
-        rows += [(base + u, 2 * pair + 1, 3.0) for u in range(20, 70)]
+        users = rng.sample(range(2**40), 70)
+        rows += [(u, 2 * pair, 3.0) for u in users[:50]]
+        rows += [(u, 2 * pair + 1, 3.0) for u in users[20:]]
     config = Config(lsh=LshConfig(bands=20, rows=3, min_item_ratings=50))
     facts = RatingFacts(spark.createDataFrame(rows, LONG), config)
     found = similarity.candidate_pairs(facts, predict.find_buckets(facts)).count()

@@ -4,7 +4,7 @@ from dataclasses import replace
 
 import pytest
 from conftest import as_dict, row_set
-from data import ratings
+from data import one_bucket, ratings
 
 from starwise.config import Config, LshConfig, SkewConfig
 from starwise.operators import cf, lsh, neighbors, similarity
@@ -81,7 +81,7 @@ def test_predictions_with_hot_requests(spark, both):
     asked = spark.createDataFrame(
         [(u, i) for u in range(0, 90, 3) for i in (0, 1, 2)] + [(5, i) for i in range(16)], "user long, item long"
     )
-    lists = predict.find_neighbors(both[0], with_lsh=False).cache()
+    lists = predict.find_neighbors(both[0], one_bucket(both[0])).cache()
     plain, hot = (row_set(predict.cf_predict(asked, facts, lists)) for facts in both)
     assert plain == hot
 
