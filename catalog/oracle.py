@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from catalog.queries import CASUAL, DEFAULT, DENSE, HOT_QUERIES, MIXED, SAMPLE_SIZE
+from catalog.tables import BLOCK_CUSTOMERS, BLOCK_ITEMS, BLOCK_USERS
 from starwise.config import HASH_PRIME, Config
 
 RATED = """
@@ -14,6 +15,7 @@ r AS (
 )"""
 
 HELD_OUT = {
+    "blocks": '(("user" * 31 + item * 17) % 10 = 0)',
     "plain": '(("user" * 31 + item * 17) % 10 = 0)',
     "cold": '(("user" * 31 + item * 17) % 10 = 0 OR "user" % 50 = 0 OR item % 33 = 32)',
 }
@@ -27,8 +29,13 @@ active AS (SELECT "user", n FROM um WHERE n BETWEEN 2 AND 499)"""
 
 
 def split(name: str) -> str:
-    rule = HELD_OUT[name]
-    return f"{RATED},\nt AS (SELECT * FROM r WHERE NOT {rule}),\nq AS (SELECT * FROM r WHERE {rule}),{MEANS}"
+    rule, rated = HELD_OUT[name], RATED
+    if name == "blocks":
+        user = f"(o_custkey - 1) // {BLOCK_CUSTOMERS}"
+        item = f"{BLOCK_ITEMS} * ({user} // {BLOCK_USERS}) + l_suppkey % {BLOCK_ITEMS}"
+        rated = RATED.replace("GROUP BY o_custkey, l_suppkey", f"GROUP BY {user}, {item}")
+        rated = rated.replace('o_custkey AS "user", l_suppkey AS item', f'{user} AS "user", {item} AS item')
+    return f"{rated},\nt AS (SELECT * FROM r WHERE NOT {rule}),\nq AS (SELECT * FROM r WHERE {rule}),{MEANS}"
 
 
 def signatures(config: Config, user: str = 't."user"') -> str:
@@ -259,7 +266,17 @@ mixed AS (
     THEN alpha * (trust * cf + (1 - trust) * means) + (1 - alpha) * model ELSE model END AS score
   FROM scored
 )"""
+    blocks = split("blocks")
+    by_default = (signatures(DEFAULT), SIMILAR)
+    final = """SELECT "user", item, neighbor_cnt,
+  ROUND(GREATEST(1.0::DOUBLE, LEAST(5.0::DOUBLE, 0.98::DOUBLE * score + 0.02::DOUBLE * mean)), 6) AS prediction
+FROM mixed"""
     twins = {
+        "lsh_candidates_blocks": _with(blocks, signatures(DEFAULT), select="SELECT i, j FROM cand"),
+        "pair_similarity_blocks": _with(blocks, *by_default, select="SELECT i, j, n, ROUND(sim, 6) AS sim FROM sims"),
+        "top_neighbors_blocks": _with(blocks, *by_default, select=neighbor_rows),
+        "cf_predict_blocks": _with(blocks, *by_default, CF, select=cf_rows),
+        "hybrid_predict_blocks": _with(blocks, *by_default, CF, PROFILES, FEATURES, FALLBACK, blended, select=final),
         "ratings_scan": _with(plain, select='SELECT "user", item, stars FROM r'),
         "requests_scan": _with(plain, select='SELECT "user", item FROM q'),
         "dedupe_pairs": _with(plain, select='SELECT "user", item, stars FROM r'),
@@ -374,9 +391,7 @@ FROM fb""",
             FEATURES,
             FALLBACK,
             blended,
-            select="""SELECT "user", item, neighbor_cnt,
-  ROUND(GREATEST(1.0::DOUBLE, LEAST(5.0::DOUBLE, 0.98::DOUBLE * score + 0.02::DOUBLE * mean)), 6) AS prediction
-FROM mixed""",
+            select=final,
         ),
         "eval_rmse": _with(cold, BASELINE, select="SELECT COUNT(*) AS n, ROUND(SQRT(AVG(e * e)), 6) AS rmse FROM err"),
         "eval_error_bins": _with(

@@ -32,7 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DEFAULT = Config()  # 20 bands x 5 rows
 MIXED = Config(lsh=LshConfig(bands=33, rows=3))  # fires both sides of the neighbour gate
-CASUAL = replace(Config(lsh=LshConfig(bands=33, rows=3)), max_user_ratings=30)  # few users are active
+CASUAL = replace(Config(lsh=LshConfig(bands=33, rows=3)), max_user_ratings=14)  # few users are active
 DENSE = Config(lsh=LshConfig(bands=50, rows=2))  # fills neighbour lists to the top
 BUSY = replace(DEFAULT, min_user_ratings=30)
 IN_DEMAND = replace(DEFAULT, lsh=LshConfig(min_item_ratings=425))
@@ -155,9 +155,9 @@ def lsh_bands(spark, sf_dir):
     return lsh.band_keys(lsh.band_signatures(facts), facts.config)
 
 
-def _lsh_candidates(config: Config) -> Query:
+def _lsh_candidates(config: Config, split: str = "plain") -> Query:
     def query(spark, sf_dir):
-        facts, _ = _facts(spark, sf_dir, config)
+        facts, _ = _facts(spark, sf_dir, config, split)
         return similarity.candidate_pairs(facts, predict.find_buckets(facts))
 
     return query
@@ -168,8 +168,8 @@ def pair_moments(spark, sf_dir, config: Config = MIXED):
     return predict.find_moments(facts).drop("avg_i", "avg_j")
 
 
-def _pair_similarity(spark, sf_dir) -> DataFrame:
-    facts, _ = _facts(spark, sf_dir, MIXED)
+def _pair_similarity(spark, sf_dir, config: Config = MIXED, split: str = "plain") -> DataFrame:
+    facts, _ = _facts(spark, sf_dir, config, split)
     return similarity.pair_similarity(predict.find_moments(facts), facts.config)
 
 
@@ -177,13 +177,17 @@ def pair_similarity(spark, sf_dir):
     return rounded(_pair_similarity(spark, sf_dir), "sim")
 
 
+def pair_similarity_blocks(spark, sf_dir):
+    return rounded(_pair_similarity(spark, sf_dir, DEFAULT, "blocks"), "sim")
+
+
 def similarity_edges(spark, sf_dir):
     return rounded(neighbors.similarity_edges(_pair_similarity(spark, sf_dir)), "sim")
 
 
-def _top_neighbors(config: Config) -> Query:
+def _top_neighbors(config: Config, split: str = "plain") -> Query:
     def query(spark, sf_dir):
-        return rounded(predict.find_neighbors(_facts(spark, sf_dir, config)[0]), "sim")
+        return rounded(predict.find_neighbors(_facts(spark, sf_dir, config, split)[0]), "sim")
 
     return query
 
@@ -213,9 +217,9 @@ def common_neighbors(spark, sf_dir):
     return cf.common_neighbors(held_out, facts, predict.find_neighbors(facts))
 
 
-def _cf_predict(config: Config) -> Query:
+def _cf_predict(config: Config, split: str = "cold") -> Query:
     def query(spark, sf_dir):
-        facts, held_out = _facts(spark, sf_dir, config, "cold")
+        facts, held_out = _facts(spark, sf_dir, config, split)
         return rounded(predict.cf_predict(held_out, facts, predict.find_neighbors(facts)), "prediction")
 
     return query
@@ -334,11 +338,14 @@ def model_postprocess(spark, sf_dir):
 # predictions, evaluation, model
 
 
-def hybrid_predict(spark, sf_dir):
-    facts, held_out = _facts(spark, sf_dir, MIXED)
-    users, items = _inputs(spark, sf_dir, facts.ratings)
-    lists = predict.find_neighbors(facts)
-    return rounded(predict.hybrid_predict(held_out, facts, lists, users, items), "prediction")
+def _hybrid_predict(config: Config, split: str = "plain") -> Query:
+    def query(spark, sf_dir):
+        facts, held_out = _facts(spark, sf_dir, config, split)
+        users, items = _inputs(spark, sf_dir, facts.ratings)
+        lists = predict.find_neighbors(facts)
+        return rounded(predict.hybrid_predict(held_out, facts, lists, users, items), "prediction")
+
+    return query
 
 
 def _evaluated_baseline(spark, sf_dir) -> DataFrame:
@@ -458,13 +465,18 @@ QUERIES: dict[str, Query] = {
     "feature_vectors": feature_vectors,
     "fallback_score": fallback_score,
     "model_postprocess": model_postprocess,
-    "hybrid_predict": hybrid_predict,
+    "hybrid_predict": _hybrid_predict(MIXED),
     "eval_rmse": eval_rmse,
     "eval_error_bins": eval_error_bins,
     "tuning_sample": tuning_sample,
     "holdout_split": holdout_split,
     "cv_folds": cv_folds,
     **HOT_QUERIES,
+    "lsh_candidates_blocks": _lsh_candidates(DEFAULT, "blocks"),
+    "pair_similarity_blocks": pair_similarity_blocks,
+    "top_neighbors_blocks": _top_neighbors(DEFAULT, "blocks"),
+    "cf_predict_blocks": _cf_predict(DEFAULT, "blocks"),
+    "hybrid_predict_blocks": _hybrid_predict(DEFAULT, "blocks"),
     "model_predict": model_predict,
     "tune_coarse": tune_coarse,
     "tune_fine": tune_fine,

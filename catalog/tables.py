@@ -28,24 +28,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user, item, stars) per order line, duplicates of a pair included."""
+# The ``blocks`` split: customers that make up a user, users per block and items per block.
+BLOCK_CUSTOMERS, BLOCK_USERS, BLOCK_ITEMS = 3, 500, 70
+
+
+def order_lines(spark: SparkSession, sf_dir: str, blocks: bool = False) -> DataFrame:
+    """(user, item, stars) per order line, duplicates of a pair included.
+
+    Suppliers grow with the scale while the ratings of a customer do not, so overlap thins out.
+    With ``blocks`` a few customers make up a user, and a block of users rates items of its own:
+    items grow with the users and the overlap stays the same at every scale.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         F.col("l_suppkey").alias("item"),
         (1 + F.floor((F.col("l_quantity") - 1) / 10)).cast("double").alias("stars"),
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user"))
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("user", "item", "stars")
+    rated = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("user", "item", "stars")
+    if not blocks:
+        return rated
+    grouped = rated.withColumn("user", F.expr(f"(user - 1) div {BLOCK_CUSTOMERS}"))
+    return grouped.withColumn("item", F.expr(f"{BLOCK_ITEMS} * (user div {BLOCK_USERS}) + item % {BLOCK_ITEMS}"))
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_lines(spark, sf_dir).groupBy("user", "item").agg(F.max("stars").alias("stars"))
+def ratings(spark: SparkSession, sf_dir: str, blocks: bool = False) -> DataFrame:
+    return order_lines(spark, sf_dir, blocks).groupBy("user", "item").agg(F.max("stars").alias("stars"))
 
 
 def held_out(split: str) -> Column:
     plain = F.pmod(F.col("user") * 31 + F.col("item") * 17, F.lit(10)) == 0
-    if split == "plain":
+    if split != "cold":
         return plain
     return plain | (F.col("user") % 50 == 0) | (F.col("item") % 33 == 32)
 
@@ -54,7 +67,7 @@ def train_and_requests(
     spark: SparkSession, sf_dir: str, split: str = "plain", written: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Train ratings and held-out ratings; ``written`` computes the ratings once for many reads."""
-    rated = ratings(spark, sf_dir)
+    rated = ratings(spark, sf_dir, split == "blocks")
     if written:
         rated = runtime.written(rated)
     return rated.where(~held_out(split)), rated.where(held_out(split))
