@@ -25,7 +25,8 @@ class ImatchConfig:
     draws: int = 16
     levels: int = 4
     broadcast_terms: int = 4_000_000
-    rows_per_part: int = 2_048
+    rows_per_part: int = 512
+    broadcast_parts: int = 1_000_000
     ranges: int = 1_000
 
     @property
@@ -151,10 +152,11 @@ def compare_edited(docs: DataFrame, config: ImatchConfig = ImatchConfig()) -> Da
     # one row per part: a few thousandths of the documents
     ring = parts.select("part", F.coalesce(F.lead("first").over(Window.orderBy("part")), F.min("first").over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("first"))
     ring = materialize(ring)
+    firsts = ring.select(F.col("part").alias("of_part"), "first.*")
+    if ring.count() <= config.broadcast_parts:  # else the texts are shuffled once more
+        firsts = F.broadcast(firsts)
     text = F.coalesce("text", F.lit(""))
-    heads = ordered.select(*names, text.alias("head_text")).join(
-        ring.select(F.col("part").alias("of_part"), "first.*"), names
-    )
+    heads = ordered.select(*names, text.alias("head_text")).join(firsts, names)
     heads = heads.groupBy("of_part").agg(F.min("head_text").alias("head_text"))
     rows = ordered.withColumn("text", text).withColumn("copy", F.row_number().over(here))
     rows = rows.withColumn("next_text", F.lead("text").over(here))
@@ -175,9 +177,8 @@ def compare_edited(docs: DataFrame, config: ImatchConfig = ImatchConfig()) -> Da
     changed = F.max(F.when(F.col("edited_text"), F.col("fingerprint"))).alias("edited_fingerprint")
     result = materialize(marked.groupBy(*keys[:7]).agg(own, changed))
     order = Window.partitionBy("part").orderBy(*names, "copy")
-    after = ring.select(F.col("part").alias("of_part"), "first.*").join(
-        result.where("copy = 1").select(*names, F.col("fingerprint").alias("head_fingerprint")), names
-    )
+    starts = result.where("copy = 1").select(*names, F.col("fingerprint").alias("head_fingerprint"))
+    after = starts.join(firsts, names)
     after = after.groupBy("of_part").agg(F.min("head_fingerprint").alias("head_fingerprint"))
     result = result.withColumn("next", F.lead("fingerprint").over(order))
     result = result.join(after, result.part == after.of_part, "left")
