@@ -39,7 +39,11 @@ class LshConfig:
 
 @dataclass(frozen=True)
 class ModelConfig:
-    """Boosted-tree settings; ``seed`` also drives row and column subsampling."""
+    """Boosted-tree settings; ``seed`` also drives row and column subsampling.
+
+    ``max_training_rows`` bounds the labelled rows that the trees are fitted to. Beyond it, about
+    that many are drawn by a hash of the pair, before any profile is joined.
+    """
 
     n_estimators: int = 1000
     max_depth: int = 5
@@ -48,6 +52,7 @@ class ModelConfig:
     colsample: float = 0.7
     min_child_weight: int = 4
     seed: int = 42
+    max_training_rows: int = 50_000_000
 
 
 @dataclass(frozen=True)

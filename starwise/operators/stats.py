@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Row
@@ -19,8 +20,8 @@ def dedupe_ratings(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("user", "item").agg(F.max("stars").alias("stars"))
 
 
-def item_stats(ratings: DataFrame) -> DataFrame:
-    return ratings.groupBy("item").agg(F.avg("stars").alias("avg_stars"), F.count("stars").alias("n"))
+def item_stats(ratings: DataFrame, *more: Column) -> DataFrame:
+    return ratings.groupBy("item").agg(F.avg("stars").alias("avg_stars"), F.count("stars").alias("n"), *more)
 
 
 def user_stats(ratings: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ class RatingFacts:
 
     @cached_property
     def by_item(self) -> DataFrame:
-        return written(item_stats(self.ratings))
+        return written(item_stats(self.ratings, F.sum("stars").alias("sum_stars")))
 
     @cached_property
     def by_user(self) -> DataFrame:
@@ -61,7 +62,13 @@ class RatingFacts:
 
     @cached_property
     def _totals(self) -> Row:
-        return global_stats(self.ratings).first()
+        """Read off the items' sums, not the ratings again."""
+        total = F.sum("n")
+        return self.by_item.agg((F.sum("sum_stars") / total).alias("avg_stars"), F.coalesce(total, F.lit(0)).alias("n")).first()
+
+    @property
+    def n_ratings(self) -> int:
+        return self._totals["n"]
 
     @property
     def mean_value(self) -> float:
@@ -130,17 +137,26 @@ def item_raters(ratings: DataFrame) -> DataFrame:
     )
 
 
-def user_index(ratings: DataFrame, buckets: int = 4096) -> DataFrame:
+USERS_PER_BUCKET = 50_000
+
+
+def user_index(ratings: DataFrame, buckets: int | None = None) -> DataFrame:
     """Dense numbers 0, 1, 2 ... for the different users.
 
-    Users are numbered within ``buckets`` hash buckets in parallel, and each bucket starts where
-    the buckets before it end; only the ``buckets`` totals are ever seen in one place.
+    Users are numbered within hash buckets in parallel, and each bucket starts where the buckets
+    before it end; only the buckets' totals are ever seen in one place. Unless their number is
+    given, there are 4,096 buckets, or so many more (by powers of 16) that a bucket has about
+    50,000 users at most.
     """
-    digits = len(f"{buckets - 1:x}")
-    if 16**digits != buckets:
-        raise ValueError("buckets must be a power of 16")
+    distinct = ratings.select("user").distinct()
+    if buckets is None:
+        digits = max(3, math.ceil(math.log(max(1, distinct.count()) / USERS_PER_BUCKET, 16)))
+    else:
+        digits = len(f"{buckets - 1:x}")
+        if 16**digits != buckets:
+            raise ValueError("buckets must be a power of 16")
     bucket = F.substring(F.md5(F.col("user").cast("string")), 1, digits)
-    users = ratings.select("user").distinct().withColumn("bucket", bucket)
+    users = distinct.withColumn("bucket", bucket)
     sizes = users.groupBy("bucket").agg(F.count("user").alias("size"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))

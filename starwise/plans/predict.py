@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwise.config import Config
+from starwise.functions.scalars import pair_hash
 from starwise.operators import cf, features, hybrid, lsh, model, neighbors, similarity, tuning
 from starwise.operators.stats import RatingFacts
 from starwise.runtime import written
@@ -136,10 +137,19 @@ def hybrid_predict(
     return blend(scored, facts)
 
 
+def training_ratings(facts: RatingFacts) -> DataFrame:
+    """The ratings to learn from: all, or about ``max_training_rows`` of them by their hash."""
+    most = facts.config.model.max_training_rows
+    if facts.n_ratings <= most:
+        return facts.ratings
+    bound = int(tuning.HASH_SPACE * (most / facts.n_ratings))
+    return facts.ratings.where(pair_hash(F.col("user"), F.col("item")) < bound)
+
+
 def training_features(facts: RatingFacts, user_inputs: DataFrame, item_inputs: DataFrame) -> DataFrame:
-    """user, item, stars and the 22 model inputs for every rating."""
+    """user, item, stars and the 22 model inputs for the ratings to learn from."""
     profiled = features.with_profiles(
-        facts.ratings, user_inputs, item_inputs, facts.hot_users, facts.hot_items
+        training_ratings(facts), user_inputs, item_inputs, facts.hot_users, facts.hot_items
     )
     return features.feature_vectors(profiled, "user", "item", "stars")
 

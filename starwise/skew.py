@@ -46,8 +46,9 @@ class HotPairs(NamedTuple):
 
 def hot_pairs(pairs: DataFrame, skew: SkewConfig) -> HotPairs:
     """Hot keys of (user, item) rows that are cheap to read."""
-    total = pairs.count()
-    items = hot_keys(key_counts(pairs, "item"), ["item"], total, skew)
+    by_item = key_counts(pairs, "item")
+    total = by_item.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    items = hot_keys(by_item, ["item"], total, skew)
     return HotPairs(total, items, hot_keys(key_counts(pairs, "user"), ["user"], total, skew))
 
 

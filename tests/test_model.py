@@ -104,3 +104,14 @@ def test_two_stage_tuning(spark, rows):
     table = tuning.search_table(spark, tuned.fine)
     assert table.columns == ["learning_rate", "colsample", "cv_rmse"] and table.count() == 2
     assert min(tuned.fine.rmse) == pytest.approx(tuned.fine.rmse[tuned.fine.points.index(tuned.fine.best)])
+
+
+def test_training_rows_are_bounded(spark):
+    from starwise.config import Config
+    from starwise.operators.stats import RatingFacts
+    from starwise.plans import predict
+
+    ratings = spark.range(20_000).selectExpr("id AS user", "id % 40 AS item", "1.0D + id % 5 AS stars")
+    for most, low, high in ((50_000, 20_000, 20_000), (2_000, 1_700, 2_300)):
+        config = Config(model=replace(FAST, max_training_rows=most))
+        assert low <= predict.training_ratings(RatingFacts(ratings, config)).count() <= high
