@@ -271,7 +271,25 @@ mixed AS (
     final = """SELECT "user", item, neighbor_cnt,
   ROUND(GREATEST(1.0::DOUBLE, LEAST(5.0::DOUBLE, 0.98::DOUBLE * score + 0.02::DOUBLE * mean)), 6) AS prediction
 FROM mixed"""
+    counts = """ROUND(LN(1 + COALESCE(itf.b_review_cnt, 0)::DOUBLE), 6) AS b_review_cnt,
+  ROUND(LN(1 + COALESCE(uf.u_review_cnt, 0)::DOUBLE), 6) AS u_review_cnt"""
+    profiled = 'LEFT JOIN itf ON itf.item = x.item LEFT JOIN uf ON uf."user" = x."user"'
     twins = {
+        "training_labels": _with(
+            plain,
+            PROFILES,
+            FEATURES,
+            select=f'SELECT x."user", x.item, ROUND(x.stars - g.avg_stars, 6) AS label, {counts} FROM t x CROSS JOIN g {profiled}',
+        ),
+        "tuning_features": _with(
+            plain,
+            PROFILES,
+            FEATURES,
+            f'x AS (SELECT * FROM t ORDER BY {pair_hash()}, "user", item LIMIT {SAMPLE_SIZE})',
+            select=f"""SELECT x."user", x.item, x.stars, CASE WHEN {pair_hash('x."user"', "x.item", 17)} % 100 < 20
+  THEN 'valid' ELSE 'train' END AS part, ({pair_hash("x.item", 'x."user"')} % 5)::INT AS fold, {counts} FROM x {profiled}""",
+        ),
+        "end_to_end_answers": _with(plain, select='SELECT "user", item, TRUE AS in_range FROM q'),
         "lsh_candidates_blocks": _with(blocks, signatures(DEFAULT), select="SELECT i, j FROM cand"),
         "pair_similarity_blocks": _with(blocks, *by_default, select="SELECT i, j, n, ROUND(sim, 6) AS sim FROM sims"),
         "top_neighbors_blocks": _with(blocks, *by_default, select=neighbor_rows),

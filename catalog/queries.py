@@ -38,12 +38,9 @@ BUSY = replace(DEFAULT, min_user_ratings=30)
 IN_DEMAND = replace(DEFAULT, lsh=LshConfig(min_item_ratings=425))
 # Few and large steps instead of the 1000 small ones of the default settings.
 TREES = ModelConfig(n_estimators=20, learning_rate=0.1)
-FEW_TREES = replace(TREES, n_estimators=5)
 SAMPLE_SIZE = 80_000
 # Keys of half a per cent of the rows count as hot here, so that the plans for hot keys are taken.
 HOT = SkewConfig(share=0.005, min_rows=4)
-COARSE = {"learning_rate": (0.05, 0.1), "max_depth": (3, 4)}
-FINE = {"learning_rate": (0.1, 0.2), "max_depth": (3,)}
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -388,19 +385,20 @@ def model_predict(spark, sf_dir):
     return scored.select("user", "item", F.col("model_score").alias("prediction"))
 
 
-def _tuning_features(spark, sf_dir) -> DataFrame:
+def training_labels(spark, sf_dir):
+    """The rows the trees are fitted to: the distance of every rating to the mean, and two inputs."""
     facts, _ = _facts(spark, sf_dir)
-    return predict.tuning_features(facts, *_inputs(spark, sf_dir, facts.ratings))
+    rows = predict.training_features(facts, *_inputs(spark, sf_dir, facts.ratings))
+    label = (F.col("stars") - facts.mean).alias("label")
+    return rounded(rows.select("user", "item", label, "b_review_cnt", "u_review_cnt"), "label", "b_review_cnt", "u_review_cnt")
 
 
-def tune_coarse(spark, sf_dir):
-    train, _ = tuning.fold_and_part(_tuning_features(spark, sf_dir), 2)
-    return tuning.search_table(spark, tuning.grid_search(train, COARSE, 2, FEW_TREES))
-
-
-def tune_fine(spark, sf_dir):
-    tuned = tuning.tune(_tuning_features(spark, sf_dir), COARSE, 2, FEW_TREES, FINE)
-    return tuning.search_table(spark, tuned.fine).withColumn("holdout_rmse", F.lit(tuned.holdout_rmse))
+def tuning_features(spark, sf_dir):
+    """The inputs of the sampled ratings, with their part and fold."""
+    facts, _ = _facts(spark, sf_dir)
+    found = predict.tuning_features(facts, *_inputs(spark, sf_dir, facts.ratings), SAMPLE_SIZE)
+    marked = tuning.cv_folds(tuning.holdout_split(found))
+    return rounded(marked.select("user", "item", "stars", "part", "fold", "b_review_cnt", "u_review_cnt"), "b_review_cnt", "u_review_cnt")
 
 
 def end_to_end_predict(spark, sf_dir):
@@ -419,6 +417,12 @@ HOT_QUERIES: dict[str, Query] = {
     "fallback_score_hot": _hot(fallback_score, DEFAULT),
 }
 
+def end_to_end_answers(spark, sf_dir):
+    """Every request, and whether its prediction is a rating from 1 to 5."""
+    answered = end_to_end_predict(spark, sf_dir)
+    return answered.select("user", "item", F.coalesce(F.col("prediction").between(1, 5), F.lit(False)).alias("in_range"))
+
+
 QUERIES: dict[str, Query] = {
     "ratings_scan": ratings_scan,
     "requests_scan": requests_scan,
@@ -478,7 +482,8 @@ QUERIES: dict[str, Query] = {
     "cf_predict_blocks": _cf_predict(DEFAULT, "blocks"),
     "hybrid_predict_blocks": _hybrid_predict(DEFAULT, "blocks"),
     "model_predict": model_predict,
-    "tune_coarse": tune_coarse,
-    "tune_fine": tune_fine,
+    "training_labels": training_labels,
+    "tuning_features": tuning_features,
     "end_to_end_predict": end_to_end_predict,
+    "end_to_end_answers": end_to_end_answers,
 }
