@@ -275,6 +275,17 @@ FROM mixed"""
   ROUND(LN(1 + COALESCE(uf.u_review_cnt, 0)::DOUBLE), 6) AS u_review_cnt"""
     profiled = 'LEFT JOIN itf ON itf.item = x.item LEFT JOIN uf ON uf."user" = x."user"'
     twins = {
+        "csv_round_trip": _with(plain, select="SELECT 'u' || \"user\" AS \"user\", 'i' || item AS item, stars FROM r"),
+        "csv_requests": _with(
+            plain,
+            select="""SELECT CASE WHEN "user" % 7 = 0 THEN '' ELSE 'u' || "user" END AS "user",
+  CASE WHEN item % 5 = 0 THEN '' ELSE 'i' || item END AS item FROM q""",
+        ),
+        "csv_predictions": _with(
+            cold,
+            BASELINE,
+            select='SELECT "user"::VARCHAR AS "user", item::VARCHAR AS item, ROUND(prediction, 6) AS prediction FROM base',
+        ),
         "training_labels": _with(
             plain,
             PROFILES,

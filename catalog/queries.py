@@ -24,9 +24,10 @@ from starwise.operators import (
     tuning,
 )
 from starwise.plans import predict
-from starwise.runtime import written
+from starwise.runtime import scratch_folder, written
 from starwise.skew import hot_pairs
 from starwise.sources import profiles
+from starwise.sources import ratings as csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +68,32 @@ def requests_scan(spark, sf_dir):
     return tables.train_and_requests(spark, sf_dir)[1].select("user", "item")
 
 
+def csv_round_trip(spark, sf_dir):
+    """Ratings under text ids, written as a CSV file and read back."""
+    folder = scratch_folder(spark)
+    named = tables.ratings(spark, sf_dir).selectExpr("concat('u', user) AS user", "concat('i', item) AS item", "stars")
+    named.write.csv(folder, header=True)
+    return csv.read_ratings(spark, folder)
+
+
+def csv_requests(spark, sf_dir):
+    """Requests with gaps, written as a CSV file and read back: as many rows as before."""
+    folder = scratch_folder(spark)
+    asked = tables.train_and_requests(spark, sf_dir)[1].selectExpr(
+        "if(user % 7 = 0, NULL, concat('u', user)) AS user", "if(item % 5 = 0, NULL, concat('i', item)) AS item"
+    )
+    asked.write.csv(folder, header=True)
+    return csv.read_requests(spark, folder)
+
+
+def csv_predictions(spark, sf_dir):
+    """Baseline predictions written by the prediction writer, in order, and read back."""
+    folder = scratch_folder(spark)
+    found = baseline_predict(spark, sf_dir).withColumn("at", F.col("user") * 1_000_000 + F.col("item"))
+    csv.write_predictions(found, folder, "at")
+    return rounded(csv.read_predictions(spark, folder), "prediction")
+
+
 def dedupe_pairs(spark, sf_dir):
     return stats.dedupe_ratings(tables.order_lines(spark, sf_dir))
 
@@ -426,6 +453,9 @@ def end_to_end_answers(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "ratings_scan": ratings_scan,
     "requests_scan": requests_scan,
+    "csv_round_trip": csv_round_trip,
+    "csv_requests": csv_requests,
+    "csv_predictions": csv_predictions,
     "dedupe_pairs": dedupe_pairs,
     "item_mean": item_mean,
     "user_mean": user_mean,

@@ -37,15 +37,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new path below the checkpoint folder, which goes when the application ends."""
+    folder = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table below the checkpoint folder once and read it from there.
 
     Unlike a checkpoint, a table is read by column, filters are pushed down to it, and its size is
-    known to the planner. The tables go when the application ends.
+    known to the planner. It goes when the application ends.
     """
-    spark = df.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    spark, folder = df.sparkSession, scratch_folder(df.sparkSession)
     df.write.parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)
