@@ -150,8 +150,9 @@ def compare_edited(docs: DataFrame, config: ImatchConfig = ImatchConfig()) -> Da
     here = Window.partitionBy("part").orderBy(*names)
     parts = ordered.groupBy("part").agg(F.min(F.struct(*names)).alias("first"))
     # one row per part: a few thousandths of the documents
-    ring = parts.select("part", F.coalesce(F.lead("first").over(Window.orderBy("part")), F.min("first").over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("first"))
-    ring = materialize(ring)
+    following = F.lead("first").over(Window.orderBy("part"))
+    lowest = F.first("first").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ring = materialize(parts.select("part", F.coalesce(following, lowest).alias("first")))
     firsts = ring.select(F.col("part").alias("of_part"), "first.*")
     if ring.count() <= config.broadcast_parts:  # else the texts are shuffled once more
         firsts = F.broadcast(firsts)
@@ -167,8 +168,14 @@ def compare_edited(docs: DataFrame, config: ImatchConfig = ImatchConfig()) -> Da
     rows = rows.withColumn("edited", edited)
     keys = ["part", "at", "text_hash", "copy", "doc_id", "n_chars", "edited_sha", "edited_text"]
     versions = F.array(
-        F.struct(F.lit(False).alias("edited_text"), terms(F.col("text")).alias("terms"), F.unhex(F.md5("text")).alias("text_md5")),
-        F.struct(F.lit(True).alias("edited_text"), terms(F.col("edited")).alias("terms"), F.unhex(F.md5("edited")).alias("text_md5")),
+        *(
+            F.struct(
+                F.lit(name == "edited").alias("edited_text"),
+                terms(F.col(name)).alias("terms"),
+                F.unhex(F.md5(name)).alias("text_md5"),
+            )
+            for name in ("text", "edited")
+        )
     )
     both = rows.select(*keys[:6], F.unhex(F.sha2("edited", 256)).alias("edited_sha"), F.explode(versions).alias("v"))
     both = both.select(*keys[:7], "v.edited_text", "v.terms", "v.text_md5")
