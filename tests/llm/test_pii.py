@@ -99,3 +99,23 @@ def test_rows(spark, odd, none):
     clean = pii.redact(spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint, base string"))
     assert sorted(map(tuple, clean.collect())) == [(1, "a [EMAIL], [PHONE]", 18, "kept"), (2, None, None, None), (3, "clean", 5, "x")]
     assert pii.redact(none).columns == none.columns
+
+
+def test_query(spark, tmp_path):
+    import hashlib
+
+    from starwise.llm.queries import QUERIES
+
+    texts = [
+        "a.b@c.org 10.0.0.1 10.0.0.2 4111 1111 1111 1111 +1 (456) 555-2186", None, "clean",
+        "call (988) 555-2485, x@y.zz", "Ä\U0001f600 1.2.3.4 999.1.1.1",
+    ]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for row in QUERIES["op9_pii"](spark, str(tmp_path)).collect():
+        spans = brute(texts[row.doc_id] or "")
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == tuple(sum(s[0] == k for s in spans) for k in PLAIN)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) - {""} <= set(row.spans.split(","))
+        if row.doc_id == 3:
+            assert row.spans == "email:21:27,phone:5:19"
