@@ -302,7 +302,8 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", config: JoinConfig
     known = classes.select("set_id", "copies", "first").join(links, "set_id", "left")
     known = known.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     known = known.withColumn("label", F.coalesce("label", "set_id"))
-    heads = known.groupBy("label").agg(F.min("first").alias("head"))
+    known = materialize(known)
+    heads = materialize(known.groupBy("label").agg(F.min("first").alias("head")))  # so that a hot label can be split
     n_links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     judged = known.join(heads, "label").select(
         "set_id", F.col("head.row_key").alias("class_id"), n_links, F.col("head").alias("first")
