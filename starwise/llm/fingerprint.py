@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from starwise.runtime import materialize
 
+WEIGHT = 10**8  # of a text without copies
+
 
 @dataclass(frozen=True)
 class ImatchConfig:
@@ -18,10 +21,19 @@ class ImatchConfig:
     distinct terms of a text) / ``least`` terms, however many texts there are. ``draws`` random
     subsets are made for each of ``levels`` rates 1/4, 1/32, 1/256, ...: a subset of few terms
     survives a large change of the text, one of many terms tells small changes.
+
+    Copies and near copies of one text count as one text there: each text has ``sketches``
+    sketches, the ``sketch_size`` lowest of its word pairs in as many orders, and one that shares
+    a sketch with more than ``group_share`` of the texts weighs one over their number. A smaller
+    group cannot move a term by more than that share, and there are at most
+    ``sketches`` / ``group_share`` larger ones.
     """
 
     least: float = 0.001
     most: float = 0.125
+    sketches: int = 4
+    sketch_size: int = 5
+    group_share: float = 0.0001
     draws: int = 16
     levels: int = 4
     broadcast_terms: int = 4_000_000
@@ -34,18 +46,53 @@ class ImatchConfig:
         return [(draw, level) for draw in range(self.draws) for level in range(1, self.levels + 1)]
 
 
-def terms(text: Column) -> Column:
-    """Distinct 64-bit hashes of a text's terms (runs of letters and digits, lower-cased)."""
+def _hashes(text: Column) -> Column:
+    """64-bit hashes of a text's terms (runs of letters and digits, lower-cased) as they follow."""
     parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.transform(F.filter(parts, lambda t: t != ""), lambda t: F.xxhash64(t)))
+    return F.transform(F.filter(parts, lambda t: t != ""), lambda t: F.xxhash64(t))
+
+
+def terms(text: Column) -> Column:
+    """Distinct 64-bit hashes of a text's terms."""
+    return F.array_distinct(_hashes(text))
+
+
+def sketched(docs: DataFrame, config: ImatchConfig) -> DataFrame:
+    """``terms`` and ``sketch_0``, ``sketch_1``, ... of every row; near copies share most sketches."""
+    rows = docs.select(_hashes(F.col("text")).alias("hashes"))
+    following = F.slice("hashes", F.lit(2), F.greatest(F.size("hashes"), F.lit(1)))
+    pairs = F.zip_with("hashes", following, lambda a, b: F.xxhash64(a, b))
+    rows = rows.select(F.array_distinct("hashes").alias("terms"), F.array_distinct(pairs).alias("pairs"))
+    masks = random.Random(4)
+
+    def sketch() -> Column:
+        mask = masks.getrandbits(64) - 2**63
+        return F.xxhash64(F.slice(F.sort_array(F.transform("pairs", lambda p: p.bitwiseXOR(F.lit(mask)))), 1, config.sketch_size))
+
+    return rows.select("terms", *(sketch().alias(f"sketch_{n}") for n in range(config.sketches)))
 
 
 def lexicon(docs: DataFrame, config: ImatchConfig = ImatchConfig()) -> DataFrame:
-    """(``term``): the hashes of the terms in the band, counted over all texts."""
-    total = docs.count()
+    """(``term``): the hashes of the terms in the band, counted over all texts, groups of copies once."""
+    rows, names = sketched(docs, config), [f"sketch_{n}" for n in range(config.sketches)]
+    least = max(1, config.group_share * docs.count())
+    each = rows.select(F.posexplode(F.array(*names)).alias("order", "sketch"))
+    groups = each.groupBy("order", "sketch").agg(F.count(F.lit(1)).alias("copies"))
+    groups = materialize(groups.where(F.col("copies") > least))
+    for n, name in enumerate(names):
+        known = groups.where(F.col("order") == n).select(F.col("sketch").alias(name), F.col("copies").alias(f"copies_{n}"))
+        rows = rows.join(F.broadcast(known), name, "left")  # at most 1 / group_share rows
+    copies = F.greatest(F.lit(1), *(F.col(f"copies_{n}") for n in range(config.sketches)))
+    # whole numbers, so that sums do not depend on the order; the null term counts the texts
+    weight = F.ceil(F.lit(WEIGHT) / copies).alias("weight")
+    met = F.explode(F.concat("terms", F.array(F.lit(None).cast("bigint")))).alias("term")
+    n = F.round(F.sum("weight") / WEIGHT, 3).alias("n")
+    counted = rows.select(weight, met).groupBy("term").agg(n)
+    counted = materialize(counted.where("n >= 2 OR term IS NULL"))
+    found = counted.where("term IS NULL").first()
+    total = found.n if found else 0
     low, high = max(2, config.least * total), config.most * total
-    counted = docs.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return materialize(counted.where((F.col("n") >= low) & (F.col("n") <= max(high, 2))).select("term"))
+    return counted.where((F.col("n") >= low) & (F.col("n") <= max(high, 2)) & F.col("term").isNotNull()).select("term")
 
 
 def _search(bounds: list, low: int, high: int, value: Column) -> Column:

@@ -51,6 +51,29 @@ def test_lexicon_is_the_band(spark, docs_of):
     assert pair.x in hashes and pair.y not in hashes and pair.z not in hashes
 
 
+@pytest.mark.parametrize("changes", [0, 3])
+def test_hot_group_stays_in_the_lexicon(spark, docs_of, changes):
+    """A third of the rows are copies, or near copies, of one text; its terms are as rare as before."""
+    rng = random.Random(12)
+    words = [f"term{n}" for n in range(1500)]
+    others = [" ".join(rng.sample(words, 40)) for _ in range(400)]
+    base = rng.sample(words, 150)
+    copies = []
+    for _ in range(200):
+        copy = list(base)
+        for at in rng.sample(range(150), changes):
+            copy[at] = rng.choice(words)
+        copies.append(" ".join(copy))
+    docs = docs_of(others + copies)
+    known = {r.term for r in fingerprint.lexicon(docs).collect()}
+    own = [spark.sql(f"SELECT xxhash64('{w}') AS x").first().x for w in base[:20]]
+    assert sum(x in known for x in own) >= 19
+    hot = [r for r in fingerprint.compare_edited(docs).collect() if r.doc_id > 400]
+    assert not any(r.fingerprint.startswith("text:") for r in hot)
+    assert sum(r.near_next for r in hot) > (0.35 if changes else 0.99) * len(hot[:-1])
+    assert min(r.near_edited for r in hot[:-1]) > 0
+
+
 def test_odd_rows(odd, none):
     result = fingerprint.compare_edited(odd).collect()
     assert len(result) == 8 and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in result)
