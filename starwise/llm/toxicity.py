@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwise.llm.ngram_join import JoinConfig, grams
+from starwise.llm.ngram_join import similarity_classes
 from starwise.llm.text import held_out, map_batches, map_slices, row_schema, words
 from starwise.runtime import materialize
 
@@ -240,7 +240,11 @@ class ToxicityConfig:
 
 
 def _training_rows(docs: DataFrame, labels: DataFrame, key: str, config: ToxicityConfig) -> DataFrame:
-    """(key, text, toxic) of labelled rows outside the held-out fifth, one of each group of copies."""
+    """(key, text, toxic) of labelled rows outside the held-out fifth, one of each class of copies.
+
+    Copies have the same label and a Jaccard index of their 5-gram sets of 0.8 or more, checked on
+    the full sets; rows that only share a passage all stay.
+    """
     crc = F.crc32(F.col(key).cast("string").cast("binary"))
     learned = labels.where(F.col(key).isNotNull() & F.col("toxic").isNotNull() & (crc % 5 != 0))
     learned = learned.groupBy(key).agg(F.max("toxic").alias("toxic"))
@@ -250,20 +254,9 @@ def _training_rows(docs: DataFrame, labels: DataFrame, key: str, config: Toxicit
         learned = learned.where(share < int((1 << 30) * config.sample / total))
     rows = docs.select(key, "text").join(F.broadcast(learned), key)  # bounded by config.sample
     rows = materialize(rows.groupBy(key, "toxic").agg(F.min("text").alias("text")))
-    rng = np.random.default_rng(7).integers(0, 2**62, 8, np.uint64) * np.uint64(2) + np.uint64(1)
-
-    def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for text in batch.column("text").to_pylist():
-            found = grams((text or "").encode(), JoinConfig().size)
-            out.append((np.multiply.outer(rng, found)).min(1).view(np.int64).tolist())
-        return pa.RecordBatch.from_arrays([batch.column(key), pa.array(out, pa.list_(pa.int64()))], [key, "lows"])
-
-    lows = map_slices(rows.select(key, "text"), sketch, row_schema(docs, key, "lows array<bigint>"))
-    slots = lows.select(key, F.posexplode("lows").alias("slot", "low"))
-    copies = slots.join(slots.groupBy("slot", "low").agg(F.min(key).alias("first")), ["slot", "low"])
-    copies = copies.where(F.col("first") < F.col(key)).select(key).distinct()
-    return rows.join(copies, key, "left_anti")
+    kept = [similarity_classes(rows.where(label), key) for label in ("toxic = 1", "toxic <> 1")]
+    kept = kept[0].union(kept[1]).where(F.col(key) == F.col("class_id")).select(key)
+    return rows.join(kept, key, "left_semi")
 
 
 def learn_lexicon(rows: DataFrame, config: ToxicityConfig) -> Lexicon:

@@ -96,3 +96,19 @@ def test_copies_count_once(spark):
         spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
     )
     assert grammar.score("a trip to zanzibar and kilimanjaro") < 0.5
+
+
+def test_only_real_copies_leave_the_training_rows(spark):
+    """Rows that share a passage, or are alike under another label, are all learned from."""
+    rng = random.Random(5)
+    passage = " ".join(f"shared{n}" for n in range(12))
+    whole = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(200)]
+    texts = [f"{text} {passage}" for text in whole]
+    texts += [f"{texts[0]} more", texts[0], texts[1]]  # near copy, copy, copy under the other label
+    ids = [n for n in range(1000) if not held_out(n)][: len(texts)]
+    toxic = [n % 2 for n in range(200)] + [0, 0, 0]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame(list(zip(ids, toxic)), "doc_id bigint, toxic int")
+    found = toxicity._training_rows(docs, labels, "doc_id", toxicity.ToxicityConfig()).collect()
+    assert sorted(r.doc_id for r in found) == [*ids[:200], ids[202]]
+    assert {r.doc_id: r.toxic for r in found} == {k: t for k, t in zip(ids, toxic) if k not in ids[200:202]}
