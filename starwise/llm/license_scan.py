@@ -5,24 +5,119 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from starwise.llm.text import map_slices, row_schema, texts, words
 
-# Notices to look for. Longer templates may be given instead.
+_WARRANTY = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. "
+)
+_ADVERTISING = (
+    "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: "
+    "This product includes software developed by the organization. 4. "
+)
+_ENDORSE = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission. "
+)
+
+
+def _gnu(what: str, license: str, version: str) -> str:
+    return (
+        f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {license} as "
+        f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+    )
+
+
+# Notices, headers and short licenses to look for. ``full_texts`` has the long licenses.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+    "Apache-2.0-header": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
+        'applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, '
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+        "governing permissions and limitations under the License."
+    ),
     "GPL-3.0": "This program is free software under the GNU General Public License, version 3.",
     "GPL-3.0-short": "the GNU General Public License, version 3.",
+    "GPL-2.0-short": "the GNU General Public License, version 2.",
+    "GPL-2.0-header": _gnu("program", "General Public License", "2"),
+    "GPL-3.0-header": _gnu("program", "General Public License", "3"),
+    "AGPL-3.0-header": _gnu("program", "Affero General Public License", "3"),
+    "LGPL-2.0-header": _gnu("library", "Library General Public License", "2"),
+    "LGPL-2.1-header": _gnu("library", "Lesser General Public License", "2.1"),
+    "LGPL-3.0-header": _gnu("library", "Lesser General Public License", "3"),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice "
+        "and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS "
+        'PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT "
+        "HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "MIT-opening": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
     "MIT-short": "Released under the MIT License.",
-    "BSD-3": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        'PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES '
+        "OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+        "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+        "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "BSD-2": _BSD + _WARRANTY,
+    "BSD-3": _BSD + "3. " + _ENDORSE + _WARRANTY,
+    "BSD-4": _BSD + _ADVERTISING + _ENDORSE + _WARRANTY,
+    "BSD-opening": "Redistribution and use in source and binary forms, with or without modification, are permitted",
     "All rights reserved": "All rights reserved.",
 }
+# Word runs that a hit must hold, as they tell versions and relatives apart.
+REQUIRED = {
+    "Apache-2.0": ["version 2 0"], "Apache-2.0-header": ["version 2 0"], "Apache-2.0-text": ["version 2 0"],
+    "GPL-3.0": ["version 3"], "GPL-3.0-short": ["version 3"], "GPL-2.0-short": ["version 2"],
+    "GPL-2.0-header": ["gnu general", "version 2 of"], "GPL-3.0-header": ["gnu general", "version 3"],
+    "AGPL-3.0-header": ["affero", "version 3"], "LGPL-2.0-header": ["library general", "version 2 of"],
+    "LGPL-2.1-header": ["lesser", "version 2 1"], "LGPL-3.0-header": ["lesser", "version 3"],
+    "MPL-2.0-header": ["mozilla public license", "2 0"], "MPL-1.1-text": ["1 1"], "MPL-2.0-text": ["2 0"],
+    "CC-BY-NC-4.0": ["nc 4 0"], "CC-BY-4.0": ["by 4 0"], "BSD-3": ["endorse"], "BSD-4": ["advertising", "endorse"],
+    "GPL-1.0-text": ["version 1"], "GPL-2.0-text": ["version 2"], "GPL-3.0-text": ["version 3"],
+    "LGPL-2.0-text": ["library general", "version 2"], "LGPL-2.1-text": ["lesser", "version 2 1"], "LGPL-3.0-text": ["lesser", "version 3"],
+    "GFDL-1.2-text": ["version 1 2"], "GFDL-1.3-text": ["version 1 3"],
+}
+
+
+def full_texts() -> dict[str, str]:
+    """The long licenses, read by the driver from the files beside this module."""
+    files = sorted((Path(__file__).resolve().parent / "licenses").glob("*.txt"))
+    return {f"{file.stem}-text": file.read_text("utf-8") for file in files}
+
+
 NEAR = 16  # words between two template words of one region at most
 
 
@@ -79,6 +174,11 @@ def rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def holds(found: list[bytes], run: list[bytes]) -> bool:
+    """Whether the words of ``run`` follow each other in ``found``."""
+    return any(found[n : n + len(run)] == run for n in range(len(found) - len(run) + 1))
+
+
 @dataclass(frozen=True)
 class Hit:
     template: str
@@ -90,22 +190,26 @@ class Hit:
 class Scanner:
     """Finds templates in a text: regions dense in a template's words are aligned with it."""
 
-    def __init__(self, templates: dict[str, str], coverage: float):
+    def __init__(self, templates: dict[str, str], coverage: float, required: dict[str, list[str]] = REQUIRED):
         self.coverage = coverage
+        self.required = {name: [run.encode().split() for run in required.get(name, [])] for name in templates}
         self.templates = {name: words(text.encode()) for name, text in templates.items()}
         self.templates = {name: found for name, found in self.templates.items() if found}
+        self.own = {name: frozenset(found) for name, found in self.templates.items()}
         self.known = frozenset(word for found in self.templates.values() for word in found)
 
     def find(self, text: bytes | None) -> list[Hit]:
         found = words(text)
         if not text or self.known.isdisjoint(found):
             return []
-        marked = [(n, word) for n, word in enumerate(found) if word in self.known]
+        there = self.known.intersection(found)
         hits = []
         for name, template in self.templates.items():
-            needed, own = self.coverage * len(template), set(template)
+            needed, own = self.coverage * len(template), self.own[name]
+            if len(there & own) < needed * len(own) / len(template):
+                continue
             region: list[int] = []
-            for n in [n for n, word in marked if word in own] + [len(found) + 2 * NEAR]:
+            for n in [n for n, word in enumerate(found) if word in own] + [len(found) + 2 * NEAR]:
                 if region and n - region[-1] > NEAR:
                     if len({found[x] for x in region}) >= needed * len(own) / len(template):
                         hits += self._within(name, template, found, region[0], region[-1] + 1)
@@ -120,8 +224,8 @@ class Scanner:
             end = min(stop, at + size)
             pairs = align(found[at:end], template)
             share = len(pairs) / len(template)
-            if share >= self.coverage:
-                first, last = at + pairs[0][0], at + pairs[-1][0] + 1
+            first, last = (at + pairs[0][0], at + pairs[-1][0] + 1) if pairs else (at, at)
+            if share >= self.coverage and all(holds(found[first:last], run) for run in self.required[name]):
                 out.append(Hit(name, share, first, last))
                 at = last
             else:
@@ -142,9 +246,11 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
     """``key`` and ``hits`` (template, coverage, start, end in words) for every row.
 
     A null or empty text has no hits; null keys and repeated rows come back as they are; no other
-    column is read. Of overlapping hits the one with most matched words stays.
+    column is read. Of overlapping hits the one with most matched words stays. ``coverage`` is the
+    matched share of the whole template; a hit of the given licenses holds the words in ``REQUIRED``.
     """
-    scanner = docs.sparkSession.sparkContext.broadcast(Scanner(TEMPLATES if templates is None else templates, coverage))
+    scanner = Scanner(TEMPLATES | full_texts(), coverage) if templates is None else Scanner(templates, coverage, {})
+    scanner = docs.sparkSession.sparkContext.broadcast(scanner)
     item = pa.struct([("template", pa.string()), ("coverage", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

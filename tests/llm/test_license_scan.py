@@ -54,3 +54,20 @@ def test_odd_rows(odd, none):
     own = license_scan.scan_licenses(odd, {"greek": "beta gamma delta", "empty": ""}).collect()
     assert sorted(len(r["hits"]) for r in own) == [0] * 6 + [1, 1]
     assert license_scan.scan_licenses(none).count() == 0
+
+
+def test_versions_and_whole_texts():
+    full = license_scan.full_texts()
+    scanner = license_scan.Scanner(license_scan.TEMPLATES | full, 0.8)
+
+    def names(text):
+        return [h.template for h in scanner.find(text.encode())]
+
+    for name, text in (license_scan.TEMPLATES | full).items():  # each is told from its relatives, among other words too
+        (hit,) = scanner.find(f"{'prose ' * 40}{text}{' prose' * 40}".encode())
+        assert (hit.template, hit.coverage) == (name, 1.0)
+    bsd = license_scan.TEMPLATES["BSD-2"]
+    assert names(bsd[: len(bsd) // 3]) == ["BSD-opening"]  # too little of any of the family
+    assert names("This program is free software under the GNU General Public License, version 2.") == ["GPL-2.0-short"]
+    assert names("This program is free software under the GNU General Public License, version 4.") == []
+    assert names(license_scan.TEMPLATES["GPL-2.0-header"].replace("version 2", "version 7")) == []
