@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import html
+import re
 import string
 from typing import NamedTuple
+from urllib.parse import urljoin
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starwise.llm.components import components
+from starwise.llm.text import map_slices
+from starwise.runtime import materialize
 
 
 class Rule(NamedTuple):
@@ -55,28 +61,64 @@ def same_page(url: Column) -> Column:
     return F.when(url.contains("://"), form)
 
 
-# A tag that names where a page moved or which page it is, and the address inside of it.
-_TAGS = (
-    r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>|<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-    r"""|<meta\b[^>]*\bproperty\s*=\s*["']?og:url\b[^>]*>"""
-)
-_ADDRESS = r"""(?is)\b(?:href\s*=\s*|content\s*=\s*["']?\s*[0-9.]+\s*;\s*url\s*=\s*|content\s*=\s*)["']?([^"'\s>]+)"""
+# A page without these words has no link to follow.
+_HINT = "(?i)canonical|refresh|og:url"
+_TAG = re.compile(r"""<(link|meta|base)\b((?:[^>"']++|"[^"]*+"|'[^']*+')*+(?=>)|[^>]*)>""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_REFRESH = re.compile(r"""\s*[0-9.]+(?:\s*[;,]\s*|\s+)(?:url\s*=\s*)?(?:"([^"]*)"?|'([^']*)'?|(.*))$""", re.I | re.S)
+_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:")
 
 
-def links_of(html: Column, url: Column) -> Column:
-    """Absolute addresses of redirects and canonical links in a page."""
-    found = F.transform(F.regexp_extract_all(html, F.lit(_TAGS), F.lit(0)), lambda tag: F.regexp_extract(tag, _ADDRESS, 1))
-    scheme = F.concat(F.substring_index(url, "://", 1), F.lit("://"))
+def resolve(base: str, address: str) -> str | None:
+    """The absolute form of an address met at ``base``, by the rules of RFC 3986; null if it names no page."""
+    address = address.strip()
+    if not address:
+        return None
+    if _SCHEME.match(address):
+        return address if address.startswith("://", _SCHEME.match(address).end() - 1) else None
+    scheme, rest = base.split("://", 1)
+    try:
+        return scheme + urljoin(f"http://{rest}", address).removeprefix("http")  # any scheme is resolved alike
+    except ValueError:  # no valid host
+        return None
 
-    def absolute(link: Column) -> Column:
-        return (
-            F.when(link.contains("://"), link)
-            .when(link.startswith("//"), F.concat(F.substring_index(url, "://", 1), F.lit(":"), link))
-            .when(link.startswith("/"), F.concat(scheme, host_of(url), link))
-        )
 
-    addresses = F.filter(F.transform(found, absolute), lambda link: link.isNotNull())
-    return F.when(url.contains("://"), F.coalesce(addresses, F.array().cast("array<string>")))
+def links_of(page: str, url: str) -> list[str]:
+    """Absolute addresses of the redirects and canonical links in a page.
+
+    Entities in attributes are decoded; relative targets are resolved against the first ``base``
+    and the page's address.
+    """
+    base, found = None, []
+    for tag, inside in _TAG.findall(page):
+        values: dict[str, str] = {}
+        for name, *value in _ATTRIBUTE.findall(inside):
+            values.setdefault(name.lower(), html.unescape("".join(value)))
+        if tag.lower() == "base":
+            base = base or (resolve(url, values["href"]) if "href" in values else None)
+        elif tag.lower() == "link":
+            if "canonical" in values.get("rel", "").lower().split():
+                found.append(values.get("href", ""))
+        elif values.get("http-equiv", "").strip().lower() == "refresh":
+            if target := _REFRESH.match(values.get("content", "")):
+                found.append("".join(filter(None, target.groups())))
+        elif values.get("property", "").strip().lower() == "og:url":
+            found.append(values.get("content", ""))
+    resolved = [resolve(base or url, address) for address in found]
+    return [link for link in resolved if link]
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    """(``url``, ``link``) for every redirect and canonical link of ``pages``."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = zip(batch.column("url").to_pylist(), batch.column("html").to_pylist())
+        found = [(url, link) for url, page in rows for link in links_of(page, url)]
+        columns = [pa.array([row[n] for row in found], pa.string()) for n in (0, 1)]
+        return pa.RecordBatch.from_arrays(columns, ["url", "link"])
+
+    asked = pages.where(F.col("url").contains("://") & F.col("html").rlike(_HINT))
+    return map_slices(asked.select("url", "html"), work, "url string, link string")
 
 
 def _node(form: Column) -> Column:
@@ -98,8 +140,8 @@ def judge_pages(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     read = read.withColumn("rule", matching(F.col("host"), F.col("path"), rules, "name"))
     read = read.withColumn("said", matching(F.col("host"), F.col("path"), rules, "verdict"))
 
-    linked = pages.select(same_page(url).alias("form"), F.explode(links_of(F.col("html"), url)).alias("link"))
-    linked = linked.select(_node(F.col("form")).alias("a"), _node(same_page(F.col("link"))).alias("b"), "link").where("a <> b")
+    linked = page_links(pages).select(_node(same_page(url)).alias("a"), _node(same_page(F.col("link"))).alias("b"), "link")
+    linked = materialize(linked.where("a <> b"))
     labels = components(linked.select("a", "b"))
 
     own = read.where("said = 'block'").select(_node(F.col("form")).alias("node"))

@@ -59,3 +59,25 @@ def test_odd_rows(spark):
     assert [r.verdict for r in url_filter.judge_pages(wide, URL_RULES).collect()] == ["block", "block"]
     assert url_filter.judge_pages(wide.limit(0), URL_RULES).count() == 0
     assert "CartesianProduct" not in frame._jdf.queryExecution().toString()
+
+
+def test_relative_targets_and_entities(spark):
+    blocked = "http://x.net/es/a/b"
+    forms = [
+        '<meta http-equiv="refresh" content="0; url=next.html">', '<meta http-equiv=refresh content="3;URL=\'../up\'">',
+        '<link rel="canonical" href="?id=7&amp;x=1">', '<link href="./a/../c?p=1&#38;q=2" rel="nofollow canonical">',
+        '<base href="/other/"><meta property="og:url" content="page">', '<meta content="0, //h.org/z" http-equiv="Refresh">',
+    ]
+    targets = ["http://p.org/d/next.html", "http://p.org/up", "http://p.org/d/e?id=7&x=1", "http://p.org/d/c?p=1&q=2", "http://p.org/other/page", "http://h.org/z"]
+    assert [url_filter.links_of(form, "http://p.org/d/e?f=1#g") for form in forms] == [[t] for t in targets]
+    none = ["mailto:a@b.org", "javascript:go()", "", "//[bad/x"]
+    assert not any(url_filter.links_of(f'<link rel=canonical href="{address}">', "http://p.org/d") for address in none)
+    assert url_filter.links_of('<meta http-equiv="refresh" content="5"><a href="x">canonical</a>', "http://p.org/d") == []
+    assert url_filter.links_of('<link rel=canonical href="../f">', "gopher://p.org/d/e") == ["gopher://p.org/f"]
+
+    pages = [(f"http://n{n}.org/d/e?f=1", form.replace("//h.org", f"//n{n}.org")) for n, form in enumerate(forms)]
+    ends = [t.replace("p.org", f"n{n}.org").replace("h.org", f"n{n}.org") for n, t in enumerate(targets)]
+    pages += [(end, f"<link rel=canonical href={blocked}>") for end in ends]
+    pages.append(("http://x.net/q", '<link rel=canonical href="es/a/b">'))
+    found, _ = judged(spark, pages)
+    assert {r.verdict for r in found.values()} == {"block"}
