@@ -106,6 +106,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, levels: i
 def train(docs: DataFrame, ratings: DataFrame, levels: int, key: str = "doc_id", config: QualityConfig = QualityConfig()) -> CumulativeLink:
     """Fit to ``ratings`` (``key``, ``grade`` from 0 to ``levels`` - 1); other or null grades are left out.
 
+    Of the texts under one key the lowest is learned from.
+
     Hashing runs on the executors; the bounded sample's hashed rows are fitted on the driver.
     Without ratings the weights are 0 and every grade is as likely as any other.
     """
@@ -113,7 +115,8 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int, key: str = "doc_id",
     total = rated.count()
     if total > config.sample:
         rated = rated.where(F.pmod(F.xxhash64(key, F.lit(2)), F.lit(1 << 30)) < int((1 << 30) * config.sample / total))
-    rows = materialize(docs.select(key, "text").join(F.broadcast(rated), key).select("text", "grade"))
+    rows = docs.select(key, "text").join(F.broadcast(rated), key)
+    rows = materialize(rows.groupBy(key, "grade").agg(F.min("text").alias("text")).select("text", "grade"))  # one text per key
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [hashed(t, config.buckets) for t in batch.column("text").cast(pa.binary()).to_pylist()]

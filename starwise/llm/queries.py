@@ -31,9 +31,9 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graded(labels: DataFrame) -> DataFrame:
-    """Grades from the labels: 0 is of poor quality, 1 is good but toxic, 2 is good and clean."""
+    """Grades from the labels: 0 is of poor quality, 1 is good but toxic, 2 is good and clean; null if quality is."""
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2)
-    return labels.select("doc_id", grade.alias("grade"))
+    return labels.select("doc_id", F.when(F.col("quality").isNotNull(), grade).alias("grade"))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

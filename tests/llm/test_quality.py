@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from starwise.llm import quality
+from starwise.llm.queries import graded
 
 
 def corpus(rows=300, seed=11):
@@ -63,3 +64,19 @@ def test_odd_rows(spark, odd, none):
     rows = quality.score(odd, model, 1).collect()
     assert len(rows) == 8 and all(0 <= r.tail_probability <= 1 and 0 <= r.expected_grade <= 2 for r in rows)
     assert quality.score(none, model, 1).count() == 0
+
+
+def test_a_repeated_key_is_learned_from_once(spark, monkeypatch):
+    docs, grades = corpus(rows=30)
+    frame = spark.createDataFrame(docs + [(3, f"copy {n}") for n in range(200)], "doc_id bigint, text string")
+    rated = spark.createDataFrame(grades, "doc_id bigint, grade int")
+    sizes = []
+    monkeypatch.setattr(quality, "fit", lambda rows, grades, *rest: sizes.append((len(rows), len(grades))))
+    quality.train(frame, rated, 3)
+    assert sizes == [(30, 30)]
+
+
+def test_grades_need_a_quality(spark):
+    rows = [(1, 0, 0), (2, 1, 1), (3, 1, 0), (4, None, 0), (5, None, 1), (6, 1, None), (7, 0, None)]
+    found = graded(spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")).collect()
+    assert {r.doc_id: r.grade for r in found} == {1: 0, 2: 1, 3: 2, 4: None, 5: None, 6: None, 7: 0}
