@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwise.llm.text import map_slices, row_schema, texts, words
+from starwise.runtime import scratch_folder
 
 WINDOW = 13
 BLOCK = 2
-BLOCK_BYTES = 1_000_000  # benchmark text per block of patterns: what one task holds at a time
+BLOCK_BYTES = 1_000_000  # benchmark text per block of patterns: a task holds BLOCKS_AT_ONCE
+BLOCKS_AT_ONCE = 4  # searched for in one pass, before the rows are written and the next are loaded
 
 Window = tuple[bytes, ...]
 
@@ -117,15 +119,22 @@ def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, bytes | None]]]:
-    """Benchmark items in blocks of bounded size, each read by its own small job."""
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[tuple[str, bytes | None]], bool]]:
+    """Benchmark items in blocks of bounded size, and whether another follows; one is read at a time.
+
+    More than one block are dealt to folders by a single pass over the benchmark.
+    """
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text"))
     total = items.agg(F.sum(F.octet_length("text")).alias("size")).first().size or 0
     count = -(-total // BLOCK_BYTES) or 1
-    key = F.pmod(F.xxhash64("item", "text"), F.lit(count))
+    if count > 1:
+        spark, folder = benchmark.sparkSession, scratch_folder(benchmark.sparkSession)
+        number = F.pmod(F.xxhash64("item", "text"), F.lit(count)).alias("number")
+        items.distinct().select("*", number).repartition("number").write.partitionBy("number").parquet(folder)
+        items = spark.read.schema("item string, text binary, number bigint").parquet(folder)
     for number in range(count):
-        rows = items if count == 1 else items.where(key == number)
-        yield [("null" if r.item is None else r.item, r.text) for r in rows.collect()]
+        rows = items if count == 1 else items.where(F.col("number") == number)
+        yield [("null" if r.item is None else r.item, r.text) for r in rows.select("item", "text").collect()], number + 1 < count
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -133,7 +142,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
 
     A word is hit when it lies in an occurrence of a benchmark window (13 words, or a whole
     shorter item). The benchmark is searched for in blocks of at most about 1 MB of its text, one
-    after the other over the rows, so it may have any size; no row is shuffled. Null and empty
+    after the other over the rows; after every ``BLOCKS_AT_ONCE`` blocks the rows are written to the
+    checkpoint folder, so the benchmark may have any size; no row is shuffled. Null and empty
     texts have no words and no hits; a null item id is reported as ``null``; repeated rows come
     back as often as they are there, equal items count once. Only the columns named here are read.
     """
@@ -142,10 +152,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
         key, "text", F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<array<int>>").alias("hits"), F.array().cast("array<string>").alias("items"),
     )
-    blocks = list(_blocks(benchmark))
-    for block in blocks:
+    held, folders = [], []
+    for block, goes_on in _blocks(benchmark):  # the text is handed on to the next block's search
         matcher = spark.sparkContext.broadcast(Matcher(block))
-        goes_on = block is not blocks[-1]  # the text is handed on to the next block's search
+        held.append(matcher)
         names = [key, "n_words", "hits", "items", *["text"] * goes_on]
         schema = "n_words bigint, hits array<array<int>>, items array<string>" + ", text string" * goes_on
 
@@ -166,6 +176,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
             return pa.RecordBatch.from_arrays(columns, names)
 
         found = map_slices(found, work, row_schema(docs, key, schema))
+        if goes_on and len(held) == BLOCKS_AT_ONCE:
+            folders.append(scratch_folder(spark))
+            found.write.parquet(folders[-1])
+            found = spark.read.schema(found.schema).parquet(folders[-1])
+            for used in held:
+                used.destroy()
+            held = []
+            if len(folders) > 1:  # the rows before these have been read for the last time
+                path = spark._jvm.org.apache.hadoop.fs.Path(folders.pop(0))
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return found
 
 

@@ -73,3 +73,15 @@ def test_jumps_skip_positions():
     search.shift = Watched(search.shift)
     assert search.find([b"other"] * 1200) == []
     assert len(looked) <= 100  # one look per 12 words
+
+
+def test_many_blocks_are_loaded_in_turn(spark, docs_of, monkeypatch):
+    """No more than a few blocks are held, and the plan does not grow with the benchmark."""
+    items = [(f"i{n}", " ".join(f"b{n}x{k}" for k in range(20))) for n in range(40)]
+    docs = docs_of([f"some {text} words" for _, text in items] + ["none", None, ""])
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    whole = sorted(map(str, decontaminate.find_contamination(docs, benchmark).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 400)
+    found = decontaminate.find_contamination(docs, benchmark)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= decontaminate.BLOCKS_AT_ONCE
+    assert sorted(map(str, found.collect())) == whole
