@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from starwise.config import Config
+from starwise.operators.prefix import FAN, block_starts
 from starwise.runtime import written
 from starwise.skew import hot_keys, key_counts, lookup
 
@@ -140,13 +141,13 @@ def item_raters(ratings: DataFrame) -> DataFrame:
 USERS_PER_BUCKET = 50_000
 
 
-def user_index(ratings: DataFrame, buckets: int | None = None) -> DataFrame:
+def user_index(ratings: DataFrame, buckets: int | None = None, fan: int = FAN) -> DataFrame:
     """Dense numbers 0, 1, 2 ... for the different users.
 
     Users are numbered within hash buckets in parallel, and each bucket starts where the buckets
-    before it end; only the buckets' totals are ever seen in one place. Unless their number is
-    given, there are 4,096 buckets, or so many more (by powers of 16) that a bucket has about
-    50,000 users at most.
+    before it end (``block_starts``, in levels of ``fan``). Unless their number is given, there are
+    4,096 buckets, or so many more (by powers of 16) that a bucket has about 50,000 users at most.
+    Buckets grow with the users, so their starts are joined and never broadcast by hint.
     """
     distinct = ratings.select("user").distinct()
     if buckets is None:
@@ -155,15 +156,14 @@ def user_index(ratings: DataFrame, buckets: int | None = None) -> DataFrame:
         digits = len(f"{buckets - 1:x}")
         if 16**digits != buckets:
             raise ValueError("buckets must be a power of 16")
-    bucket = F.substring(F.md5(F.col("user").cast("string")), 1, digits)
+    bucket = F.conv(F.substring(F.md5(F.col("user").cast("string")), 1, digits), 16, 10).cast("bigint")
     users = distinct.withColumn("bucket", bucket)
     sizes = users.groupBy("bucket").agg(F.count("user").alias("size"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    starts = block_starts(sizes, 16**digits, "bucket", "size", fan)
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy("user"))
     return (
         users.withColumn("rank", rank)
-        .join(F.broadcast(starts), "bucket")
+        .join(starts, "bucket")
         .select("user", (F.col("start") + F.col("rank") - 1).cast("bigint").alias("ix"))
     )
 

@@ -1,3 +1,4 @@
+import hashlib
 from dataclasses import replace
 
 import pytest
@@ -6,6 +7,7 @@ from data import ratings
 
 from starwise.config import Config
 from starwise.operators import stats
+from starwise.operators.prefix import block_starts
 
 LONG = "user long, item long, stars double"
 
@@ -71,3 +73,27 @@ def test_heavy_users_are_dropped(spark):
     assert facts.hot_users is not None
     assert {r.user for r in stats.without_heavy_users(facts).collect()} == {"light"}
     assert stats.active_ratings(facts).count() == 5
+
+
+def test_user_index_over_many_levels_of_starts(spark):
+    rows = spark.createDataFrame(ratings(users=300), LONG)
+    plain = as_dict(stats.user_index(rows, buckets=256), "user")
+    assert as_dict(stats.user_index(rows, buckets=256, fan=4), "user") == plain  # 256, 64, 16 and 4 blocks
+    users = sorted(plain, key=lambda u: (hashlib.md5(str(u).encode()).hexdigest()[:2], u))
+    assert [plain[u].ix for u in users] == list(range(len(users)))
+
+
+@pytest.mark.parametrize("fan", [2, 3, 1000])
+def test_block_starts(spark, fan):
+    sizes = {k: (7 * k) % 5 for k in range(23) if k % 6}  # with gaps
+    rows = spark.createDataFrame(list(sizes.items()), "block long, size long").repartition(5)
+    found = {r.block: r.start for r in block_starts(rows, 23, fan=fan).collect()}
+    assert found == {k: sum(v for b, v in sizes.items() if b < k) for k in sizes}
+
+
+def test_no_window_of_block_starts_sees_all(spark):
+    sizes = spark.range(5000).selectExpr("id AS block", "1L AS size")
+    plan = block_starts(sizes, 5000, fan=100)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and sum("_run" in line for line in windows) == 2
+    assert "broadcast" not in plan.lower()
