@@ -9,6 +9,8 @@ from starwise.config import Config
 from starwise.operators.stats import RatingFacts, active_ratings, active_users, without_heavy_users
 from starwise.skew import lookup
 
+BAND_BITS = 62  # of a BIGINT
+
 
 def _pairs(rated: DataFrame, meet: list[str]) -> DataFrame:
     """Ordered item pairs whose rows agree on ``meet``, which includes the user.
@@ -34,27 +36,26 @@ def corated_pairs(facts: RatingFacts) -> DataFrame:
 
 
 def _met_pairs(facts: RatingFacts, buckets: DataFrame) -> DataFrame:
-    """One row per active user and pair of items of theirs that share a bucket.
+    """One row per active user, band and pair of items of theirs that share the band's bucket.
 
-    Columns: i, j, stars_i, stars_j, avg_i, avg_j. An item's card holds its mean and the codes of
-    all its buckets (at most one per band), so a rating stays one row up to the shuffle by user;
-    items without a bucket drop out in that join. Codes are opened where the user's rows are, and
-    a pair is formed in the lowest code both items have, once. A user here has fewer than 500
-    ratings, so a list of theirs is bounded.
+    Columns: band, i, j, stars_i, stars_j, avg_i, avg_j. An item's card holds its mean and all its
+    buckets (at most one per band), so a rating stays one row up to the shuffle by user; items
+    without a bucket drop out in that join. Buckets are opened where the user's rows are. A user
+    here has fewer than 500 ratings, so a list of theirs is bounded; pairs leave it by two
+    generators, in compiled code.
     """
-    coded = buckets.select("item", F.xxhash64("band", "bucket").alias("code"))
-    codes = coded.groupBy("item").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    coded = buckets.select("item", F.struct("band", F.xxhash64("band", "bucket").alias("code")).alias("code"))
+    codes = coded.groupBy("item").agg(F.collect_list("code").alias("codes"))
     card = facts.by_item.select("item", F.col("avg_stars").alias("avg")).join(codes, "item")
     carded = lookup(without_heavy_users(facts), card, "item", facts.hot_items, ["user"], how="inner")
     active = carded.repartition("user").join(active_users(facts.by_user, facts.config).select("user"), "user")
-    opened = active.select("user", F.struct("item", "stars", "avg", "codes").alias("rated"), F.explode("codes").alias("code"))
-    lists = opened.groupBy("user", "code").agg(F.array_sort(F.collect_list("rated")).alias("g")).where("size(g) > 1")
-    pairs = F.expr("""
-        explode(flatten(transform(g, (x, n) -> transform(
-            filter(slice(g, n + 2, size(g)), y -> array_min(array_intersect(x.codes, y.codes)) = code),
-            y -> named_struct('i', x.item, 'j', y.item, 'stars_i', x.stars, 'stars_j', y.stars,
-                              'avg_i', x.avg, 'avg_j', y.avg)))))""")
-    return lists.select(pairs.alias("p")).select("p.*")
+    opened = active.select("user", F.struct("item", "stars", "avg").alias("rated"), F.inline("codes"))
+    lists = opened.groupBy("user", "band", "code").agg(F.array_sort(F.collect_list("rated")).alias("g")).where("size(g) > 1")
+    first = lists.select("band", "g", F.posexplode("g").alias("n", "x"))
+    met = first.select("band", "x", F.expr("explode(slice(g, n + 2, size(g)))").alias("y"))
+    names = {"item": "", "stars": "stars_", "avg": "avg_"}
+    values = [F.col(f"{row}.{name}").alias(f"{to}{side}") for name, to in names.items() for row, side in ("xi", "yj")]
+    return met.select("band", *values)
 
 
 def candidate_pairs(facts: RatingFacts, buckets: DataFrame) -> DataFrame:
@@ -68,18 +69,26 @@ def candidate_pairs(facts: RatingFacts, buckets: DataFrame) -> DataFrame:
 
 
 def pair_moments(facts: RatingFacts, buckets: DataFrame) -> DataFrame:
-    """Co-rater count and sums per pair, plus both item means carried along from the ratings."""
+    """Co-rater count and sums per pair, plus both item means carried along from the ratings.
+
+    Two items meet at every co-rater in every band they share. Which bands those are is the same
+    for all their co-raters, so the sums over all meetings are the wanted ones times the number of
+    shared bands; that number comes out of the same sums, as the bits set over all meetings.
+    """
     ri, rj = F.col("stars_i"), F.col("stars_j")
-    return _met_pairs(facts, buckets).groupBy("i", "j").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(ri).alias("sum_i"),
-        F.sum(rj).alias("sum_j"),
-        F.sum(ri * ri).alias("sum_ii"),
-        F.sum(rj * rj).alias("sum_jj"),
-        F.sum(ri * rj).alias("sum_ij"),
+    sums = {"n": F.count(F.lit(1)), "sum_i": F.sum(ri), "sum_j": F.sum(rj)}
+    sums |= {"sum_ii": F.sum(ri * ri), "sum_jj": F.sum(rj * rj), "sum_ij": F.sum(ri * rj)}
+    words = range(-(-facts.config.lsh.bands // BAND_BITS))
+    bits = [F.expr(f"bit_or(if(band div {BAND_BITS} = {w}, shiftleft(1L, band % {BAND_BITS}), 0L))") for w in words]
+    met = _met_pairs(facts, buckets).groupBy("i", "j").agg(
+        *[total.alias(name) for name, total in sums.items()],
+        *[b.alias(f"bits_{w}") for w, b in zip(words, bits)],
         F.max("avg_i").alias("avg_i"),
         F.max("avg_j").alias("avg_j"),
     )
+    shared = sum((F.bit_count(f"bits_{w}") for w in words), F.lit(0))
+    once = [(F.col(name) / shared).cast("bigint" if name == "n" else "double").alias(name) for name in sums]
+    return met.select("i", "j", *once, "avg_i", "avg_j")
 
 
 def pair_similarity(moments: DataFrame, config: Config) -> DataFrame:

@@ -128,6 +128,16 @@ def test_moments_do_not_depend_on_shared_buckets(spark, rows, bands):
         assert [row[name] for name in names] == expected[pair]
 
 
+def test_more_bands_than_one_word_has_bits(spark, rows):
+    config = replace(SMALL, lsh=LshConfig(bands=2 * similarity.BAND_BITS + 3, rows=1, min_item_ratings=5))
+    facts = RatingFacts(spark.createDataFrame(rows, LONG), config)
+    plain, wanted = brute_moments(rows, config), brute_candidates(rows, config)
+    found = as_dict(similarity.pair_moments(facts, predict.find_buckets(facts)), "i", "j")
+    assert found.keys() == {pair for pair in wanted if pair in plain}
+    for pair, r in found.items():
+        assert [r.n, r.sum_i, r.sum_j, r.sum_ii, r.sum_jj, r.sum_ij] == plain[pair]
+
+
 def test_copies_share_one_bucket(spark):
     rows = [(user, item, 3.0) for user in range(10) for item in range(6)] + [(99, 50, 3.0), (99, 51, 1.0)]
     facts = RatingFacts(spark.createDataFrame(rows, LONG), SMALL)
