@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwise.llm import bpe, chat, decontaminate, fingerprint, license_scan, ngram_join, pii, quality, toxicity, url_filter
+from starwise.llm import (
+    bpe, chat, decontaminate, fill_middle, filter_audit, fingerprint, license_scan, ngram_join, pii, quality, token_files,
+    toxicity, url_filter,
+)
 from starwise.llm.text import documents
+from starwise.runtime import scratch_folder
 
 try:
     import public_tokenizers
 
     VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+    WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 except ImportError:
     VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+    WORD_VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 
 
 def sha(text: Column) -> Column:
@@ -155,6 +161,115 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+AUDIT_MARKS = ["good", "toxic"]
+
+
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five text filters remove in all their orders, per source."""
+    docs = documents(spark, sf_dir)
+    marks = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
+        "doc_id", (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic")
+    )
+    counts = filter_audit.mask_counts(docs, filter_audit.text_failures(F.col("text")), marks, AUDIT_MARKS)
+    return filter_audit.audit(counts, "ABCDE", AUDIT_MARKS)
+
+
+OP11_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), marks AS (
+    SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+    FROM labels GROUP BY doc_id
+), failing AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+           || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN texts.doc_id > min(texts.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+    FROM texts LEFT JOIN marks USING (doc_id)
+), counted AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM failing GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), removal AS (
+    SELECT *, least(CASE WHEN contains(fails, 'A') THEN strpos(filter_order, 'A') ELSE 6 END,
+                    CASE WHEN contains(fails, 'B') THEN strpos(filter_order, 'B') ELSE 6 END,
+                    CASE WHEN contains(fails, 'C') THEN strpos(filter_order, 'C') ELSE 6 END,
+                    CASE WHEN contains(fails, 'D') THEN strpos(filter_order, 'D') ELSE 6 END,
+                    CASE WHEN contains(fails, 'E') THEN strpos(filter_order, 'E') ELSE 6 END) AS gone
+    FROM counted, orders
+), steps AS (
+    SELECT part, filter_order, step, substr(filter_order, step, 1) AS filter,
+           coalesce(sum(n) FILTER (gone > step), 0) AS kept,
+           coalesce(sum(n) FILTER (gone = step), 0) AS removed,
+           coalesce(sum(n) FILTER (gone < step AND contains(fails, substr(filter_order, step, 1))), 0) AS redundant,
+           coalesce(sum(n) FILTER (fails = substr(filter_order, step, 1)), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (gone = step), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (gone = step), 0) AS toxic_lost
+    FROM removal, (SELECT unnest([1, 2, 3, 4, 5]) AS step) AS numbered
+    GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley
+FROM steps
+"""
+
+END_ID = 2
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as files of token ids and read back."""
+    folder = scratch_folder(spark)
+    token_files.write_token_files(documents(spark, sf_dir), folder, WORD_VOCABULARY, END_ID)
+    found = token_files.read_texts(spark, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for filling in the middle, and its text rebuilt from the output."""
+    made = fill_middle.fill_middle(documents(spark, sf_dir))
+    again = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        sha(F.col("output")).alias("output_sha256"), sha(again).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digest,
+           regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units
+    FROM documents
+), numbers AS (
+    SELECT *, len(units) AS n,
+           ('0x' || substr(digest, 1, 8))::BIGINT % (len(units) + 1) AS one, ('0x' || substr(digest, 9, 8))::BIGINT % (len(units) + 1) AS two,
+           ('0x' || substr(digest, 17, 8))::BIGINT % 100 AS keep, ('0x' || substr(digest, 25, 8))::BIGINT % 100 AS kind
+    FROM drawn
+), parts AS (
+    SELECT doc_id, text, n,
+           CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR keep >= 90 THEN 'plain'
+                WHEN kind < 20 THEN 'spm' ELSE 'psm' END AS form,
+           coalesce(array_to_string(units[1:least(one, two)], ''), '') AS prefix,
+           coalesce(array_to_string(units[least(one, two) + 1:greatest(one, two)], ''), '') AS middle,
+           coalesce(array_to_string(units[greatest(one, two) + 1:n], ''), '') AS suffix
+    FROM numbers
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -166,5 +281,8 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_pii": op9_pii,
     "op10_license_scan": op10_license_scan,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_token_files": op12_token_files,
+    "op13_fill_middle": op13_fill_middle,
 }
-ORACLE_SQL: dict[str, str] = {"op6_chat_format": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_chat_format": OP6_SQL, "op11_filter_audit": OP11_SQL, "op13_fill_middle": OP13_SQL}
