@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,8 @@ BLOCK = 512  # bits between two stored ranks
 SHARD_TOKENS = 4_000_000
 SHARD_BYTES = 10_000_000  # of text for one task, as long as there are fewer tasks than MOST_TASKS
 MOST_TASKS = 20_000
-KEPT_BYTES = 48_000_000  # of a worker's memory for pieces and words met before, roughly
+KEPT_BYTES = 100_000_000  # of a worker's memory for words met before, roughly
+SLICE_BYTES = 8_000_000  # of text encoded at a time
 
 
 # ---------------------------------------------------------------- words to ids
@@ -40,35 +42,48 @@ def _plain_class(kind: str) -> str:
 
 @cache
 def plain_words() -> re.Pattern:
-    """The vocabulary's own way to cut lower-cased text into words, for code points below U+0300."""
+    """The vocabulary's own way to cut lower-cased text into words, for code points below U+0300.
+
+    A line feed, which is no part of a word, is found too: it parts the pieces.
+    """
     letters, numbers = _plain_class("L"), _plain_class("N")
-    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+|\n")
 
 
 # Beyond U+02FF texts may be recomposed; U+001C to U+001F part words for Python but not for the
 # library; a few letters have a lower case beyond U+02FF.
-_RISING = "".join(chr(code) for code in range(0x300) if max(map(ord, chr(code).lower())) >= 0x300)
-ODD = re.compile(f"[\x1c-\x1f\u0300-\U0010ffff{_RISING}]")
+_RISING = "".join(f"\\x{{{code:x}}}" for code in range(0x300) if max(map(ord, chr(code).lower())) >= 0x300)
+ODD = rf"[\x1c-\x1f\x{{300}}-\x{{10ffff}}{_RISING}]"
+
+
+def runs(values: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The runs ``values[first : first + count]``, one after another."""
+    ends = np.cumsum(count)
+    return values[np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class WordCoder:
     """The tokenizers library, asked once per word met.
 
-    A text is split at white space, a piece into words by the vocabulary's pattern. All words new to
-    a worker go through the library in one string, where each ends with a token that closes a word;
-    pieces met before are looked up. Texts with code points beyond U+02FF, odd separators or special
-    tokens are encoded by the library as they are. Ids are the library's own in either case.
+    A batch of texts is lower-cased and split at white space in Arrow; each different piece is cut
+    into words by the vocabulary's pattern. All words new to a worker go through the library in one
+    string, where each ends with a token that closes a word. Texts with code points beyond U+02FF, odd
+    separators or special tokens are encoded by the library as they are. Ids are the library's own
+    in either case.
     """
 
     def __init__(self, file: bytes):
-        from tokenizers import Tokenizer, normalizers
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         self.whole, self.bare = Tokenizer.from_str(file.decode()), Tokenizer.from_str(file.decode())
         for tokenizer in (self.whole, self.bare):
             tokenizer.no_truncation()
             tokenizer.no_padding()
-        self.bare.normalizer = normalizers.Sequence([])  # its words are normal already
+        # the words it gets are normal and cut already
+        self.bare.normalizer = normalizers.Sequence([])
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), letters])
         vocab = self.whole.get_vocab(with_added_tokens=True)
         self.wide = 1 + max(vocab.values())
         self.closing = np.zeros(self.wide, bool)
@@ -77,61 +92,68 @@ class WordCoder:
         self.forget()
 
     def forget(self) -> None:
-        """Forget what was met. ``pieces`` and ``words`` have a number each; ids lie in ``flat``."""
-        self.pieces: dict[str, int] = {}
-        self.words: dict[str, np.ndarray] = {}
-        self.flat, self.first, self.count = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        """Forget the words met. ``words`` has a number per word, its ids are a run of ``flat``.
+
+        The line feed has number 0 and no ids.
+        """
+        self.words: dict[str, int] = {"\n": 0}
+        self.flat, self.first, self.count = np.empty(0, np.int32), np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.held = 0
 
-    def learn(self, pieces: set[str]) -> None:
-        if self.held > KEPT_BYTES:
-            self.forget()
-        new = list(pieces.difference(self.pieces))
-        if not new:
+    def learn(self, found: set[str]) -> None:
+        words = list(found.difference(self.words))
+        if not words:
             return
-        cut = [plain_words().findall(piece) for piece in new]
-        words = list(set().union(*cut).difference(self.words))
-        if words:
-            ids = np.array(self.bare.encode(" ".join(words), add_special_tokens=False).ids, np.int32)
-            apart = np.split(ids, np.flatnonzero(self.closing[ids])[:-1] + 1)
-            if len(apart) != len(words):
-                raise ValueError("a word does not end with one closing token in this vocabulary")
-            self.words.update(zip(words, apart))
-        found = [self.words[word] for piece in cut for word in piece]
-        of_piece = np.fromiter(map(len, cut), np.int64, len(cut))
-        lengths = np.append(0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
-        ends = lengths[np.cumsum(of_piece)]
+        ids = np.array(self.bare.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        if len(ends) != len(words):
+            raise ValueError("a word does not end with one closing token in this vocabulary")
         starts = np.append(0, ends[:-1])
-        self.pieces.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new))))
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
         self.first = np.append(self.first, len(self.flat) + starts)
         self.count = np.append(self.count, ends - starts)
-        self.flat = np.concatenate([self.flat, *found])
-        # a dictionary entry and a string take about 150 bytes, an array of ids about as much
-        self.held += 170 * len(new) + 320 * len(words) + 2 * sum(map(len, new))
+        self.flat = np.concatenate([self.flat, ids])
+        self.held += 170 * len(words) + sum(map(len, words))  # a string, its entry and its ids
 
-    def encode_batch(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after another, and how many each has."""
+        if self.held > KEPT_BYTES:
+            self.forget()
+        found = plain_words().findall("\n".join(pieces))
+        self.learn(set(found))
+        word = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
+        count = self.count[word]
+        ends = np.append(0, np.cumsum(count))[np.append(np.flatnonzero(word == 0), len(word))]
+        return runs(self.flat, self.first[word], count), np.diff(ends, prepend=0)
+
+    def encode_batch(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids per text, as the library gives them without added special tokens. Null: none."""
-        out: list[np.ndarray] = []
-        cut: list[list[str] | None] = []
-        for text in texts:
-            text = text or ""
-            odd = ODD.search(text) or any(token in text for token in self.special)
-            cut.append(None if odd else text.lower().split())
-        self.learn(set().union(*(pieces for pieces in cut if pieces)))
-        for text, pieces in zip(texts, cut):
-            if pieces is None:
-                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, np.int32))
-                continue
-            at = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
-            first, count = self.first[at], self.count[at]
-            ends = np.cumsum(count)
-            out.append(self.flat[np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)])
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, ODD)
+        for token in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        plain = pc.utf8_split_whitespace(pc.utf8_lower(texts.filter(pc.invert(odd))))
+        split = plain.flatten().dictionary_encode()
+        ids, count = self.encode_pieces(split.dictionary.to_pylist()) if len(split.dictionary) else (self.flat[:0], np.empty(0, np.int64))
+        piece = split.indices.to_numpy()
+        each = count[piece]
+        flat = runs(ids, (np.cumsum(count) - count)[piece], each)
+        offsets = plain.offsets.to_numpy()
+        cuts = iter(np.append(0, np.cumsum(each))[offsets - offsets[0]].tolist())
+        start, out = next(cuts, 0), []
+        for n, whole in enumerate(odd.to_pylist()):
+            if whole:
+                out.append(np.array(self.whole.encode(texts[n].as_py(), add_special_tokens=False).ids, np.int32))
+            else:
+                end = next(cuts)
+                out.append(flat[start:end])
+                start = end
         return out
 
 
 @cache
 def coder(file: bytes) -> WordCoder:
-    """One per worker and vocabulary, with the pieces it has met."""
+    """One per worker and vocabulary, with the words it has met."""
     return WordCoder(file)
 
 
@@ -302,9 +324,10 @@ def write_token_files(
         keys: list[pa.Array] = []
         shard = before = size = 0
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
-                found = [np.append(x, end).astype(np.int32) for x in model.encode_batch(batch.column("text").to_pylist())]
+            rows = max(1, int(whole.num_rows * SLICE_BYTES / max(1, whole.nbytes)))
+            for at in range(0, whole.num_rows, rows):
+                batch = whole.slice(at, rows)
+                found = [np.append(x, end).astype(np.int32) for x in model.encode_batch(batch.column("text"))]
                 first = 0
                 for n, x in enumerate(found):
                     if size and size + len(x) > shard_tokens:

@@ -3,6 +3,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,7 +40,10 @@ def test_ids_are_those_of_the_library(ours, theirs):
     rng = random.Random(1)
     each = [f"a{chr(code)}B {chr(code)}'s{chr(code)} x" for code in [*range(0x300), 0x1680, 0x2003, 0x2028, 0x3000, 0x200B]]
     texts = [None, "", " ", "the", *each, *(random_text(rng) for _ in range(1500))]
-    for text, ids in zip(texts, ours.encode_batch(texts)):
+    assert ours.encode_batch(pa.array([], pa.string())) == [] == ours.encode_batch(pa.array(texts).slice(4, 0))
+    assert [x.tolist() for x in ours.encode_batch(pa.array(texts[:9]).slice(3, 3))] == [theirs.encode(t).ids for t in texts[3:6]]
+    assert [len(x) for x in ours.encode_batch(pa.array(["二"]))] == [len(theirs.encode("二").ids)]
+    for text, ids in zip(texts, ours.encode_batch(pa.array(texts, pa.string()))):
         assert ids.tolist() == theirs.encode(text or "", add_special_tokens=False).ids, text
 
 
@@ -48,7 +52,7 @@ def test_forgetting_changes_nothing(theirs, monkeypatch):
     with open(WORD_VOCABULARY, "rb") as file:
         small = token_files.WordCoder(file.read())
     for texts in (["one two, three", "four"], ["two three five's"], ["one"]):
-        assert [x.tolist() for x in small.encode_batch(texts)] == [theirs.encode(t).ids for t in texts]
+        assert [x.tolist() for x in small.encode_batch(pa.array(texts))] == [theirs.encode(t).ids for t in texts]
 
 
 @pytest.mark.parametrize("size", [0, 1, 63, 64, 511, 512, 513, 5000])
