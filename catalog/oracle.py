@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.queries import CASUAL, DEFAULT, DENSE, HOT_QUERIES, MIXED, SAMPLE_SIZE
+from catalog.queries import CASUAL, DEFAULT, DENSE, HOT_QUERIES, MIXED, SAMPLE_SIZE, STUMP_INPUTS
 from catalog.tables import BLOCK_CUSTOMERS, BLOCK_ITEMS, BLOCK_USERS
 from starwise.config import HASH_PRIME, Config
 
@@ -227,6 +227,41 @@ def alpha(n: str) -> str:
     return f"0.1::DOUBLE + 0.1::DOUBLE * (LN(1 + {n}) / (LN(1 + {n}) + 2.0::DOUBLE))"
 
 
+STUMP_VALUES = f"[{', '.join(f'COALESCE(itf.{name}, 0)::DOUBLE' for name in STUMP_INPUTS)}]"
+
+
+def stump(rows: str) -> str:
+    """The best single split per ``set_id`` of ``rows`` (set_id, stars, f: the list of inputs).
+
+    Of all midpoints between neighbouring values of an input, the one that leaves the least squared
+    error; ``low`` and ``high`` are the means on both sides.
+    """
+    return f"""
+long AS (
+  SELECT set_id, k, f[k] AS v, COUNT(*) AS n, SUM(stars) AS s
+  FROM {rows} CROSS JOIN (SELECT UNNEST(RANGE(1, {len(STUMP_INPUTS) + 1})) AS k) GROUP BY ALL
+),
+cuts AS (
+  SELECT set_id, k, (v + LEAD(v) OVER w) / 2 AS cut, SUM(n) OVER w AS nl, SUM(s) OVER w AS sl,
+         SUM(n) OVER (PARTITION BY set_id, k) AS n, SUM(s) OVER (PARTITION BY set_id, k) AS s
+  FROM long WINDOW w AS (PARTITION BY set_id, k ORDER BY v)
+),
+best AS (
+  SELECT set_id, k, cut, sl / nl AS low, (s - sl) / (n - nl) AS high
+  FROM cuts WHERE cut IS NOT NULL AND nl >= 4 AND n - nl >= 4
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY set_id ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, k, cut) = 1
+)"""
+
+
+STUMP_SAMPLE = f"""
+x AS (SELECT * FROM t ORDER BY {pair_hash()}, "user", item LIMIT {SAMPLE_SIZE}),
+marked AS (
+  SELECT x.stars, {pair_hash('x."user"', "x.item", 17)} % 100 < 20 AS valid,
+         {pair_hash("x.item", 'x."user"')} % 5 AS fold, {STUMP_VALUES} AS f
+  FROM x LEFT JOIN itf ON itf.item = x.item
+)"""
+
+
 def _with(*parts: str, select: str) -> str:
     return "WITH " + ",".join(parts) + "\n" + select
 
@@ -300,6 +335,58 @@ FROM mixed"""
             select=f"""SELECT x."user", x.item, x.stars, CASE WHEN {pair_hash('x."user"', "x.item", 17)} % 100 < 20
   THEN 'valid' ELSE 'train' END AS part, ({pair_hash("x.item", 'x."user"')} % 5)::INT AS fold, {counts} FROM x {profiled}""",
         ),
+        "cf_predict_busy": _with(
+            plain, *mixed, CF, select=cf_rows + ' WHERE "user" IN (SELECT "user" FROM um WHERE n BETWEEN 30 AND 499)'
+        ),
+        "model_stump": _with(
+            plain,
+            PROFILES,
+            FEATURES,
+            f"fit AS (SELECT 0 AS set_id, t.stars, {STUMP_VALUES} AS f FROM t LEFT JOIN itf ON itf.item = t.item)",
+            stump("fit"),
+            f'asked AS (SELECT q."user", q.item, {STUMP_VALUES} AS f FROM q LEFT JOIN itf ON itf.item = q.item)',
+            select="""SELECT "user", item, ROUND(CASE WHEN f[k] <= cut THEN low ELSE high END, 6) AS prediction
+FROM asked CROSS JOIN best""",
+        ),
+        "cv_rmse_stump": _with(
+            plain,
+            PROFILES,
+            FEATURES,
+            STUMP_SAMPLE,
+            """fit AS (SELECT set_id, stars, f FROM marked, (SELECT UNNEST(RANGE(0, 5)) AS set_id) WHERE NOT valid AND fold <> set_id)""",
+            stump("fit"),
+            """errors AS (
+  SELECT fold, AVG((stars - CASE WHEN f[k] <= cut THEN low ELSE high END) ** 2) AS mse
+  FROM marked JOIN best ON best.set_id = fold WHERE NOT valid GROUP BY fold
+)""",
+            select="SELECT 1::BIGINT AS n_estimators, 1::BIGINT AS max_depth, ROUND(SQRT(AVG(mse)), 6) AS cv_rmse FROM errors",
+        ),
+        "holdout_rmse_stump": _with(
+            plain,
+            PROFILES,
+            FEATURES,
+            STUMP_SAMPLE,
+            "fit AS (SELECT 0 AS set_id, stars, f FROM marked WHERE NOT valid)",
+            stump("fit"),
+            select="""SELECT COUNT(*) AS n, ROUND(SQRT(AVG((stars - CASE WHEN f[k] <= cut THEN low ELSE high END) ** 2)), 6) AS rmse
+FROM marked CROSS JOIN best WHERE valid""",
+        ),
+        "end_to_end_stump_blocks": _with(
+            blocks,
+            *by_default,
+            CF,
+            PROFILES,
+            FEATURES,
+            f"fit AS (SELECT 0 AS set_id, t.stars, {STUMP_VALUES} AS f FROM t LEFT JOIN itf ON itf.item = t.item)",
+            stump("fit"),
+            f"""fb AS (
+  SELECT q."user", q.item, GREATEST(1.0::DOUBLE, LEAST(5.0::DOUBLE,
+    0.97::DOUBLE * CASE WHEN ({STUMP_VALUES})[best.k] <= cut THEN low ELSE high END + 0.03::DOUBLE * g.avg_stars)) AS score
+  FROM q CROSS JOIN g CROSS JOIN best LEFT JOIN itf ON itf.item = q.item
+)""",
+            blended,
+            select=final.replace("neighbor_cnt, ", "").replace("neighbor_cnt,", ""),
+        ),
         "end_to_end_answers": _with(plain, select='SELECT "user", item, TRUE AS in_range FROM q'),
         "lsh_candidates_blocks": _with(blocks, signatures(DEFAULT), select="SELECT i, j FROM cand"),
         "pair_similarity_blocks": _with(blocks, *by_default, select="SELECT i, j, n, ROUND(sim, 6) AS sim FROM sims"),

@@ -39,6 +39,9 @@ BUSY = replace(DEFAULT, min_user_ratings=30)
 IN_DEMAND = replace(DEFAULT, lsh=LshConfig(min_item_ratings=425))
 # Few and large steps instead of the 1000 small ones of the default settings.
 TREES = ModelConfig(n_estimators=20, learning_rate=0.1)
+# One split, on inputs of few different values: what it predicts has a closed form.
+STUMP = ModelConfig(n_estimators=1, max_depth=1, subsample=1.0, colsample=1.0)
+STUMP_INPUTS = ("b_price", "b_credit_card", "b_reservation", "b_table_service", "b_wheelchair", "b_is_restaurant")
 SAMPLE_SIZE = 80_000
 # Keys of half a per cent of the rows count as hot here, so that the plans for hot keys are taken.
 HOT = SkewConfig(share=0.005, min_rows=4)
@@ -249,6 +252,13 @@ def _cf_predict(config: Config, split: str = "cold") -> Query:
     return query
 
 
+def cf_predict_busy(spark, sf_dir):
+    """Requests of users with 30 ratings and more: few enough for a sketch of them to drop ratings."""
+    facts, held_out = _facts(spark, sf_dir, MIXED)
+    asked = held_out.join(stats.active_users(facts.by_user, BUSY).select("user"), "user")
+    return rounded(predict.cf_predict(asked, facts, predict.find_neighbors(facts)), "prediction")
+
+
 # scalar rules
 
 
@@ -412,6 +422,44 @@ def model_predict(spark, sf_dir):
     return scored.select("user", "item", F.col("model_score").alias("prediction"))
 
 
+def model_stump(spark, sf_dir):
+    """A model of one split, fitted to all train ratings, for all requests."""
+    facts, held_out = _facts(spark, sf_dir)
+    users, items = (written(p) for p in _inputs(spark, sf_dir, facts.ratings))
+    fitted = model.fit(predict.training_features(facts, users, items), STUMP, facts.mean_value, STUMP_INPUTS)
+    asked = features.with_profiles(held_out.select("user", "item"), users, items, None, None)
+    scored = fitted.score(features.feature_vectors(asked, "user", "item"))
+    return rounded(scored.select("user", "item", F.col("model_raw").alias("prediction")), "prediction")
+
+
+def _stump_search(spark, sf_dir) -> tuple[tuning.Search, DataFrame]:
+    facts, _ = _facts(spark, sf_dir)
+    found = predict.tuning_features(facts, *_inputs(spark, sf_dir, facts.ratings), SAMPLE_SIZE)
+    train, valid = tuning.fold_and_part(found, 5, STUMP_INPUTS)
+    return tuning.grid_search(train, {"n_estimators": (1,), "max_depth": (1,)}, 5, STUMP), valid
+
+
+def cv_rmse_stump(spark, sf_dir):
+    """Cross-validated error of a model of one split, over five folds."""
+    search, _ = _stump_search(spark, sf_dir)
+    return rounded(tuning.search_table(spark, search), "cv_rmse")
+
+
+def holdout_rmse_stump(spark, sf_dir):
+    """Error of that model on the held-out part."""
+    search, valid = _stump_search(spark, sf_dir)
+    return rounded(valid.select(F.count(F.lit(1)).alias("n"), F.lit(tuning.holdout_rmse(search.model, valid)).alias("rmse")), "rmse")
+
+
+def end_to_end_stump_blocks(spark, sf_dir):
+    """The whole plan with a fitted model of one split, where most items pass the blend's gate."""
+    train, held_out = tables.train_and_requests(spark, sf_dir, "blocks", written=True)
+    users, items = _profiles(spark, sf_dir, train)
+    config = replace(DEFAULT, model=STUMP)
+    found = predict.end_to_end(held_out.select("user", "item"), train, users, items, config, STUMP_INPUTS)
+    return rounded(found, "prediction")
+
+
 def training_labels(spark, sf_dir):
     """The rows the trees are fitted to: the distance of every rating to the mean, and two inputs."""
     facts, _ = _facts(spark, sf_dir)
@@ -512,6 +560,11 @@ QUERIES: dict[str, Query] = {
     "cf_predict_blocks": _cf_predict(DEFAULT, "blocks"),
     "hybrid_predict_blocks": _hybrid_predict(DEFAULT, "blocks"),
     "model_predict": model_predict,
+    "cf_predict_busy": cf_predict_busy,
+    "model_stump": model_stump,
+    "cv_rmse_stump": cv_rmse_stump,
+    "holdout_rmse_stump": holdout_rmse_stump,
+    "end_to_end_stump_blocks": end_to_end_stump_blocks,
     "training_labels": training_labels,
     "tuning_features": tuning_features,
     "end_to_end_predict": end_to_end_predict,

@@ -10,8 +10,12 @@ from starwise.functions.scalars import clip
 from starwise.operators.neighbors import packed_neighbors
 from starwise.operators.stats import RatingFacts
 from starwise.runtime import materialize
+from starwise.sketch import key_sketch, might_match
 from starwise.skew import HotPairs, hot_keys, hot_pairs, key_counts, lookup
 
+# Above this share of all users a sketch of those who ask drops too few ratings to be worth reading.
+ASKING_SHARE = 0.5
+
 
 def open_requests(unique: DataFrame, packed: DataFrame, hot_items: DataFrame | None) -> DataFrame:
     """(user, item, nbr, sim): every neighbour of the requested item.
@@ -35,6 +39,18 @@ def hot_neighbors(opened: DataFrame, hot: HotPairs, config: Config) -> DataFrame
     return hot_keys(counts, ["user", "nbr"], hot.total * config.top_k, config.skew)
 
 
+def asked_ratings(unique: DataFrame, facts: RatingFacts) -> DataFrame:
+    """The ratings of users who ask, and few others; all ratings if most users do.
+
+    With fewer requests fewer ratings go into the shuffle by (user, neighbour). The result of the
+    join there is the same in both cases.
+    """
+    asking = unique.select("user").distinct()
+    if asking.count() > ASKING_SHARE * facts.by_user.count():
+        return facts.ratings
+    return might_match(facts.ratings, "user", key_sketch(asking, "user"))
+
+
 def rated_neighbors(unique: DataFrame, packed: DataFrame, hot: HotPairs, facts: RatingFacts) -> DataFrame:
     """Neighbours the user has rated, summed per request.
 
@@ -42,7 +58,7 @@ def rated_neighbors(unique: DataFrame, packed: DataFrame, hot: HotPairs, facts:
     gathered. Neighbours with similarity 0 count as common but carry no weight.
     """
     opened = open_requests(unique, packed, hot.items)
-    stars = facts.ratings.select("user", F.col("item").alias("nbr"), "stars")
+    stars = asked_ratings(unique, facts).select("user", F.col("item").alias("nbr"), "stars")
     hot_nbrs = hot_neighbors(opened, hot, facts.config)
     return (
         lookup(opened, stars, ["user", "nbr"], hot_nbrs, ["item"], how="inner")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -36,30 +37,32 @@ def estimator(model: ModelConfig) -> GBTRegressor:
     )
 
 
-def assemble(features: DataFrame) -> DataFrame:
-    """The 22 inputs as the vector column ``features``; other columns stay."""
+def assemble(features: DataFrame, inputs: Sequence[str] = FEATURES) -> DataFrame:
+    """The inputs (all 22) as the vector column ``features``; other columns stay."""
     return (
-        VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+        VectorAssembler(inputCols=list(inputs), outputCol="features")
         .transform(features)
         .drop(*FEATURES)
     )
 
 
-def training_set(features: DataFrame, base_score: float, *kept: str) -> DataFrame:
+def training_set(features: DataFrame, base_score: float, *kept: str, inputs: Sequence[str] = FEATURES) -> DataFrame:
     """(features, label) and the kept columns: the label is the distance to the base score."""
-    return assemble(features).select("features", (F.col("stars") - base_score).alias("label"), *kept)
+    label = (F.col("stars") - base_score).alias("label")
+    return assemble(features, inputs).select("features", label, *kept)
 
 
 @dataclass(frozen=True)
 class RatingModel:
-    """A fitted regressor and the score its trees start from."""
+    """A fitted regressor, the score its trees start from and the inputs it looks at."""
 
     trees: GBTRegressionModel
     base_score: float
+    inputs: Sequence[str] = FEATURES
 
     def score(self, features: DataFrame, column: str = "model_raw") -> DataFrame:
         """``features`` with the raw model score in ``column``, scored where the rows are."""
-        scored = self.trees.transform(assemble(features))
+        scored = self.trees.transform(assemble(features, self.inputs))
         return scored.withColumn(column, F.col("offset") + self.base_score).drop("features", "offset")
 
 
@@ -70,15 +73,15 @@ def on_all_cores(df: DataFrame) -> DataFrame:
     return df.repartition(wanted)
 
 
-def fit(features: DataFrame, model: ModelConfig, base_score: float) -> RatingModel:
-    """Fit on the 22 inputs and ``stars``; only the trees reach the driver.
+def fit(features: DataFrame, model: ModelConfig, base_score: float, inputs: Sequence[str] = FEATURES) -> RatingModel:
+    """Fit on the inputs (all 22) and ``stars``; only the trees reach the driver.
 
     ``base_score`` is the global mean, from which the first tree starts. The training rows are
     cached because the regressor scans them several times before it keeps its own compact copy.
     """
     ensure_checkpoint_dir(features.sparkSession)
-    train = training_set(features, base_score).persist(StorageLevel.MEMORY_AND_DISK)
+    train = training_set(features, base_score, inputs=inputs).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return RatingModel(estimator(model).fit(on_all_cores(train)), base_score)
+        return RatingModel(estimator(model).fit(on_all_cores(train)), base_score, inputs)
     finally:
         train.unpersist()

@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.param import Param
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,19 +40,22 @@ FINE_CHOICES: Mapping[str, Sequence[float]] = {
 FINE_FIXED: Mapping[str, Sequence[float]] = {"subsample": (0.8,), "colsample": (0.7,)}
 
 
-def tuning_sample(pairs: DataFrame, size: int = 80_000) -> DataFrame:
+def tuning_sample(pairs: DataFrame, size: int = 80_000, total: int | None = None) -> DataFrame:
     """The ``size`` pairs with the lowest hash: a sample without replacement, the same every time.
 
     Rows whose hash lies well above the ``size``-th lowest expected one are dropped by a plain
     filter, ten standard deviations clear of it, so that the final sort sees about ``size`` rows
-    however many there are. Should fewer than ``size`` pass it, the sort sees all rows.
+    however many there are. The rows that pass are written once, so ``pairs`` is computed for them
+    and, unless the ``total`` of its rows is given, for that count. Should fewer than ``size`` pass,
+    the sort sees all rows.
     """
     slack = size + 10 * math.sqrt(size) + 100
-    total = pairs.agg(F.count(F.lit(1)).cast("double")).scalar()
-    bound = F.lit(float(HASH_SPACE) * slack) / F.greatest(total, F.lit(1.0))
+    if total is None:
+        total = pairs.count()
     hashed = pairs.withColumn("order", pair_hash(F.col("user"), F.col("item")))
-    low = hashed.where(F.col("order") < bound)
-    if low.limit(size).count() < size:
+    low = hashed.where(F.col("order") < float(HASH_SPACE) * slack / max(total, 1))
+    low = written(low)
+    if low.count() < min(size, total):
         low = hashed
     return low.orderBy("order", "user", "item").limit(size).drop("order")
 
@@ -79,23 +83,26 @@ def fine_grid(best: Mapping[str, float]) -> dict[str, list[float]]:
 
 @dataclass(frozen=True)
 class Search:
-    """Outcome of one grid search: all points with their RMSE, the best one and its model."""
+    """Outcome of one grid search: all points with their RMSE, the best one and its model.
+
+    ``fits`` counts the models fitted on the way, the last one included.
+    """
 
     points: list[dict[str, float]]
     rmse: list[float]
     best: dict[str, float]
     model: GBTRegressionModel
+    fits: int
 
 
-def _params(regressor: GBTRegressor) -> dict[str, Param]:
-    return {
-        "learning_rate": regressor.stepSize,
-        "max_depth": regressor.maxDepth,
-        "n_estimators": regressor.maxIter,
-        "subsample": regressor.subsamplingRate,
-        "colsample": regressor.featureSubsetStrategy,
-        "min_child_weight": regressor.minInstancesPerNode,
-    }
+def prefix_mse(model: GBTRegressionModel, rows: DataFrame, counts: Sequence[int]) -> list[float]:
+    """Mean squared error on ``rows`` of the first ``counts`` trees of a model, in one pass.
+
+    Boosting adds trees one by one and each depends on those before it alone, so the first n trees
+    of a longer fit are the model that a fit of n trees gives.
+    """
+    after = model.evaluateEachIteration(rows, "squared")
+    return [after[count - 1] for count in counts]
 
 
 def grid_search(
@@ -107,26 +114,38 @@ def grid_search(
 ) -> Search:
     """Cross-validate every grid point on ``train`` (features, label, fold).
 
-    The score is the square root of the mean squared error over the folds' means.
+    The score is the square root of the mean squared error over the folds' means. Points that
+    differ in their number of trees alone are scored off one fit per fold, that of the most trees;
+    of points of equal score the first in grid order wins.
     """
-    regressor = estimator(base or ModelConfig())
-    params = _params(regressor)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder.addGrid(params[name], [str(v) if name == "colsample" else v for v in values])
-    maps = builder.build()
-    validator = CrossValidator(
-        estimator=regressor,
-        estimatorParamMaps=maps,
-        evaluator=RegressionEvaluator(labelCol="label", predictionCol="offset", metricName="mse"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    fitted = validator.fit(train)
-    points = [{name: type(grid[name][0])(m[params[name]]) for name in grid} for m in maps]
-    rmse = [math.sqrt(mse) for mse in fitted.avgMetrics]
-    return Search(points, rmse, points[rmse.index(min(rmse))], fitted.bestModel)
+    base = base or ModelConfig()
+    names = list(grid)
+    points = [dict(zip(names, values)) for values in product(*grid.values())]
+    counts = sorted(set(grid.get("n_estimators", (base.n_estimators,))))
+    shapes = [dict(zip(names, v)) for v in product(*(("",) if n == "n_estimators" else grid[n] for n in names))]
+    parts = [train.where(F.col("fold") == fold) for fold in range(folds)]
+    rests = [train.where(F.col("fold") != fold).persist(StorageLevel.MEMORY_AND_DISK) for fold in range(folds)]
+
+    def scores(job: tuple[int, int]) -> list[float]:
+        shape, fold = job
+        regressor = estimator(replace(base, **(shapes[shape] | {"n_estimators": counts[-1]})))
+        return prefix_mse(regressor.fit(rests[fold]), parts[fold], counts)
+
+    jobs = list(product(range(len(shapes)), range(folds)))
+    try:
+        with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+            found = dict(zip(jobs, pool.map(inheritable_thread_target(scores), jobs)))
+    finally:
+        for rest in rests:
+            rest.unpersist()
+    mse: dict[tuple[float, ...], float] = {}
+    for n, shape in enumerate(shapes):
+        for k, count in enumerate(counts):
+            point = shape | ({"n_estimators": count} if "n_estimators" in grid else {})
+            mse[tuple(point[name] for name in names)] = sum(found[n, fold][k] for fold in range(folds)) / folds
+    rmse = [math.sqrt(mse[tuple(point.values())]) for point in points]
+    best = points[rmse.index(min(rmse))]
+    return Search(points, rmse, best, estimator(replace(base, **best)).fit(train), len(jobs) + 1)
 
 
 def search_table(spark: SparkSession, search: Search) -> DataFrame:
@@ -156,14 +175,14 @@ def cv_folds(pairs: DataFrame, folds: int = 5) -> DataFrame:
     return pairs.withColumn("fold", (pair_hash(F.col("item"), F.col("user")) % folds).cast("int"))
 
 
-def fold_and_part(features: DataFrame, folds: int) -> tuple[DataFrame, DataFrame]:
+def fold_and_part(features: DataFrame, folds: int, inputs: Sequence[str] = FEATURES) -> tuple[DataFrame, DataFrame]:
     """Train rows with their fold and validation rows, both as (features, label)."""
     rows = cv_folds(holdout_split(on_all_cores(features)), folds)
     ready = written(rows.select(*FEATURES, "stars", "fold", "part"))
     base_score = ready.where("part = 'train'").agg(F.avg("stars")).first()[0]
     train = ready.where("part = 'train'")
-    labelled = training_set(train, base_score, "fold")
-    return labelled, training_set(ready.where("part = 'valid'"), base_score)
+    labelled = training_set(train, base_score, "fold", inputs=inputs)
+    return labelled, training_set(ready.where("part = 'valid'"), base_score, inputs=inputs)
 
 
 def tune(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,7 +164,7 @@ def tuning_features(
     The sample is drawn first. It has at most ``size`` rows, so its keys can be broadcast to pick
     the few profiles it needs.
     """
-    sample = written(tuning.tuning_sample(facts.ratings, size))
+    sample = written(tuning.tuning_sample(facts.ratings, size, facts.n_ratings))
 
     def needed(inputs: DataFrame, key: str) -> DataFrame:
         return inputs.join(F.broadcast(sample.select(key).distinct()), key, "left_semi")
@@ -188,17 +190,19 @@ def end_to_end(
     user_features: DataFrame,
     item_features: DataFrame,
     config: Config,
+    inputs: Sequence[str] = features.FEATURES,
 ) -> DataFrame:
     """(user, item, prediction) for every request row, from ratings and profiles.
 
     ``ratings`` and ``requests`` are read several times and must come from files or a checkpoint.
+    The model looks at ``inputs``, all 22 unless fewer are named.
     """
     facts = RatingFacts(ratings, config)
     user_inputs = written(features.model_inputs(user_features, "user"))
     item_inputs = written(features.model_inputs(item_features, "item"))
     neighbor_lists = written(find_neighbors(facts))
     train = training_features(facts, user_inputs, item_inputs)
-    fitted = model.fit(train, config.model, facts.mean_value)
+    fitted = model.fit(train, config.model, facts.mean_value, inputs)
     predictions = hybrid_predict(requests, facts, neighbor_lists, user_inputs, item_inputs, fitted)
     answers = predictions.select("user", "item", "prediction")
     return answer_all(requests, answers, config, facts.mean_value)

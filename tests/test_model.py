@@ -106,6 +106,22 @@ def test_two_stage_tuning(spark, rows):
     assert min(tuned.fine.rmse) == pytest.approx(tuned.fine.rmse[tuned.fine.points.index(tuned.fine.best)])
 
 
+def test_points_that_differ_in_trees_share_a_fit(spark, rows):
+    train, _ = tuning.fold_and_part(rows, 2)
+    grid = {"max_depth": (1, 2), "n_estimators": (2, 5, 3)}
+    search = tuning.grid_search(train, grid, 2, FAST)
+    assert search.fits == 2 * 2 + 1
+    assert [(p["max_depth"], p["n_estimators"]) for p in search.points] == [(d, n) for d in (1, 2) for n in (2, 5, 3)]
+    for point, found in zip(search.points, search.rmse):
+        mse = []
+        for fold in range(2):
+            fitted = model.estimator(replace(FAST, **point)).fit(train.where(f"fold <> {fold}"))
+            mse.append(tuning.holdout_rmse(fitted, train.where(f"fold = {fold}")) ** 2)
+        assert found == pytest.approx(math.sqrt(sum(mse) / 2))
+    assert search.best == search.points[search.rmse.index(min(search.rmse))]
+    assert search.model.getNumTrees == search.best["n_estimators"]
+
+
 def test_training_rows_are_bounded(spark):
     from starwise.config import Config
     from starwise.operators.stats import RatingFacts
