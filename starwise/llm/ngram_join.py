@@ -21,6 +21,7 @@ from starwise.runtime import materialize
 BLOCK_TEXTS = 1024  # texts and n-grams that a block of a bucket holds on average at most
 BLOCK_GRAMS = 1 << 19
 CHUNK = 4096
+MATRIX_GRAMS = 1024  # n-grams per 0/1 matrix
 
 
 @dataclass(frozen=True)
@@ -178,7 +179,8 @@ def _links(left: list, right: list | None, band: int, limit: Fraction) -> tuple[
     """Index pairs of two blocks (or of one block with itself) that are linked and meet here first.
 
     Intersections are counted by multiplying 0/1 matrices over the n-grams that two texts share.
-    A pair belongs to its lowest common band; in later ones it is left out.
+    A pair belongs to its lowest common band; in later ones it is left out. That is decided band by
+    band on the matrix of links, of one byte per pair: in a block of near copies all pairs are linked.
     """
     both = left if right is None else left + right
     sets = [np.frombuffer(row["grams"], np.uint64) for row in both]
@@ -192,20 +194,21 @@ def _links(left: list, right: list | None, band: int, limit: Fraction) -> tuple[
     rows, at = rows[order], at[order]
     cut = len(left)
     common = np.zeros((cut, len(both) - cut if right is not None else cut), np.float32)
-    for start in range(0, int(at[-1]) + 1 if len(at) else 0, CHUNK):
-        low, high = np.searchsorted(at, (start, start + CHUNK))
-        part = np.zeros((len(both), CHUNK), np.float32)
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, MATRIX_GRAMS):
+        low, high = np.searchsorted(at, (start, start + MATRIX_GRAMS))
+        part = np.zeros((len(both), MATRIX_GRAMS), np.float32)
         part[rows[low:high], at[low:high] - start] = 1
         common += part[:cut] @ (part[cut:] if right is not None else part).T
     a, b = sizes[:cut], sizes[cut:] if right is not None else sizes
     top, bottom = limit.numerator, limit.denominator
     linked = common * (top + bottom) >= top * (a[:, None] + b[None, :])
-    i, j = np.nonzero(np.triu(linked, 1) if right is None else linked)
+    linked = np.triu(linked, 1) if right is None else linked
     bands = np.array([row["bands"][:band] for row in both], np.int64).reshape(len(both), band)
-    j = j if right is None else j + cut
-    different = np.array([x["set_id"] for x in both], object)
-    new = ~(bands[i] == bands[j]).any(1) & (different[i] != different[j])
-    return i[new], j[new]
+    _, ids = np.unique(np.array([row["set_id"] for row in both], object), return_inverse=True)
+    for column in [ids, *bands.T]:
+        linked &= column[:cut, None] != (column[cut:] if right is not None else column)[None, :]
+    i, j = np.nonzero(linked)
+    return i, j if right is None else j + cut
 
 
 def _verify(group: list[dict], limit: Fraction) -> list[tuple[bytes, int, bytes]]:
