@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from starwise.llm.text import map_slices, row_schema
+from starwise.llm.text import keep, map_slices, row_schema
 
 NEVER = 2**31 - 1
 SHORT = 64  # bytes; longer words go through a heap, where a scan per merge would be quadratic
@@ -247,6 +247,9 @@ def load(file: bytes) -> Bpe:
     return Bpe(file)
 
 
+keep(__name__, load.cache_clear)
+
+
 def vocabulary(path: str) -> bytes:
     """The vocabulary file, read on the driver and sent along: executors need no copy of it."""
     return Path(path).read_bytes()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 import zlib
@@ -52,10 +53,45 @@ def ship(spark: SparkSession) -> None:
         context._starwise_shipped = archive
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with this package at hand on the executors."""
+_FORGET: dict[str, Callable[[], None]] = {}
+
+
+def keep(owner: str, forget: Callable[[], None]) -> None:
+    """Say how to drop what the module ``owner`` keeps in a worker between its tasks."""
+    _FORGET[owner] = forget
+
+
+def begin_task(owner: str) -> None:
+    """Workers are used again by other operators: drop what those before this one have kept."""
+    for name, forget in _FORGET.items():
+        if name != owner:
+            forget()
+
+
+def end_task() -> None:
+    """Give memory that is free again back to the system, as the next task may be another worker's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def map_batches(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType, owner: str = ""
+) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors.
+
+    ``owner`` is the operator's module; a worker keeps only what that one keeps.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    owner = owner or run.__module__
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(owner)
+        yield from run(batches)
+        end_task()
+
+    return df.mapInArrow(task, schema)
 
 
 def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
@@ -66,7 +102,7 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
             for start in range(0, batch.num_rows, SLICE):
                 yield work(batch.slice(start, SLICE))
 
-    return map_batches(df, run, schema)
+    return map_batches(df, run, schema, work.__module__)
 
 
 def row_schema(df: DataFrame, key: str, rest: str) -> StructType:
@@ -95,3 +131,4 @@ class WordHashes(dict):
 
 
 WORD_HASHES = WordHashes()
+keep("starwise.llm.ngram_join", WORD_HASHES.clear)

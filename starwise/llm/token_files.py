@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
-from starwise.llm.text import SLICE, map_batches
+from starwise.llm.text import SLICE, keep, map_batches
 from starwise.operators.prefix import block_starts
 
 BLOCK = 512  # bits between two stored ranks
@@ -157,6 +157,9 @@ def coder(file: bytes) -> WordCoder:
     return WordCoder(file)
 
 
+keep(__name__, coder.cache_clear)
+
+
 # ---------------------------------------------------------------- wavelet matrix
 
 
