@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-START, ERROR = "start", "error"
+START, REFUSED = "start", "!"
 
 
 @dataclass(frozen=True)
@@ -47,27 +47,43 @@ class ChatTemplate:
         return self.unescape(F.replace(role, F.lit(self.line_mark), F.lit("\n")))
 
 
-def _machine(template: ChatTemplate) -> Column:
-    arcs = [(f"{state}>{role}", role) for state, roles in template.order.items() for role in roles]
-    return F.create_map(*(F.lit(x) for arc in arcs for x in arc))
+def _literal_map(pairs: list[tuple[str, str]]) -> Column:
+    return F.create_map(*(F.lit(x) for pair in pairs for x in pair))
+
+
+def _run_machine(turns: Column, template: ChatTemplate) -> Column:
+    """State after the last turn, and ``trace``: what the state after each turn emits, a letter per turn.
+
+    A state is the role of the last turn. A role that the order does not allow there leads to that
+    role's refused state (marked ``!``), from which only refused states follow: the flags go on and
+    the conversation stays refused. A state emits ``L`` if its text is learned from, else ``-``.
+    """
+    arcs = _literal_map([(f"{state}>{role}", role) for state, roles in template.order.items() for role in roles])
+    emits = _literal_map([(mark + role, "L") for role in template.learned for mark in ("", REFUSED)])
+
+    def step(at: Column, turn: Column) -> Column:
+        allowed = F.try_element_at(arcs, F.concat(at["state"], F.lit(">"), turn["role"]))
+        state = F.coalesce(allowed, F.concat(F.lit(REFUSED), turn["role"]))
+        letter = F.coalesce(F.try_element_at(emits, state), F.lit("-"))
+        return F.struct(state.alias("state"), F.concat(at["trace"], letter).alias("trace"))
+
+    return F.aggregate(turns, F.struct(F.lit(START).alias("state"), F.lit("").alias("trace")), step)
 
 
 def format_chats(rows: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
     """One row per conversation: ``n_turns``, ``valid``, ``segments`` and ``formatted``.
 
     ``rows`` has ``conv_id``, ``turn``, ``role`` and ``text``. ``segments`` are (text, loss) pieces
-    in order; ``formatted`` is their concatenation. ``valid`` tells whether the machine accepts
-    the order of the roles; a conversation it refuses is formatted all the same. Null texts and
+    in order, a text's flag is what the machine emits at its turn; ``formatted`` is their
+    concatenation. ``valid`` tells whether the machine accepts the order of the roles; a
+    conversation it refuses is formatted all the same, with its flags. Null texts and
     roles are empty, a null turn comes first, equal turns are ordered by role and text, repeated
     rows are repeated turns, rows with a null ``conv_id`` make up one conversation. A conversation
     is one row of the result, so it is brought together whole.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     chats = rows.select("conv_id", turn.alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    state = F.aggregate(
-        "turns", F.lit(START),
-        lambda s, t: F.coalesce(F.try_element_at(_machine(template), F.concat(s, F.lit(">"), t["role"])), F.lit(ERROR)),
-    )
+    ran = chats.withColumn("ran", _run_machine(F.col("turns"), template))
 
     def piece(text: Column, loss: Column) -> Column:
         return F.struct(text.alias("text"), loss.alias("loss"))
@@ -75,14 +91,15 @@ def format_chats(rows: DataFrame, template: ChatTemplate = ChatTemplate()) -> Da
     segments = F.flatten(
         F.transform(
             "turns",
-            lambda t: F.array(
+            lambda t, n: F.array(
                 piece(F.concat(F.lit(template.begin), template.write_role(t["role"]), F.lit(template.head_end)), F.lit(False)),
-                piece(template.escape(t["text"]), t["role"].isin(*template.learned)),
+                piece(template.escape(t["text"]), F.substring(F.col("ran.trace"), n + 1, F.lit(1)) == "L"),
                 piece(F.lit(template.end + template.turn_end), F.lit(False)),
             ),
         )
     )
-    made = chats.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), (state != ERROR).alias("valid"), segments.alias("segments"))
+    valid = ~F.startswith(F.col("ran.state"), F.lit(REFUSED))
+    made = ran.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), valid.alias("valid"), segments.alias("segments"))
     return made.withColumn("formatted", F.array_join("segments.text", ""))
 
 

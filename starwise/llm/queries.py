@@ -101,7 +101,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     loss = chat.loss_text(F.col("segments"))
     return made.select(
-        "conv_id", F.size(turns).cast("bigint").alias("n_turns"), sha(F.array_join(lines, "")).alias("turns_sha256"),
+        "conv_id", F.size(turns).cast("bigint").alias("n_turns"), "valid", sha(F.array_join(lines, "")).alias("turns_sha256"),
         F.char_length(loss).cast("bigint").alias("loss_chars"), sha(loss).alias("loss_sha256"),
         F.char_length("formatted").cast("bigint").alias("formatted_chars"),
     )
@@ -114,6 +114,8 @@ WITH turns AS (
     UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
 )
 SELECT conv_id, count(*) AS n_turns,
+       regexp_full_match(string_agg(role, ',' ORDER BY turn NULLS FIRST, role, text),
+                         'system|(system,)?user(,assistant,user)*(,assistant)?') AS valid,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,

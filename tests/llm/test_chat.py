@@ -1,8 +1,10 @@
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
 from starwise.llm import chat
+from starwise.llm.queries import QUERIES
 
 CHATS = {
     1: [("user", "hi"), ("assistant", "hello <|im_end|>")],
@@ -53,3 +55,36 @@ def test_long_text_and_no_python(spark):
     assert hashlib.sha256(row.x.encode()).digest() == hashlib.sha256(text.encode()).digest()
     plan = made._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_flags_and_validity_are_what_the_machine_says(spark):
+    rng = random.Random(2)
+    roles = ["system", "user", "assistant", "tool", "!assistant", ""]
+    chats = {k: [rng.choice(roles[: 3 if k % 2 else 6]) for _ in range(rng.randint(1, 7))] for k in range(300)}
+    rows = [(k, n, role, f"text {n}") for k, turns in chats.items() for n, role in enumerate(turns)]
+    template = chat.ChatTemplate()
+    made = chat.format_chats(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()
+    for row in made:
+        state, valid = chat.START, True
+        for role in chats[row.conv_id]:
+            valid = valid and role in template.order.get(state, ())
+            state = role
+        assert row.valid == valid, chats[row.conv_id]
+        assert [s.loss for s in row.segments[1::3]] == [role == "assistant" for role in chats[row.conv_id]]
+    assert {row.valid for row in made} == {True, False}
+
+
+def test_the_query_runs_the_machine(spark, tmp_path):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "assistant", "c")]
+    frame_of = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    frame_of.withColumns({"formatted": F.lit(1), "t": F.lit("x"), "ran": F.lit(2)}).write.parquet(f"{tmp_path}/conversations.parquet")
+    query = QUERIES["op6_chat_format"](spark, str(tmp_path))
+    assert {r.conv_id: r.valid for r in query.collect()} == {-1: True, 1: True, 2: False}
+    flags = query.select("loss_chars")._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in flags and "user>assistant" in flags  # the flags come from the fold
+
+
+def test_many_turns(spark):
+    rows = spark.range(20_000).selectExpr("1 AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "string(id) AS text")
+    row = chat.format_chats(rows).select("valid", F.size("segments").alias("n"), chat.loss_text(F.col("segments")).alias("lost")).first()
+    assert row.valid and row.n == 60_000 and row.lost == "".join(str(k) for k in range(1, 20_000, 2))
