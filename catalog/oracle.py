@@ -321,6 +321,23 @@ FROM mixed"""
             BASELINE,
             select='SELECT "user"::VARCHAR AS "user", item::VARCHAR AS item, ROUND(prediction, 6) AS prediction FROM base',
         ),
+        "csv_left_out": """
+WITH lines AS (
+  SELECT o_custkey AS "user", l_suppkey AS item, CAST(1 + FLOOR((l_quantity - 1) / 10) AS DOUBLE) AS stars
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+)
+SELECT COUNT(*) FILTER ("user" % 7 <> 0 AND item % 5 <> 0) AS n, SUM(stars) FILTER ("user" % 7 <> 0 AND item % 5 <> 0) AS sum_stars,
+       COUNT(*) AS lines, COUNT(*) FILTER ("user" % 7 = 0 OR item % 5 = 0) AS left_out
+FROM lines""",
+        "dedupe_last": """
+SELECT o_custkey::VARCHAR AS "user", l_suppkey::VARCHAR AS item,
+       CAST(1 + FLOOR((LAST(l_quantity ORDER BY l_orderkey, l_linenumber, l_suppkey, FLOOR((l_quantity - 1) / 10)) - 1) / 10) AS DOUBLE) AS stars
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_suppkey""",
+        "csv_order": _with(
+            cold,
+            select="""SELECT ROW_NUMBER() OVER (ORDER BY "user" * 1000000 + item) - 1 AS position,
+  "user"::VARCHAR AS "user", item::VARCHAR AS item FROM q""",
+        ),
         "training_labels": _with(
             plain,
             PROFILES,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import tables
@@ -97,6 +97,45 @@ def csv_predictions(spark, sf_dir):
     return rounded(csv.read_predictions(spark, folder), "prediction")
 
 
+def csv_left_out(spark, sf_dir):
+    """Order lines as CSV, some without an item or a number of stars; both counts come with the read."""
+    folder = scratch_folder(spark)
+    lines = tables.order_lines(spark, sf_dir).selectExpr(
+        "user", "if(item % 5 = 0, NULL, item) AS item", "if(user % 7 = 0, 'none', string(stars)) AS stars"
+    )
+    lines.write.csv(folder, header=True)
+    seen = Observation("left out")
+    kept = written(csv.read_ratings(spark, folder, seen))
+    counts = seen.get
+    return kept.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("stars").alias("sum_stars"),
+        F.lit(counts["lines"]).alias("lines"), F.lit(counts["left_out"]).alias("left_out"),
+    )
+
+
+def _lines_in_order(spark, sf_dir, folder: str) -> None:
+    """Order lines as CSV files in the order of their keys."""
+    lines = tables.table(spark, sf_dir, "lineitem").join(tables.table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+    stars = (1 + F.floor((F.col("l_quantity") - 1) / 10)).cast("double").alias("stars")
+    ordered = lines.orderBy("l_orderkey", "l_linenumber", "l_suppkey", stars)
+    ordered.select(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item"), stars).write.csv(folder, header=True)
+
+
+def dedupe_last(spark, sf_dir):
+    """Of the lines of a pair the last in the files counts."""
+    folder = scratch_folder(spark)
+    _lines_in_order(spark, sf_dir, folder)
+    return csv.dedupe_last(csv.read_placed(spark, folder))
+
+
+def csv_order(spark, sf_dir):
+    """The position in the written files of every prediction that was to be in order."""
+    folder = scratch_folder(spark)
+    found = baseline_predict(spark, sf_dir).withColumn("at", F.col("user") * 1_000_000 + F.col("item"))
+    csv.write_predictions(found, folder, "at")
+    return csv.with_positions(csv.read_placed(spark, folder)).select("position", "user", "item")
+
+
 def dedupe_pairs(spark, sf_dir):
     return stats.dedupe_ratings(tables.order_lines(spark, sf_dir))
 
@@ -504,6 +543,9 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": csv_round_trip,
     "csv_requests": csv_requests,
     "csv_predictions": csv_predictions,
+    "csv_left_out": csv_left_out,
+    "dedupe_last": dedupe_last,
+    "csv_order": csv_order,
     "dedupe_pairs": dedupe_pairs,
     "item_mean": item_mean,
     "user_mean": user_mean,

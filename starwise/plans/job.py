@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from starwise.config import Config
 from starwise.operators.evaluate import evaluate
@@ -45,19 +45,26 @@ class JobPaths:
         return f"{self.folder}/output/{self.output_name}"
 
 
-def run_job(spark: SparkSession, paths: JobPaths, config: Config | None = None) -> DataFrame:
+def run_job(
+    spark: SparkSession, paths: JobPaths, config: Config | None = None, left_out: dict[str, int] | None = None
+) -> DataFrame:
     """Read the files, predict every request, write the predictions and return them as written.
 
-    The written rows follow the order of the requests; there are as many of them.
+    The written rows follow the order of the requests; there are as many of them. ``left_out`` is
+    filled with the number of lines per file that could not be read, counted as they are read.
     """
+    seen = {name: Observation(f"left out of {name}") for name in ("ratings", "users", "items")}
+    lines = {name: profiles.read_json_lines(spark, path) for name, path in (("users", paths.users), ("items", paths.items))}
     predictions = end_to_end(
         written(ratings.read_requests(spark, paths.requests, "position")),
-        written(dedupe_ratings(ratings.read_ratings(spark, paths.train))),
-        profiles.user_features(profiles.read_json_lines(spark, paths.users)),
-        profiles.item_features(profiles.read_json_lines(spark, paths.items)),
+        written(dedupe_ratings(ratings.read_ratings(spark, paths.train, seen["ratings"]))),
+        profiles.user_features(profiles.observed(lines["users"], seen["users"])),
+        profiles.item_features(profiles.observed(lines["items"], seen["items"])),
         config or Config(),
     )
     ratings.write_predictions(predictions, paths.output, "position")
+    if left_out is not None:
+        left_out.update({name: found.get["left_out"] for name, found in seen.items()})
     return ratings.read_predictions(spark, paths.output)
 
 

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starwise.functions.scalars import flag, list_count, price
@@ -60,6 +60,12 @@ def count_unreadable(lines: DataFrame) -> DataFrame:
     )
 
 
+def observed(lines: DataFrame, seen: Observation) -> DataFrame:
+    """``lines``, of which ``seen`` counts ``lines`` and those that are ``left_out``, while they are read."""
+    left_out = F.count_if(_fields(()).isNull()).alias("left_out")
+    return allow_repeated_fields(lines).observe(seen, F.count("line").alias("lines"), left_out)
+
+
 def _fields(names: Iterable[str]) -> Column:
     """The named fields of a line in one pass; NULL for a line that is no JSON object.
 

@@ -6,8 +6,12 @@ stars are left out, and ``count_unreadable`` tells how many; requests are never
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from starwise.operators.prefix import block_starts
+from starwise.runtime import written
 
 RATING_SCHEMA = "user STRING, item STRING, stars DOUBLE"
 # Column names of the prediction file.
@@ -18,15 +22,69 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RATING_SCHEMA).csv(path, header=True, mode="PERMISSIVE")
 
 
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """(user, item, stars) from a CSV file with a header."""
-    return _read(spark, path).dropna(how="any")
+def _missing() -> Column:
+    return F.col("user").isNull() | F.col("item").isNull() | F.col("stars").isNull()
+
+
+def read_ratings(spark: SparkSession, path: str, seen: Observation | None = None) -> DataFrame:
+    """(user, item, stars) from a CSV file with a header.
+
+    ``seen`` gets ``lines`` and ``left_out`` from the first action that reads all rows, with no
+    second scan. A task that is repeated after its executor was lost may count its lines again.
+    """
+    rows = _read(spark, path)
+    if seen is not None:
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(_missing()).alias("left_out"))
+    return rows.dropna(how="any")
+
+
+# Where a line lies: its file, its block of the file, and the order within the block. Blocks of one
+# file may be read in any order, and numbers ascend within each.
+_PLACE = ("file", "block", "line")
+
+
+def read_placed(spark: SparkSession, path: str) -> DataFrame:
+    """(user, item, stars) of every line, with ``place``, which ascends by file name and in a file.
+
+    Lines that ``read_ratings`` leaves out are left out here too.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return _read(spark, path).select("user", "item", "stars", place.alias("place")).dropna(subset=["user", "item", "stars"])
+
+
+def dedupe_last(placed: DataFrame) -> DataFrame:
+    """One rating per (user, item): that of the last line, by file name and position in the file."""
+    return placed.groupBy("user", "item").agg(F.max_by("stars", "place").alias("stars"))
+
+
+def with_positions(placed: DataFrame, position: str = "position") -> DataFrame:
+    """The rows numbered 0, 1, 2 ... in the order of their files, in the column ``position``.
+
+    Lines are numbered within a block of a file, and a block starts where those before it end. Blocks
+    are sorted by range; lines are added up within each range, and the ranges' sums in levels, so no
+    task sees more than the lines of one block or the blocks of one range.
+    """
+    rows = placed.select("*", *[F.col(f"place.{name}").alias(f"_{name}") for name in _PLACE])
+    blocks = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("size"))
+    number = F.monotonically_increasing_id().alias("number")
+    ranged = written(blocks.orderBy("_file", "_block").select("*", F.spark_partition_id().alias("range"), number))
+    ranges = ranged.agg(F.coalesce(F.max("range"), F.lit(-1))).first()[0] + 1
+    starts = block_starts(ranged.groupBy("range").agg(F.sum("size").alias("size")), ranges, "range", "size")
+    before = Window.partitionBy("range").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    at = ranged.select("_file", "_block", "range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_before")).join(starts, "range")
+    inside = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_line"))
+    found = rows.withColumn("_inside", inside).join(at, ["_file", "_block"])
+    place = F.col("start") + F.col("_before") + F.col("_inside") - 1
+    return found.select(*placed.columns, place.cast("bigint").alias(position))
 
 
 def count_unreadable(spark: SparkSession, path: str) -> int:
     """Rows that ``read_ratings`` leaves out: too short, or without a number of stars."""
-    missing = F.col("user").isNull() | F.col("item").isNull() | F.col("stars").isNull()
-    return _read(spark, path).where(missing).count()
+    return _read(spark, path).where(_missing()).count()
 
 
 def read_requests(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:

@@ -9,7 +9,19 @@ from data import ratings
 from starwise.config import Config, LshConfig, ModelConfig
 from starwise.plans.job import JobPaths, count_left_out, evaluate_files, run_job
 from starwise.runtime import ensure_checkpoint_dir
-from starwise.sources.ratings import count_unreadable, read_predictions, read_ratings, read_requests, write_predictions
+from pyspark.sql import Observation
+
+from starwise.sources import profiles
+from starwise.sources.ratings import (
+    count_unreadable,
+    dedupe_last,
+    read_placed,
+    read_predictions,
+    read_ratings,
+    read_requests,
+    with_positions,
+    write_predictions,
+)
 
 
 def test_readers(spark, tmp_path):
@@ -23,6 +35,36 @@ def test_readers(spark, tmp_path):
     assert {tuple(r) for r in read_requests(spark, str(path)).collect()} == {("u1", "b1"), ("u2", "b2")}
 
 
+def test_left_out_lines_are_counted_while_they_are_read(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("user_id,business_id,stars\nu1,b1,4.0\nu2,b2\nu4,b4,x\n")
+    (tmp_path / "u.json").write_text('{"user_id": "a"}\n[1]\nnonsense\n\n{"user_id": 2}\n')
+    seen, lines = Observation("r"), Observation("u")
+    assert read_ratings(spark, str(tmp_path / "r.csv"), seen).count() == 1
+    assert seen.get == {"lines": 3, "left_out": 2}
+    assert profiles.user_features(profiles.observed(profiles.read_json_lines(spark, str(tmp_path / "u.json")), lines)).count() == 2
+    assert lines.get == {"lines": 4, "left_out": 2}
+
+
+def test_the_last_line_wins_and_lines_have_positions(spark, tmp_path):
+    names = ["part-0.csv", "part-1.csv", "part-2.csv"]
+    lines = [[(f"u{(7 * k + n) % 50}", f"b{k % 3}", float(1 + (k + n) % 5)) for k in range(400)] for n in range(3)]
+    for name, rows in zip(names, lines):
+        (tmp_path / name).write_text("user,item,stars\n" + "".join(f"{u},{i},{s}\n" for u, i, s in rows))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500b")  # several blocks per file
+    try:
+        placed = read_placed(spark, str(tmp_path))
+        assert placed.select("place.block").distinct().count() > 2
+        flat = [row for rows in lines for row in rows]
+        assert {(r.user, r.item): r.stars for r in dedupe_last(placed).collect()} == {(u, i): s for u, i, s in flat}
+        found = with_positions(placed).orderBy("position").collect()
+        assert [r.position for r in found] == list(range(len(flat)))
+        assert [(r.user, r.item, r.stars) for r in found] == flat
+        assert with_positions(placed.limit(0)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_every_request_is_read(spark, tmp_path):
     path = tmp_path / "q.csv"
     path.write_text("user_id,business_id\nu1,b1\nu2,\n,b3\nu4\n")
@@ -70,7 +112,9 @@ def test_job(spark, folder):
         model=ModelConfig(n_estimators=5, learning_rate=0.3),
         gate_neighbors=5,
     )
-    written = run_job(spark, JobPaths(str(root), "val.csv", "predictions", "some_train.csv"), config)
+    left_out = {}
+    written = run_job(spark, JobPaths(str(root), "val.csv", "predictions", "some_train.csv"), config, left_out)
+    assert left_out == {"ratings": 0, "users": 0, "items": 0}
     assert written.count() == len(held) + 5
     asked = [*held, held[0], ("new", "x1"), ("x1", "new"), ("x1", ""), ("", "x1")]
     assert [(r.user, r.item) for r in written.collect()] == [tuple(r[:2]) for r in asked]
