@@ -118,9 +118,6 @@ def full_texts() -> dict[str, str]:
     return {f"{file.stem}-text": file.read_text("utf-8") for file in files}
 
 
-NEAR = 16  # words between two template words of one region at most
-
-
 def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
     """Matched positions (in ``a``, in ``b``) by patience alignment.
 
@@ -188,48 +185,58 @@ class Hit:
 
 
 class Scanner:
-    """Finds templates in a text: regions dense in a template's words are aligned with it."""
+    """Finds templates in a text: windows that hold enough of a template's words are aligned with it.
+
+    An alignment matches a word at most as often as both sides have it. So a text or window whose
+    words, counted that way, stay below the coverage has no hit, and only such are passed over.
+    """
 
     def __init__(self, templates: dict[str, str], coverage: float, required: dict[str, list[str]] = REQUIRED):
         self.coverage = coverage
         self.required = {name: [run.encode().split() for run in required.get(name, [])] for name in templates}
         self.templates = {name: words(text.encode()) for name, text in templates.items()}
         self.templates = {name: found for name, found in self.templates.items() if found}
-        self.own = {name: frozenset(found) for name, found in self.templates.items()}
+        self.own = {name: Counter(found) for name, found in self.templates.items()}
         self.known = frozenset(word for found in self.templates.values() for word in found)
 
+    def _enough(self, name: str, counts: Counter) -> bool:
+        """Whether words with these counts can cover as much of the template as is asked for."""
+        own = self.own[name]
+        most = sum(min(n, own[word]) for word, n in counts.items() if word in own)
+        return most / len(self.templates[name]) >= self.coverage
+
     def find(self, text: bytes | None) -> list[Hit]:
         found = words(text)
         if not text or self.known.isdisjoint(found):
             return []
-        there = self.known.intersection(found)
+        counts = Counter(word for word in found if word in self.known)
         hits = []
         for name, template in self.templates.items():
-            needed, own = self.coverage * len(template), self.own[name]
-            if len(there & own) < needed * len(own) / len(template):
-                continue
-            region: list[int] = []
-            for n in [n for n, word in enumerate(found) if word in own] + [len(found) + 2 * NEAR]:
-                if region and n - region[-1] > NEAR:
-                    if len({found[x] for x in region}) >= needed * len(own) / len(template):
-                        hits += self._within(name, template, found, region[0], region[-1] + 1)
-                    region = []
-                region.append(n)
+            if len(found) / len(template) >= self.coverage and self._enough(name, counts):
+                hits += self._within(name, template, found)
         return self._best(hits)
 
-    def _within(self, name: str, template: list[bytes], found: list[bytes], start: int, stop: int) -> list[Hit]:
-        """Hits in a region, from windows of twice the template, so that repeats are told apart."""
-        size, out, at = 2 * len(template), [], start
-        while at < stop:
-            end = min(stop, at + size)
-            pairs = align(found[at:end], template)
-            share = len(pairs) / len(template)
-            first, last = (at + pairs[0][0], at + pairs[-1][0] + 1) if pairs else (at, at)
-            if share >= self.coverage and all(holds(found[first:last], run) for run in self.required[name]):
-                out.append(Hit(name, share, first, last))
-                at = last
-            else:
-                at += max(1, len(template) // 2)
+    def _within(self, name: str, template: list[bytes], found: list[bytes]) -> list[Hit]:
+        """Hits in windows of twice the template, half a template apart, so that repeats are told apart.
+
+        A window starts at a word of the template; an occurrence that spreads over no more than one
+        and a half times the template lies whole in one of them, whatever is inserted in it.
+        """
+        size, out, own = len(template), [], self.own[name]
+        there = [n for n, word in enumerate(found) if word in own]
+        k = 0
+        while k < len(there):
+            start = there[k]
+            stop = bisect_left(there, start + 2 * size)
+            after = start + max(1, size // 2)
+            if self._enough(name, Counter(found[n] for n in there[k:stop])):
+                pairs = align(found[start : start + 2 * size], template)
+                share = len(pairs) / size
+                first, last = (start + pairs[0][0], start + pairs[-1][0] + 1) if pairs else (start, start)
+                if share >= self.coverage and all(holds(found[first:last], run) for run in self.required[name]):
+                    out.append(Hit(name, share, first, last))
+                    after = last
+            k = bisect_left(there, after)
         return out
 
     def _best(self, hits: list[Hit]) -> list[Hit]:

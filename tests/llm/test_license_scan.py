@@ -71,3 +71,37 @@ def test_versions_and_whole_texts():
     assert names("This program is free software under the GNU General Public License, version 2.") == ["GPL-2.0-short"]
     assert names("This program is free software under the GNU General Public License, version 4.") == []
     assert names(license_scan.TEMPLATES["GPL-2.0-header"].replace("version 2", "version 7")) == []
+
+
+def test_nothing_is_lost_before_the_alignment(monkeypatch):
+    """Hits are the same when every window of every template is aligned."""
+    rng = random.Random(5)
+    short = {name: text for name, text in license_scan.TEMPLATES.items() if len(text) < 2500}
+    scanner = license_scan.Scanner(short, 0.8)
+    cases = []
+    for _ in range(120):
+        body = words(rng.choice(list(short.values())).encode())
+        rare = {w for w in body if body.count(w) == 1}
+        body = [w for w in body if w not in rare or rng.random() > rng.choice([0.0, 0.15, 0.3])]
+        for _ in range(rng.randint(0, 3)):  # foreign paragraphs in between
+            at = rng.randrange(len(body) + 1)
+            body[at:at] = [rng.choice([b"zzz", b"the", b"of", b"software"]) for _ in range(rng.randint(1, 30))]
+        cases.append(b" ".join([b"prose"] * rng.randint(0, 40) + body + [b"and the license"] * rng.randint(0, 5)))
+    found = [scanner.find(text) for text in cases]
+    monkeypatch.setattr(license_scan.Scanner, "_enough", lambda self, name, counts: True)
+    assert found == [scanner.find(text) for text in cases]
+    assert sum(map(bool, found)) > 40
+
+
+def test_inserted_paragraph_and_dropped_words():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES | license_scan.full_texts(), 0.8)
+    name = max((n for n in license_scan.TEMPLATES if n.startswith("MIT")), key=lambda n: len(license_scan.TEMPLATES[n]))
+    body = words(license_scan.TEMPLATES[name].encode())
+    (hit,) = scanner.find(b" ".join(body[:70] + [b"foreign"] * 20 + body[70:]))
+    assert (hit.template, hit.coverage) == (name, 1.0)
+    often = [w for w in body if body.count(w) > 1]
+    left = list(body)
+    for w in [w for w in dict.fromkeys(body) if w not in often][: len(body) // 8]:
+        left.remove(w)
+    (hit,) = scanner.find(b" ".join(left))
+    assert hit.template == name and 0.8 <= hit.coverage < 0.9
