@@ -2,37 +2,57 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwise.config import Config
-from starwise.operators.stats import RatingFacts, active_ratings, active_users, without_heavy_users
-from starwise.skew import lookup
+from starwise.operators.stats import RatingFacts, active_users, without_heavy_users
+from starwise.runtime import written
+from starwise.skew import hot_keys, lookup, split_fact
 
 BAND_BITS = 62  # of a BIGINT
 
 
-def _pairs(rated: DataFrame, meet: list[str]) -> DataFrame:
-    """Ordered item pairs whose rows agree on ``meet``, which includes the user.
+def _parts(users: DataFrame, facts: RatingFacts) -> tuple[DataFrame, int]:
+    """(user, part) of the active among ``users``, and the number of partitions for the parts.
 
-    A user here has fewer than 500 ratings, so what meets is bounded and no key is hot.
+    ``users`` has user, n and place; users alike have the same place, and a place is a part, so that
+    a pair of items is summed up in few tasks whatever their number. A place with more than
+    ``part_pairs`` pairs of items (or a share of them, if there are fewer than partitions need) is
+    cut by user: the pairs that a task sums up do not grow with the ratings.
     """
-    carried = [c for c in rated.columns if c not in meet]
-    left = rated.select(*meet, *[F.col(c).alias(f"{c}_i") for c in carried]).alias("l")
-    right = rated.select(*meet, *[F.col(c).alias(f"{c}_j") for c in carried]).alias("r")
-    same = " AND ".join(f"l.{c} = r.{c}" for c in meet)
-    return left.join(right, F.expr(f"{same} AND item_i < item_j")).select(
-        *[f"l.{c}" for c in meet if c != "user"],
-        F.col("item_i").alias("i"),
-        F.col("item_j").alias("j"),
-        *[f"{c}_{side}" for side in "ij" for c in carried if c != "item"],
-    )
+    active = users.join(active_users(facts.by_user, facts.config).select("user"), "user").where("n > 1")
+    placed = written(active.select("user", "place", F.expr("n * (n - 1) div 2").alias("n")))
+    by_place = placed.groupBy("place").agg(F.sum("n").alias("n"))
+    total = by_place.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    skew, least = facts.config.skew, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = max(least, -(-total // skew.part_pairs))
+    hot = hot_keys(by_place, ["place"], total, replace(skew, min_rows=max(1, total // count)))
+    cut = placed.withColumn("salt", F.lit(0)) if hot is None else split_fact(placed, hot, ["place"], ["user"])
+    return cut.select("user", F.xxhash64("place", "salt").alias("part")), count
+
+
+def _pairs(lists: DataFrame, *kept: str) -> DataFrame:
+    """(x, y) and the kept columns: every two entries of the sorted list ``g``, in their order.
+
+    A user here has fewer than 500 ratings, so a list of theirs is bounded; pairs leave it by two
+    generators, in compiled code.
+    """
+    first = lists.where("size(g) > 1").select(*kept, "g", F.posexplode("g").alias("n", "x"))
+    return first.select(*kept, "x", F.expr("explode(slice(g, n + 2, size(g)))").alias("y"))
 
 
 def corated_pairs(facts: RatingFacts) -> DataFrame:
     """(i, j, n): how many active users rated both items."""
-    rated = active_ratings(facts).select("user", "item")
-    return _pairs(rated, ["user"]).groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"))
+    rated = without_heavy_users(facts).where("item IS NOT NULL")
+    users = rated.groupBy("user").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("item")).alias("place"))
+    parts, count = _parts(users, facts)
+    dealt = rated.join(parts, "user").select("part", "user", "item").repartition(count, "part")
+    lists = dealt.groupBy("part", "user").agg(F.array_sort(F.collect_list("item")).alias("g"))
+    met = _pairs(lists).select(F.col("x").alias("i"), F.col("y").alias("j")).where("i < j")
+    return met.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _met_pairs(facts: RatingFacts, buckets: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from conftest import as_dict, row_set
 from data import one_bucket, ratings
 
-from starwise.config import HASH_PRIME, Config, LshConfig
+from starwise.config import HASH_PRIME, Config, LshConfig, SkewConfig
 from starwise.operators import lsh, neighbors, similarity
 from starwise.operators.stats import RatingFacts
 from starwise.plans import predict
@@ -150,6 +150,21 @@ def test_corated_pairs(facts, rows):
     assert {k: r.n for k, r in found.items()} == {k: m[0] for k, m in brute_moments(rows, SMALL).items()}
 
 
+def test_parts_hold_users_alike_and_few_pairs(spark):
+    """What a task sums up does not grow with the ratings; users alike lie together up to that bound."""
+    rows = [(user, 10 * (user // 40) + item, float(1 + (user * item) % 5)) for user in range(200) for item in range(6)]
+    found = []
+    for most, parts in ((600, 5), (150, 20)):
+        facts = RatingFacts(spark.createDataFrame(rows, LONG), replace(SMALL, skew=SkewConfig(part_pairs=most)))
+        users = facts.by_user.selectExpr("user", "n", "user div 40 AS place")
+        dealt, count = similarity._parts(users, facts)
+        sizes = [15 * r["count"] for r in dealt.groupBy("part").count().collect()]
+        assert count == parts and len(sizes) == parts and sum(sizes) == 3000 and max(sizes) <= 2 * most
+        buckets = predict.find_buckets(facts)
+        found.append([row_set(similarity.corated_pairs(facts)), row_set(similarity.pair_moments(facts, buckets))])
+    assert found[0] == found[1] and len(found[0][0]) == 5 * 15
+
+
 def test_golden_similarity(golden):
     facts = RatingFacts(golden, Config())
     moments = predict.find_moments(facts, one_bucket(facts))
