@@ -59,20 +59,23 @@ def _met_pairs(facts: RatingFacts, buckets: DataFrame) -> DataFrame:
     """One row per active user, band and pair of items of theirs that share the band's bucket.
 
     Columns: band, i, j, stars_i, stars_j, avg_i, avg_j. An item's card holds its mean and all its
-    buckets (at most one per band), so a rating stays one row up to the shuffle by user; items
-    without a bucket drop out in that join. Buckets are opened where the user's rows are. A user
-    here has fewer than 500 ratings, so a list of theirs is bounded; pairs leave it by two
-    generators, in compiled code.
+    buckets (at most one per band), so a rating stays one row up to the shuffle by part; items
+    without a bucket drop out in that join. Buckets are opened where the user's rows are. The lowest
+    code among the buckets of their items is a user's place.
     """
     coded = buckets.select("item", F.struct("band", F.xxhash64("band", "bucket").alias("code")).alias("code"))
-    codes = coded.groupBy("item").agg(F.collect_list("code").alias("codes"))
+    codes = written(coded.groupBy("item").agg(F.collect_list("code").alias("codes")))
+    rated, hot = without_heavy_users(facts), facts.hot_items
+    lowest = codes.select("item", F.expr("array_min(codes.code)").alias("lowest"))
+    marked = lookup(rated.select("user", "item"), lowest, "item", hot, ["user"], how="inner")
+    users = marked.groupBy("user").agg(F.count(F.lit(1)).alias("n"), F.min("lowest").alias("place"))
+    parts, count = _parts(users, facts)
     card = facts.by_item.select("item", F.col("avg_stars").alias("avg")).join(codes, "item")
-    carded = lookup(without_heavy_users(facts), card, "item", facts.hot_items, ["user"], how="inner")
-    active = carded.repartition("user").join(active_users(facts.by_user, facts.config).select("user"), "user")
-    opened = active.select("user", F.struct("item", "stars", "avg").alias("rated"), F.inline("codes"))
-    lists = opened.groupBy("user", "band", "code").agg(F.array_sort(F.collect_list("rated")).alias("g")).where("size(g) > 1")
-    first = lists.select("band", "g", F.posexplode("g").alias("n", "x"))
-    met = first.select("band", "x", F.expr("explode(slice(g, n + 2, size(g)))").alias("y"))
+    carded = lookup(rated.join(parts, "user"), card, "item", hot, ["user"], how="inner")
+    dealt = carded.repartition(count, "part")
+    opened = dealt.select("part", "user", F.struct("item", "stars", "avg").alias("rated"), F.inline("codes"))
+    lists = opened.groupBy("part", "user", "band", "code").agg(F.array_sort(F.collect_list("rated")).alias("g"))
+    met = _pairs(lists, "band")
     names = {"item": "", "stars": "stars_", "avg": "avg_"}
     values = [F.col(f"{row}.{name}").alias(f"{to}{side}") for name, to in names.items() for row, side in ("xi", "yj")]
     return met.select("band", *values)
