@@ -38,27 +38,43 @@ def read_ratings(spark: SparkSession, path: str, seen: Observation | None = None
     return rows.dropna(how="any")
 
 
-# Where a line lies: its file, its block of the file, and the order within the block. Blocks of one
-# file may be read in any order, and numbers ascend within each.
+# Where a line lies: the number of its file by name, its block of the file, and the order within the
+# block. Blocks of one file may be read in any order, and numbers ascend within each.
 _PLACE = ("file", "block", "line")
 
 
 def read_placed(spark: SparkSession, path: str) -> DataFrame:
     """(user, item, stars) of every line, with ``place``, which ascends by file name and in a file.
 
-    Lines that ``read_ratings`` leaves out are left out here too.
+    Lines that ``read_ratings`` leaves out are left out here too. Files are listed, not read, and
+    numbered on the driver, which knows their names in any case; so no row is shuffled with a name.
     """
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+    listed = spark.read.format("binaryFile").load(path).select("_metadata.file_path").collect()
+    numbered = [(name, n) for n, name in enumerate(sorted(row.file_path for row in listed))]
+    files = spark.createDataFrame(numbered, "_name string, _file bigint")
+    placed = _read(spark, path).select(
+        "user",
+        "item",
+        "stars",
+        F.col("_metadata.file_path").alias("_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
-    )
-    return _read(spark, path).select("user", "item", "stars", place.alias("place")).dropna(subset=["user", "item", "stars"])
+    ).dropna(subset=["user", "item", "stars"])
+    known = F.expr("coalesce(_file, raise_error('a file came after the files were listed: ' || _name))")
+    place = F.struct(known.cast("bigint").alias("file"), "block", "line")
+    return placed.join(F.broadcast(files), "_name", "left").select("user", "item", "stars", place.alias("place"))
 
 
 def dedupe_last(placed: DataFrame) -> DataFrame:
-    """One rating per (user, item): that of the last line, by file name and position in the file."""
-    return placed.groupBy("user", "item").agg(F.max_by("stars", "place").alias("stars"))
+    """One rating per (user, item): that of the last line, by file name and position in the file.
+
+    The place becomes one number, of the file's, block's and line's digits (a task numbers fewer than
+    2**33 lines): values of fixed width are kept per pair, where a structure would sort all lines.
+    """
+    line = f"cast(place.line & {(1 << 33) - 1}L AS DECIMAL(10))"
+    block = f"cast(place.block AS DECIMAL(16)) * {10**10}BD"
+    at = F.expr(f"cast(cast(place.file AS DECIMAL(10)) * {10**26}BD + {block} + {line} AS DECIMAL(38))")
+    return placed.groupBy("user", "item").agg(F.max_by("stars", at).alias("stars"))
 
 
 def with_positions(placed: DataFrame, position: str = "position") -> DataFrame:

@@ -65,6 +65,19 @@ def test_the_last_line_wins_and_lines_have_positions(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_the_last_line_is_found_without_a_sort_and_by_odd_file_names(spark, tmp_path):
+    """Later files win by name, whatever their names hold and in whatever order they are read."""
+    folder = tmp_path / "a b%20c"
+    folder.mkdir()
+    lines = {"x 2.csv": ("u,i,1", "u,j,2"), "x%202.csv": ("u,i,3", "v,i,5", "u,i,4"), "a\u00e9.csv": ("u,j,5", "v,i,1")}
+    for name, rows in lines.items():
+        (folder / name).write_text("\n".join(("user,item,stars", *rows)) + "\n")
+    placed = read_placed(spark, str(folder))
+    found = dedupe_last(placed)
+    assert {(r.user, r.item): r.stars for r in found.collect()} == {("u", "i"): 4.0, ("u", "j"): 2.0, ("v", "i"): 5.0}
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_every_request_is_read(spark, tmp_path):
     path = tmp_path / "q.csv"
     path.write_text("user_id,business_id\nu1,b1\nu2,\n,b3\nu4\n")
