@@ -455,7 +455,8 @@ def _hot(query: Callable[[SparkSession, str, Config], DataFrame], config: Config
 def model_predict(spark, sf_dir):
     facts, held_out = _facts(spark, sf_dir)
     users, items = (written(p) for p in _inputs(spark, sf_dir, facts.ratings))
-    fitted = model.fit(predict.training_features(facts, users, items), TREES, facts.mean_value)
+    rows = predict.n_training_ratings(facts)
+    fitted = model.fit(predict.training_features(facts, users, items), TREES, facts.mean_value, rows=rows)
     frame = predict.request_cards(held_out.select("user", "item"), facts, None, items, users)
     scored = predict.model_scores(frame, fitted, facts)
     return scored.select("user", "item", F.col("model_score").alias("prediction"))
@@ -465,7 +466,8 @@ def model_stump(spark, sf_dir):
     """A model of one split, fitted to all train ratings, for all requests."""
     facts, held_out = _facts(spark, sf_dir)
     users, items = (written(p) for p in _inputs(spark, sf_dir, facts.ratings))
-    fitted = model.fit(predict.training_features(facts, users, items), STUMP, facts.mean_value, STUMP_INPUTS)
+    rows = predict.n_training_ratings(facts)
+    fitted = model.fit(predict.training_features(facts, users, items), STUMP, facts.mean_value, STUMP_INPUTS, rows)
     asked = features.with_profiles(held_out.select("user", "item"), users, items, None, None)
     scored = fitted.score(features.feature_vectors(asked, "user", "item"))
     return rounded(scored.select("user", "item", F.col("model_raw").alias("prediction")), "prediction")

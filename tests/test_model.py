@@ -42,6 +42,41 @@ def test_model_beats_the_mean_and_repeats_itself(rows):
     )
 
 
+def test_tasks_of_a_fit_follow_its_rows(spark, rows, monkeypatch):
+    """A level of a tree is a job over all parts: few rows take few tasks however many parts a shuffle has."""
+    monkeypatch.setattr(model, "ROWS_PER_TASK", 100)
+    cores, sc = spark.sparkContext.defaultParallelism, spark.sparkContext
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        parts = {n: model.on_all_cores(rows, n).rdd.getNumPartitions() for n in (None, 0, 1200, 1201, 10**9)}
+        sc.setJobGroup("fit", "a fit")
+        model.fit(rows, FAST, 2.9, rows=1200)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert parts == {None: 64, 0: 2 * cores, 1200: 3 * cores, 1201: 4 * cores, 10**9: 64}
+    status = sc.statusTracker()
+    infos = [status.getStageInfo(s) for job in status.getJobIdsForGroup("fit") for s in status.getJobInfo(job).stageIds]
+    sizes = [info.numTasks for info in infos if info is not None]
+    assert len(sizes) > FAST.n_estimators * FAST.max_depth and max(sizes) <= 3 * cores
+
+
+def test_training_rows_are_spread_once_and_leave_memory_to_the_trees(spark, rows, monkeypatch):
+    seen = []
+
+    class Watch:
+        def fit(self, given):
+            seen.append((given.storageLevel, given))
+
+    monkeypatch.setattr(model, "estimator", lambda settings: Watch())
+    model.fit(rows, FAST, 2.9, rows=1200)
+    level, given = seen[0]
+    assert level.useDisk and not level.useMemory
+    assert not given.storageLevel.useDisk  # given back after the fit
+
+
 def test_estimator_takes_every_setting():
     settings = {p.name: v for p, v in model.estimator(ModelConfig()).extractParamMap().items()}
     expected = {
