@@ -166,3 +166,26 @@ def test_training_rows_are_bounded(spark):
     for most, low, high in ((50_000, 20_000, 20_000), (2_000, 1_700, 2_300)):
         config = Config(model=replace(FAST, max_training_rows=most))
         assert low <= predict.training_ratings(RatingFacts(ratings, config)).count() <= high
+
+
+@pytest.mark.parametrize("most", [50_000, 100])
+def test_end_to_end_tells_the_fit_how_many_rows_there_are(spark, monkeypatch, most):
+    from starwise.config import Config
+    from starwise.plans import predict
+    from starwise.sources.profiles import ITEM_FEATURES, USER_FEATURES
+
+    class Fitted(Exception):
+        pass
+
+    def fit(features, settings, base_score, inputs=FEATURES, rows=None):
+        raise Fitted(rows)
+
+    monkeypatch.setattr(model, "fit", fit)
+    ratings = spark.range(200).selectExpr("id % 20 AS user", "id div 20 AS item", "1.0D + id % 5 AS stars")
+    users, items = (
+        ratings.select(key).distinct().selectExpr(key, *[f"1.0D AS {name}" for name in names], "true AS record_ok")
+        for key, names in (("user", USER_FEATURES), ("item", ITEM_FEATURES))
+    )
+    with pytest.raises(Fitted) as told:
+        predict.end_to_end(ratings.select("user", "item"), ratings, users, items, Config(model=replace(FAST, max_training_rows=most)))
+    assert told.value.args == (min(200, most),)
