@@ -6,8 +6,10 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from starwise.config import Config
+from starwise.operators.prefix import block_starts
 from starwise.operators.stats import RatingFacts, active_users, without_heavy_users
 from starwise.runtime import written
 from starwise.skew import hot_keys, lookup, split_fact
@@ -44,15 +46,67 @@ def _pairs(lists: DataFrame, *kept: str) -> DataFrame:
     return first.select(*kept, "x", F.expr("explode(slice(g, n + 2, size(g)))").alias("y"))
 
 
+def _item_groups(facts: RatingFacts, groups: int) -> DataFrame:
+    """(item, group): the items in order, cut into about ``groups`` runs with as many ratings each.
+
+    An item with more ratings than a run should have gets a number below 0 of its own. The ratings of
+    the items before are added up within ranges of items, and the ranges' sums in levels.
+    """
+    share = max(1.0, facts.n_ratings / groups)
+    items = facts.by_item.where("item IS NOT NULL").orderBy("item")
+    ranged = written(items.select("item", "n", F.spark_partition_id().alias("range")))
+    ranges = ranged.agg(F.coalesce(F.max("range"), F.lit(-1))).first()[0] + 1
+    starts = block_starts(ranged.groupBy("range").agg(F.sum("n").alias("size")), ranges, "range", "size")
+    before = F.sum("n").over(Window.partitionBy("range").orderBy("item").rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranged.select("item", "n", "range", F.coalesce(before, F.lit(0)).alias("before")).join(starts, "range")
+    number = F.floor((F.col("start") + F.col("before")) / share).cast("int")
+    return written(placed.select("item", F.when(F.col("n") > share, -1 - number).otherwise(number).alias("group")))
+
+
+def _runs(lists: DataFrame) -> DataFrame:
+    """(group, width, items): the items of a list from the first of a group on; ``width`` of them are the group's.
+
+    ``lists`` has a sorted list ``g`` of (group, item) per user, so the items of a group are neighbours.
+    """
+    split = lists.where("size(g) > 1").selectExpr("g.group AS groups", "g.item AS items")
+    starts = F.expr("filter(sequence(0, size(groups) - 1), p -> p = 0 OR groups[p] <> groups[p - 1])").alias("starts")
+    first = split.select("*", starts).select("*", F.posexplode("starts").alias("n", "first"))
+    return first.selectExpr(
+        "groups[first] AS group",
+        "coalesce(get(starts, n + 1), size(groups)) - first AS width",
+        "slice(items, first + 1, size(items)) AS items",
+    ).where("size(items) > 1")
+
+
 def corated_pairs(facts: RatingFacts) -> DataFrame:
-    """(i, j, n): how many active users rated both items."""
-    rated = without_heavy_users(facts).where("item IS NOT NULL")
-    users = rated.groupBy("user").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("item")).alias("place"))
-    parts, count = _parts(users, facts)
-    dealt = rated.join(parts, "user").select("part", "user", "item").repartition(count, "part")
-    lists = dealt.groupBy("part", "user").agg(F.array_sort(F.collect_list("item")).alias("g"))
-    met = _pairs(lists).select(F.col("x").alias("i"), F.col("y").alias("j")).where("i < j")
-    return met.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"))
+    """(i, j, n): how many active users rated both items.
+
+    A pair belongs to the group of the one of its items that comes first, and users' lists are sent
+    to the groups they have items of: once per group, from the first item of it on. There the pairs
+    are opened and counted where they are, so that no pair is shuffled. There are so many groups that
+    one has about ``part_pairs`` pairs, met by all users together. Pairs that begin with an item too
+    frequent for a group are counted by pair, before and after a shuffle.
+    """
+    active = active_users(facts.by_user, facts.config)
+    session, pairs = active.sparkSession, F.expr("coalesce(sum(n * (n - 1) div 2), 0)")
+    wanted = -(-active.agg(pairs).first()[0] // facts.config.skew.part_pairs)
+    groups = max(2 * session.sparkContext.defaultParallelism, wanted)
+    grouped = _item_groups(facts, groups)
+    rated = without_heavy_users(facts).where("item IS NOT NULL").select("user", "item")
+    marked = lookup(rated, grouped, "item", facts.hot_items, ["user"], how="inner").join(active.select("user"), "user")
+    runs = _runs(marked.groupBy("user").agg(F.sort_array(F.collect_list(F.struct("group", "item"))).alias("g")))
+
+    def counted(found: DataFrame, *keys: str) -> DataFrame:
+        first = found.select(*keys, "items", F.expr("posexplode(slice(items, 1, width)) AS (n, x)"))
+        met = first.select(*keys, "x", F.expr("explode(slice(items, n + 2, size(items))) AS y")).where("x <> y")
+        ordered = met.select(*keys, F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"))
+        return ordered.groupBy(*keys, "i", "j").agg(F.count(F.lit(1)).alias("n")).select("i", "j", "n")
+
+    count = max(groups, int(session.conf.get("spark.sql.shuffle.partitions")))
+    together = counted(runs.where("group >= 0").repartition(count, "group"), "group")
+    if grouped.where("group < 0").isEmpty():
+        return together
+    return together.unionAll(counted(runs.where("group < 0")))
 
 
 def _met_pairs(facts: RatingFacts, buckets: DataFrame) -> DataFrame:

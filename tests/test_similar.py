@@ -150,6 +150,35 @@ def test_corated_pairs(facts, rows):
     assert {k: r.n for k, r in found.items()} == {k: m[0] for k, m in brute_moments(rows, SMALL).items()}
 
 
+def test_corated_pairs_are_counted_where_they_are_met(facts):
+    """Lists of users are sent to groups of items; no pair is shuffled, before or after it is counted."""
+    plan = similarity.corated_pairs(facts)._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("group#" in line for line in moves)
+    assert not any("i#" in line and "j#" in line for line in moves)
+
+
+@pytest.mark.parametrize(("most", "wide"), [(1 << 21, 0), (300, 3), (1, 14)])
+def test_corated_pairs_of_frequent_items_and_odd_rows(spark, rows, most, wide):
+    odd = [(None, 1, 3.0), (None, 2, 3.0), (7, None, 3.0), (300, None, 2.0), (300, 1, 2.0), (301, 2, None), (301, 3, 2.0)]
+    given = rows + odd + [row for row in rows if row[0] % 3 == 0]
+    config = replace(SMALL, max_user_ratings=20, skew=SkewConfig(part_pairs=most))
+    facts = RatingFacts(spark.createDataFrame(given, LONG), config)
+    by_user, expected = defaultdict(list), defaultdict(int)
+    for user, item, stars in given:
+        by_user[user].append((item, stars))
+    for user, rated in by_user.items():
+        if user is not None and 2 <= sum(stars is not None for _, stars in rated) <= 20:
+            items = [item for item, _ in rated if item is not None]
+            for i, j in combinations(sorted(items), 2):
+                expected[i, j] += i < j
+    found = as_dict(similarity.corated_pairs(facts), "i", "j")
+    assert {k: r.n for k, r in found.items()} == {k: n for k, n in expected.items() if n}
+    total = facts.by_user.where("n BETWEEN 2 AND 20").selectExpr("sum(n * (n - 1) div 2)").first()[0]
+    numbers = [r.group for r in similarity._item_groups(facts, max(8, -(-total // most))).collect()]
+    assert len(numbers) == 14 and sum(n < 0 for n in numbers) == wide
+
+
 def test_parts_hold_users_alike_and_few_pairs(spark):
     """What a task sums up does not grow with the ratings; users alike lie together up to that bound."""
     rows = [(user, 10 * (user // 40) + item, float(1 + (user * item) % 5)) for user in range(200) for item in range(6)]
