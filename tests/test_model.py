@@ -168,6 +168,26 @@ def test_training_rows_are_bounded(spark):
         assert low <= predict.training_ratings(RatingFacts(ratings, config)).count() <= high
 
 
+@pytest.mark.parametrize("query", ["end_to_end_predict", "job"])
+def test_all_ratings_are_learned_from_however_many(spark, query):
+    from pyspark.sql import Row
+
+    from catalog import queries
+    from starwise.config import Config
+    from starwise.operators.stats import RatingFacts
+    from starwise.plans import predict
+
+    config = {
+        "end_to_end_predict": replace(queries.MIXED, model=queries.TREES),
+        "job": Config(),
+    }[query]
+    ratings = spark.range(2_000).selectExpr("id AS user", "id % 40 AS item", "1.0D + id % 5 AS stars")
+    facts = RatingFacts(ratings, config)
+    facts._totals = Row(avg_stars=3.0, n=10**10)  # as if there were so many
+    assert predict.training_ratings(facts).count() == 2_000
+    assert predict.n_training_ratings(facts) == 10**10
+
+
 @pytest.mark.parametrize("most", [50_000, 100])
 def test_end_to_end_tells_the_fit_how_many_rows_there_are(spark, monkeypatch, most):
     from starwise.config import Config
